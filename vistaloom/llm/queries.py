@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm import simhash, suffix_dedup
+from vistaloom.llm import bpe_automaton, language_id, simhash, suffix_dedup, wavelet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -24,8 +29,20 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe_automaton.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_wavelet": op1_wavelet,
     "op2_simhash": op2_simhash,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_bpe_automaton": op9_bpe_automaton,
 }
 ORACLE_SQL: dict[str, str] = {}
