@@ -38,10 +38,10 @@ def simhash(parts: Column) -> Column:
     """64-bit fingerprint of shingles, each counted as often as it occurs: a bit is 1 if set in over half of them."""
 
     def of(name: str) -> Column:
-        bit = lambda b: F.aggregate(parts, F.lit(0), lambda n, h: n + F.shiftright(h[name], b).bitwiseAND(F.lit(1)).cast("int"))
+        bit = lambda b: F.aggregate(parts, F.lit(0), lambda n, h: n + F.call_function("shiftright", h[name], b).bitwiseAND(F.lit(1)).cast("int"))
         return F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"), lambda x, b: x + F.when(bit(b) * 2 > F.size(parts), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
 
-    return F.call_function("shiftleft", of("hi"), F.lit(32)).bitwiseOR(of("lo"))
+    return F.coalesce(F.call_function("shiftleft", of("hi"), F.lit(32)).bitwiseOR(of("lo")), F.lit(0).cast("long"))  # never null, so that no filter repeats it
 
 
 def hamming_blocks(fingerprint: Column, radius: int) -> Column:
@@ -73,8 +73,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least:
     if keys.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES:
         keys = F.broadcast(keys)
     read = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    # A filter on the array keeps the split below the generator, so that it runs once a text.
-    placed = read.where(F.size("words") >= SHINGLE).select("doc_id", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "key"))
+    placed = read.select("doc_id", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "key"))
     hits = placed.join(keys, "key")
     # weighted Jaccard of least needs 2 * least / (1 + least) of the item's shingles
     enough = F.ceil((F.col("n_words") - (SHINGLE - 1)) * F.lit(2 * least / (1 + least)) - 1e-9)
@@ -88,7 +87,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least:
     )
     cut = (
         read.join(windows, F.col("doc_id") == F.col("in_doc"))
-        .where(F.size("words") >= SHINGLE)
         .select("doc_id", "n_words", "words", F.explode("starts").alias("start"))
         .select("doc_id", "n_words", "words", F.greatest(F.lit(0), F.least(F.col("start"), F.size("words") - F.col("n_words"))).alias("start"))
         .select("doc_id", "n_words", "start", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("window"))
