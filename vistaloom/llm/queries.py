@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaloom.llm import bpe_automaton, chat, decontaminate, language_id, simhash, suffix_dedup, wavelet
+from vistaloom.llm import audio, bpe_automaton, chat, decontaminate, language_id, pseudo_likelihood, quality, simhash, suffix_dedup, wavelet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 6).alias("similarity"), "hamming")
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.scored(table(spark, sf_dir, "documents"))
+
+
+def op6_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.described(audio.media(table(spark, sf_dir, "documents")))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.rotated(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -49,14 +57,21 @@ def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet": op1_wavelet,
     "op2_simhash": op2_simhash,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
+    "op6_audio": op6_audio,
     "op7_chat": op7_chat,
     "op8_language_id": op8_language_id,
     "op9_bpe_automaton": op9_bpe_automaton,
+    "op10_quality": op10_quality,
 }
 OP4_SQL = r"""
 with item_words as (

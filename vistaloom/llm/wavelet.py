@@ -15,6 +15,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -178,25 +179,13 @@ class WaveletShard:
         return a
 
 
-class Words(dict):
-    """Packed ids of words by the library's tokenizer, each encoded once as long as it is kept."""
-
-    def __init__(self, tokenizer: Tokenizer, front: str, kind: str):
-        super().__init__()
-        self.tokenizer, self.front, self.kind = tokenizer, front, kind
-
-    def __missing__(self, word: str) -> bytes:
-        ids = array(self.kind, self.tokenizer.encode(self.front + word, add_special_tokens=False).ids).tobytes()
-        if len(self) < CACHE:
-            self[word] = ids
-        return ids
-
-
 class Encoder:
     """Whole texts to packed ids.
 
     Where no two white-space characters meet, a text splits into the same pieces if it is cut before each space and around
-    each line break, so words are looked up; other texts, and those with a special token's name, go to the library whole.
+    each line break, so each word is encoded once as long as it is kept; other texts, and those with a special token's name,
+    go to the library whole. New words go to it many at a time, as one text: each begins with its space, and so does the
+    first token of each and no other.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -208,20 +197,50 @@ class Encoder:
         self.end = array(self.kind, [end_id]).tobytes()
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = re.compile("|".join([r"\s\s", *special])).search
-        self.first, self.rest = Words(self.tokenizer, "", self.kind), Words(self.tokenizer, " ", self.kind)
-        self.line = self.first["\n"]
-
-    def ids(self, text: str) -> bytes:
-        if self.odd(text):
-            return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + self.end
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.spaced = np.zeros(1 << self.bits, bool)
+        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
+        self.first: dict[str, bytes] = {}
+        self.rest: dict[str, bytes] = {"": self.whole(" ")}
+        self.line = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Keeps the ids of words, each with a space in front."""
+        groups = [words[k : k + 128] for k in range(0, len(words), 128)]
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, self.type)
+            cuts = (np.flatnonzero(self.spaced[ids]) * ids.itemsize).tolist()
+            packed = ids.tobytes()
+            self.rest.update(zip(group, [packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)], strict=True)], strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
         if len(self.rest) >= CACHE:
-            self.rest.clear()
-            self.first.clear()
-        lines, rest = [], self.rest.__getitem__
-        for line in text.split("\n"):
-            words = line.split(" ")
-            lines.append((self.first[words[0]] if words[0] else b"") + b"".join(map(rest, words[1:])))
-        return self.line.join(lines) + self.end
+            self.rest = {"": self.rest[""]}
+        if len(self.first) >= CACHE:
+            self.first = {}
+        split = [None if self.odd(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
+        lines = [x for t in split if t for x in t]
+        new = set(chain.from_iterable([x[1:] for x in lines])) - self.rest.keys()
+        if new:
+            # A run of letters with one sign behind it is two pieces, and letters recur with other signs.
+            ends = [w for w in new if not w[-1].isalnum() and w[:-1].isalpha()]
+            for sign in {w[-1] for w in ends} - self.first.keys():
+                self.first[sign] = self.whole(sign)
+            new.difference_update(ends)
+            new.update({w[:-1] for w in ends} - self.rest.keys())
+            self.learn(sorted(new))
+            rest, first = self.rest, self.first
+            rest.update([(w, rest[w[:-1]] + first[w[-1]]) for w in ends])
+        for word in {x[0] for x in lines} - self.first.keys():
+            self.first[word] = self.whole(word)
+        of, head = self.rest.__getitem__, self.first
+        return [
+            (self.whole(t) if s is None else self.line.join([head[x[0]] + b"".join(map(of, x[1:])) for x in s])) + self.end
+            for t, s in zip(texts, split, strict=True)
+        ]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -241,7 +260,8 @@ def write_shards(folder: str, tokenizer: str, end_id: int):
         use = encoder(tokenizer, end_id)
         docs: list[tuple[bool, int, bytes]] = []
         for b in batches:
-            docs += [(d is not None, d or 0, use.ids(t or "")) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            ids = use.ids([t or "" for t in b.column(1).to_pylist()])
+            docs += [(d is not None, d or 0, x) for d, x in zip(b.column(0).to_pylist(), ids, strict=True)]
         if not docs:
             return
         docs.sort(key=lambda x: x[:2])
