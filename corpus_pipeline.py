@@ -4,24 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vistaloom.llm import simhash
+from vistaloom.llm import bpe_automaton, decontaminate, language_id, simhash, suffix_dedup
 from vistaloom.llm.common import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Share of a document's n-grams that its language must contain. Clean prose has four fifths and more.
+LEAST_SCORE = 0.2
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told: not without letters, and not of n-grams foreign to every learned language."""
+    model = language_id.learned(docs.where(~language_id.held_out()))
+    found = language_id.predicted(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, ("row",))
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select("row.*")
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates."""
     return simhash.keep_one(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash_dedup", near_duplicates)]
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes that repeat earlier ones."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's ids and their decoded text."""
+    return bpe_automaton.encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("simhash_near_dedup", near_duplicates),
+    ("suffix_array_dedup", repeats),
+    ("benchmark_decontamination", leaks),
+    ("bpe_encoding", encoding),
+]
+#: Most stages can't be told in SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGES applied to documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")

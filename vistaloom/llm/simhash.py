@@ -188,6 +188,6 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFra
 def keep_one(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
     """docs with one document (the smallest doc_id) of each linked group; rows with a null doc_id stay."""
     found = near_duplicates(docs, radius, words)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    one = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))

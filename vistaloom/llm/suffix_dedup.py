@@ -184,7 +184,7 @@ def fold_contexts(length: int):
     return rows
 
 
-def cut_contexts(length: int):
+def cut_contexts(length: int, hot: int):
     """For mapInArrow over (doc, text, wanted): the context of each wanted anchor.
 
     The contexts of a crowded anchor go out in PARTS parts, each keyed by all bytes that its windows have in common, so that
@@ -200,7 +200,7 @@ def cut_contexts(length: int):
                     pos = w["start"]
                     lo, hi = pos - side, pos + length
                     context = b"\xff" * max(0, -lo) + text[max(0, lo) : hi] + b"\xff" * max(0, hi - len(text))
-                    if w["crowd"] < HOT:
+                    if w["crowd"] < hot:
                         out.append((w["anchor"], 0, side + 1, doc, pos, context))
                         continue
                     step = -(-(side + 1) // PARTS)
@@ -324,7 +324,7 @@ def find_repeats(length: int):
     return rows
 
 
-def removals(docs: DataFrame, length: int = 100) -> DataFrame:
+def removals(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """(doc, start, stop) of ranges, overlapping in part, whose bytes repeat earlier ones; docs has (doc long, text)."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -333,7 +333,7 @@ def removals(docs: DataFrame, length: int = 100) -> DataFrame:
     folded = saved(anchors.repartition(n, "key").mapInArrow(fold_contexts(length), RANGES), "suffix-folded")
     wanted = folded.where("stop < 0").groupBy("doc").agg(F.collect_list(F.struct("start", "anchor", "crowd")).alias("wanted"))
     asked = docs.join(wanted.withColumnRenamed("doc", "asked"), F.col("doc") == F.col("asked")).select("doc", "text", "wanted")
-    contexts = asked.mapInArrow(cut_contexts(length), "key long, first int, windows int, doc long, pos int, context binary")
+    contexts = asked.mapInArrow(cut_contexts(length, hot), "key long, first int, windows int, doc long, pos int, context binary")
     repeats = saved(contexts.repartition(n, "key").mapInArrow(find_repeats(length), RANGES), "suffix-repeats")
     return folded.where("stop >= 0").select("doc", "start", "stop").unionByName(repeats.select("doc", "start", "stop"))
 
@@ -350,16 +350,16 @@ def one_key(docs: DataFrame) -> DataFrame:
     pairs = docs.select("doc_id", F.xxhash64("text").alias("mark")).distinct().orderBy(F.col("doc_id").asc_nulls_first(), "mark")
     ids = pairs.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("numbered_id long, mark long, doc long")
     ids = saved(ids, "suffix-ids")
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("numbered_id")) & (F.xxhash64("text") == F.col("mark"))).drop("numbered_id", "mark")
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("numbered_id")) & (F.xxhash64("text") == F.col("mark")))
 
 
-def apply_removals(length: int, n_columns: int):
-    """For mapInArrow over (columns..., text, ranges): the columns, the bytes that stay and what went."""
+def apply_removals():
+    """For mapInArrow over (row, text, ranges): row, the bytes that stay and what went."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size, gone, runs, kept = [], [], [], []
-            for text, ranges in zip(document_bytes(b.column(n_columns)), b.column(n_columns + 1), strict=True):
+            for text, ranges in zip(document_bytes(b.column(1)), b.column(2), strict=True):
                 size.append(len(text))
                 removed, spans, out, here = 0, 0, [], 0
                 if ranges.is_valid and len(ranges):
@@ -375,22 +375,38 @@ def apply_removals(length: int, n_columns: int):
                 gone.append(removed)
                 runs.append(spans)
                 kept.append(b"".join(out))
-            yield pa.record_batch([*b.columns[:n_columns], pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=[*b.schema.names[:n_columns], "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows
 
 
-def deduplicated(docs: DataFrame, length: int = 100, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per document: columns, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes).
+def deduplicated(docs: DataFrame, length: int = 100, columns: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:
+    """Per document: row (a struct of columns), n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes).
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a document of smaller doc_id, or
     further to the front. Null texts are empty; texts shorter than `length` stay whole. Rows alike in doc_id and text are one
     document and get equal results; rows with one doc_id but different texts are ordered by a hash of the text, and null
-    ids come first. Columns not asked for are ignored, whatever their names. An empty table gives no rows.
+    ids come first. Columns not asked for are ignored, and those asked for may have any names. An empty table gives no rows.
     """
-    keyed = one_key(docs.select(*columns, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    distinct = keyed.select("doc", "text") if keyed.columns[-1] == "doc" and "numbered" not in keyed.columns else keyed.select("doc", "text")
-    ranges = removals(distinct, length).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    both = keyed.join(ranges.withColumnRenamed("doc", "ranges_doc"), F.col("doc") == F.col("ranges_doc"), "left").select(*columns, "text", "ranges")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema.fields[: len(columns)])
-    return both.mapInArrow(apply_removals(length, len(columns)), f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
+    keyed = one_key(docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    ranges = removals(keyed.select("doc", "text").dropDuplicates(["doc"]) if "mark" in keyed.columns else keyed.select("doc", "text"), length, hot)
+    found = ranges.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")).withColumnRenamed("doc", "ranges_doc")
+    both = keyed.join(found, F.col("doc") == F.col("ranges_doc"), "left").select("row", "text", "ranges")
+    return both.mapInArrow(apply_removals(), f"row {both.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+    """docs with the remaining text of each, and its characters in n_chars where there is that column.
+
+    Bytes of characters that a cut splits go as well. A null text stays null.
+    """
+    found = deduplicated(docs, length, tuple(docs.columns))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), pa.array([x.decode(errors="ignore") for x in b.column(1).to_pylist()], pa.string())], names=["row", "kept"])
+
+    text = found.select("row", "kept").mapInArrow(whole, f"row {found.schema['row'].dataType.simpleString()}, kept string")
+    stays = F.when(F.col("row.text").isNotNull(), F.col("kept"))
+    new = {"text": stays, "n_chars": F.length(stays).cast("long")}
+    return text.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
