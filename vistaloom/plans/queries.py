@@ -1,13 +1,13 @@
-"""Registry of the queries over lifted driver tables, each with its SQL."""
+"""All queries over lifted driver tables, each with its SQL; importing a module registers its queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from vistaloom.plans import frame_queries  # noqa: F401
+from vistaloom.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
