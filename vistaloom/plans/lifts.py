@@ -60,3 +60,113 @@ DEPTH_SQL = "(case when ({i} * 7 + {j} * 13 + {e}) % 17 = 0 then 0.0 else 1.0 +
 
 def depth_sql(e: str, i: str, j: str) -> str:
     return DEPTH_SQL.format(e=e, i=i, j=j)
+
+lift(
+    "l_px",
+    """
+select scene_id, ord, event_id, a.n_nationkey pu, b.n_nationkey pv, (a.n_nationkey / 4) ix, cast(floor(a.n_nationkey / 4.0) + 4 * floor(b.n_nationkey / 4.0) + (event_id % 5) * 3 as bigint) inst_id,
+  (a.n_nationkey * 7 + b.n_nationkey * 13 + event_id) % 5 <> 0 and (floor(a.n_nationkey / 4.0) * 5 + floor(b.n_nationkey / 4.0) * 3 + event_id) % 3 <> 0 valid
+from l_frames cross join (select n_nationkey from {nation} where n_nationkey < 16) a cross join (select n_nationkey from {nation} where n_nationkey < 12) b
+""".replace("(a.n_nationkey / 4) ix, ", ""),
+)
+lift(
+    "l_labels",
+    """
+select cast(n_nationkey as bigint) inst_id, case n_nationkey when 3 then 'wall' when 7 then ' Floor ' when 9 then 'Door Frame' when 5 then '' else concat('obj', cast(n_nationkey as string)) end label from {nation}
+""",
+)
+lift(
+    "l_dets",
+    """
+select l_orderkey frame, l_linenumber det, l_linenumber % 3 run, p_name label, lower(p_brand) canonical, round(1 - l_discount - l_tax, 4) score,
+  cast((l_partkey * 13 + l_suppkey * 7) % 400 as double) x0, cast((l_partkey * 5 + l_suppkey * 11) % 300 as double) y0,
+  cast((l_partkey * 13 + l_suppkey * 7) % 400 as double) + 60 + l_quantity * 4 x1, cast((l_partkey * 5 + l_suppkey * 11) % 300 as double) + 40 + p_size * 3 y1
+from {lineitem} join {part} on l_partkey = p_partkey
+""",
+)
+lift(
+    "l_near",
+    """
+select l_orderkey frame, l_linenumber det, l_linenumber % 3 run, concat('c', cast(l_linenumber % 2 as string)) canonical, concat('w', cast(l_suppkey % 3 as string)) label, round(1 - l_discount - l_tax, 4) score,
+  cast(100 + (l_partkey % 4) * 25 as double) x0, cast(80 + (l_suppkey % 3) * 20 as double) y0, cast(220 + (l_partkey % 4) * 25 + l_quantity as double) x1, cast(190 + (l_suppkey % 3) * 20 + l_linenumber as double) y1
+from {lineitem}
+""",
+)
+lift(
+    "l_gt",
+    """
+select l_orderkey frame, l_linenumber inst, concat('w', cast((l_suppkey + l_partkey) % 3 as string)) label,
+  cast(90 + (l_suppkey % 4) * 28 as double) x0, cast(70 + (l_partkey % 3) * 22 as double) y0, cast(205 + (l_suppkey % 4) * 28 + l_quantity as double) x1, cast(185 + (l_partkey % 3) * 22 as double) y1
+from {lineitem} where l_linenumber <= 5
+""",
+)
+lift(
+    "l_matches",
+    """
+select concat('scene', lpad(cast(o_custkey % 40 as string), 4, '0')) scene_id, l_orderkey pair_id, l_linenumber match_idx, l_returnflag <> 'R' visible,
+  round(l_extendedprice / 20000, 4) x, round(l_quantity / 12, 4) y, round(l_tax * 20, 4) z,
+  round(1 + l_quantity / 15, 4) depth_src, round(1 + l_quantity / 15 + l_discount * 8 - 0.3, 4) depth_obs, round(l_discount * 5, 4) iou,
+  l_suppkey % 4 src_cat, (l_suppkey + case when l_partkey % 5 = 0 then 1 else 0 end) % 4 tgt_cat, l_partkey % 9 src_mask, l_partkey % 9 + case when l_partkey % 7 = 0 then 0 - l_partkey % 9 - 1 else 0 end tgt_mask,
+  round(0.2 + l_tax * 5 + l_discount, 4) src_score, round(0.15 + l_discount * 6, 4) tgt_score, round(0.45 + l_discount * 5, 4) coverage,
+  cast(100 + l_quantity * 3 as double) src_area, cast(60 + (l_partkey % 50) * 8 as double) tgt_area,
+  l_quantity * 13 - 5.5 u, (l_partkey % 100) * 5 - 6.25 v,
+  case when l_suppkey % 11 = 0 then ' ' else concat('cat', cast(l_suppkey % 4 as string)) end src_label, case when l_suppkey % 13 = 0 then '' else concat('Cat', cast(l_suppkey % 4 as string)) end tgt_label
+from {lineitem} join {orders} on l_orderkey = o_orderkey
+""",
+)
+lift(
+    "l_pairs",
+    """
+select concat('scene', lpad(cast(o_custkey % 40 as string), 4, '0')) scene_id, o_orderkey pair_id,
+  round((o_orderkey % 90) / 100.0, 4) overlap, round((o_custkey % 40) / 100.0, 4) occluded, round(cast(o_orderkey % 120 as double), 4) rotation, round((o_custkey % 30) / 10.0, 4) translation,
+  o_orderkey % 200 gap, round(1 + (o_orderkey % 17) / 10.0, 4) ratio, round(cast((o_orderkey * 37) % 360 as double), 4) yaw, round(cast((o_orderkey * 7) % 61 - 30 as double), 4) pitch
+from {orders}
+""",
+)
+#: The skills, in their sorted order.
+SKILLS = (
+    "anchor",
+    "counting",
+    "cross_depth_variation",
+    "cross_object_correspondence",
+    "cross_occlusion_visibility",
+    "cross_point_correspondence",
+    "cross_spatial_transformation",
+    "relative_direction",
+    "relative_distance",
+)
+lift(
+    "l_manifests",
+    "select o_orderkey id, concat('scene', cast(o_custkey % 50 as string)) scene_id, cast(10 * (o_orderkey % 97) as string) src, cast(10 * (o_custkey % 89) as string) tgt, case o_orderkey % 9 "
+    + " ".join(f"when {k} then '{n}'" for k, n in enumerate(SKILLS))
+    + " end skill, o_orderstatus status, o_orderpriority priority, o_totalprice total, o_custkey cust from {orders}",
+)
+lift(
+    "l_runs",
+    """
+select doc_id frame, run, case (doc_id * 3 + run * (doc_id % 3)) % 8
+  when 0 then concat('sharp view | YES') when 1 then concat('blurred', chr(10), ' dark  |  no ') when 2 then '' when 3 then 'there is no subject here' when 4 then 'looks fine to me'
+  when 5 then concat('a | b | yes') when 6 then concat('nothing | maybe') else concat('ok |yes', chr(10)) end answer
+from {documents} cross join (select r_regionkey run from {region}) r
+""",
+)
+lift(
+    "l_items",
+    """
+select doc_id frame, run, item, case (doc_id * 3 + run + item) % 7 when 0 then ' Chair ' when 1 then 'chair' when 2 then 'table lamp' when 3 then '' when 4 then 'Sofa' when 5 then 'lamp' else 'arm chair' end obj,
+  case (doc_id * 3 + run + item) % 7 when 0 then 'chair' when 1 then ' Chair' when 2 then 'Lamp' when 3 then 'ghost' when 4 then '' when 5 then 'lamp' else 'Chair' end canon
+from {documents} cross join (select r_regionkey run from {region}) r cross join (select n_nationkey item from {nation} where n_nationkey < 4) i
+""",
+)
+lift(
+    "l_json",
+    """
+select doc_id frame, case doc_id % 7
+  when 0 then concat('[{"object": "chair", "canonical": "Chair"}, {"object": "t', cast(doc_id as string), '"}]')
+  when 1 then concat('Sure!', chr(10), '```json', chr(10), '[{"object": " lamp ", "canonical": ""}, {"name": "x"}]', chr(10), '```')
+  when 2 then '[{"object": "a[1]", "canonical": "b"}, {"object": "cut'
+  when 3 then 'no array' when 4 then '[]' when 5 then '[{"object": "q\\"]", "n": 1}] trailing ]' else '' end answer
+from {documents}
+""",
+)
+lift("l_verdicts", "select scene_id, ord, frame_no, case event_id % 6 when 0 then false when 1 then null else true end usable, concat('r', cast(event_id % 3 as string)) reason from l_frames where event_id % 7 <> 3")
