@@ -2,7 +2,7 @@
 
 Each token is predicted from the two before and the two after it. The window's embeddings, scaled by place, sum to a hidden
 layer; a binary tree over the vocabulary turns it into a probability, one sigmoid per fork on the token's path. The model
-is trained on every document: each task starts from the same parameters, learns from its share with an eighth of the
+is trained on every document: each task starts from the same parameters, learns from its share with a sixteenth of the
 tokens masked at a time, and the parameters are averaged over the tasks, weighted by tokens; then once more from there.
 """
 
@@ -25,9 +25,10 @@ from vistaloom.llm.common import small_batches
 PLACES = (-2, -1, 1, 2)
 #: Buckets that words outside the vocabulary share, by a checksum.
 RARE = 64
-MASKED = 8
+MASKED = 16
 CACHE = 1_000_000
 SLICE = 1 << 14
+BATCH = 1 << 14
 
 
 class Ids(dict):
@@ -117,6 +118,15 @@ class WindowNetwork:
         result[order] = out
         return result
 
+    def sums(self, texts: list[np.ndarray]) -> list[float]:
+        """Each text's sum of log-probabilities; texts share the network's passes and nothing else."""
+        token = np.concatenate(texts)
+        window = np.concatenate([windows(ids, self.edge) for ids in texts])
+        each = [self.log_likelihood(window[k : k + BATCH], token[k : k + BATCH]) for k in range(0, len(token), BATCH)]
+        flat = np.concatenate([*each, np.zeros(1, np.float32)]).astype(np.float64)
+        upto = np.cumsum([0, *map(len, texts)])
+        return [float(flat[a:b].sum()) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+
     def learn(self, window: np.ndarray, token: np.ndarray, past: list[np.ndarray], rate: float) -> None:
         """One step on a batch, with rates that fall by what each parameter has seen."""
         embedding, scale, _, node = self.parameters
@@ -147,10 +157,11 @@ def summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(at, weights=rows[:, k], minlength=n) for k in range(rows.shape[1])], axis=1).astype(np.float32)
 
 
-def windows(ids: np.ndarray, edge: int) -> np.ndarray:
-    wide = np.concatenate(([edge, edge], ids, [edge, edge]))
+def windows(ids: np.ndarray, edge: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The window of each token, or of those at some places."""
+    wide = np.concatenate((np.full(2, edge, np.int32), ids, np.full(2, edge, np.int32)))
     n = len(ids)
-    return np.stack([wide[2 + p : 2 + p + n] for p in PLACES], axis=1)
+    return np.stack([wide[2 + p : 2 + p + n] if at is None else wide[2 + p + at] for p in PLACES], axis=1)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -196,9 +207,9 @@ def task_training(network: WindowNetwork, flat: np.ndarray, turn: int):
                     continue
                 tokens += len(ids)
                 at = np.arange((turn * 3 + len(ids)) % MASKED, len(ids), MASKED)
-                held.append((windows(ids, network.edge)[at], ids[at]))
+                held.append((windows(ids, network.edge, at), ids[at]))
                 count += len(at)
-                if count >= 8192:
+                if count >= BATCH:
                     network.learn(np.concatenate([w for w, _ in held]), np.concatenate([i for _, i in held]), past, 0.2)
                     held, count = [], 0
         if held and count:
@@ -230,8 +241,7 @@ def trained(docs: DataFrame, size: int = 8191, rounds: int = 2) -> WindowNetwork
     counts = word_counts(texts)
     top = counts.orderBy(F.desc("n"), "word").limit(size).collect()  # bounded by size
     known = sum(r["n"] for r in top)
-    total = counts.agg(F.sum("n")).first()[0] or 0 if len(top) == size else known
-    each = max(1, (total - known) // RARE)
+    each = max(1, known // (4 * RARE))  # a guess at the buckets' share: it only shapes the tree
     network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [each] * RARE, np.int64))
     flat = network.flat()
     for turn in range(rounds):
@@ -256,12 +266,16 @@ def scored(docs: DataFrame, size: int = 8191, rounds: int = 2) -> DataFrame:
         use = shared.value
         ids_of = Ids(use.vocabulary)
         for b in batches:
-            n, pll = [], []
-            for t in b.column(1).to_pylist():
+            texts = b.column(1).to_pylist()
+            n, pll, held, count = [], [], [], 0
+            for k, t in enumerate(texts):
                 ids = np.fromiter(map(ids_of.__getitem__, words_of(t)), np.int32)
-                w = windows(ids, use.edge)
                 n.append(len(ids))
-                pll.append(sum(float(use.log_likelihood(w[k : k + 16384], ids[k : k + 16384]).sum(dtype=np.float64)) for k in range(0, len(ids), 16384)))
+                held.append(ids)
+                count += len(ids)
+                if count >= BATCH or k == len(texts) - 1:
+                    pll += use.sums(held)
+                    held, count = [], 0
             yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(pll, pa.float64()), pa.array([p / k if k else None for p, k in zip(pll, n, strict=True)], pa.float64())], names=["doc_id", "n_tokens", "pll", "mean_pll"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, n_tokens long, pll double, mean_pll double")
