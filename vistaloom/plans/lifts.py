@@ -75,43 +75,44 @@ lift(
 select cast(n_nationkey as bigint) inst_id, case n_nationkey when 3 then 'wall' when 7 then ' Floor ' when 9 then 'Door Frame' when 5 then '' else concat('obj', cast(n_nationkey as string)) end label from {nation}
 """,
 )
+lift("l_lines", "select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) line from {lineitem}")
 lift(
     "l_dets",
     """
-select l_orderkey frame, l_linenumber det, l_linenumber % 3 run, p_name label, lower(p_brand) canonical, round(1 - l_discount - l_tax, 4) score,
+select l_orderkey frame, cast(line as int) det, line % 3 run, p_name label, lower(p_brand) canonical, round(1 - l_discount - l_tax, 4) score,
   cast((l_partkey * 13 + l_suppkey * 7) % 400 as double) x0, cast((l_partkey * 5 + l_suppkey * 11) % 300 as double) y0,
   cast((l_partkey * 13 + l_suppkey * 7) % 400 as double) + 60 + l_quantity * 4 x1, cast((l_partkey * 5 + l_suppkey * 11) % 300 as double) + 40 + p_size * 3 y1
-from {lineitem} join {part} on l_partkey = p_partkey
+from l_lines join {part} on l_partkey = p_partkey
 """,
 )
 lift(
     "l_near",
     """
-select l_orderkey frame, l_linenumber det, l_linenumber % 3 run, concat('c', cast(l_linenumber % 2 as string)) canonical, concat('w', cast(l_suppkey % 3 as string)) label, round(1 - l_discount - l_tax, 4) score,
-  cast(100 + (l_partkey % 4) * 25 as double) x0, cast(80 + (l_suppkey % 3) * 20 as double) y0, cast(220 + (l_partkey % 4) * 25 + l_quantity as double) x1, cast(190 + (l_suppkey % 3) * 20 + l_linenumber as double) y1
-from {lineitem}
+select l_orderkey frame, cast(line as int) det, line % 3 run, concat('c', cast(line % 2 as string)) canonical, concat('w', cast(l_suppkey % 3 as string)) label, round(1 - l_discount - l_tax, 4) score,
+  cast(100 + (l_partkey % 4) * 25 as double) x0, cast(80 + (l_suppkey % 3) * 20 as double) y0, cast(220 + (l_partkey % 4) * 25 + l_quantity as double) x1, cast(190 + (l_suppkey % 3) * 20 + line as double) y1
+from l_lines
 """,
 )
 lift(
     "l_gt",
     """
-select l_orderkey frame, l_linenumber inst, concat('w', cast((l_suppkey + l_partkey) % 3 as string)) label,
+select l_orderkey frame, cast(line as int) inst, concat('w', cast((l_suppkey + l_partkey) % 3 as string)) label,
   cast(90 + (l_suppkey % 4) * 28 as double) x0, cast(70 + (l_partkey % 3) * 22 as double) y0, cast(205 + (l_suppkey % 4) * 28 + l_quantity as double) x1, cast(185 + (l_partkey % 3) * 22 as double) y1
-from {lineitem} where l_linenumber <= 5
+from l_lines where line <= 5
 """,
 )
 lift(
     "l_matches",
     """
-select concat('scene', lpad(cast(o_custkey % 40 as string), 4, '0')) scene_id, l_orderkey pair_id, l_linenumber match_idx, l_returnflag <> 'R' visible,
-  round(l_extendedprice / 20000, 4) x, round(l_quantity / 12, 4) y, round(l_tax * 20, 4) z,
+select concat('scene', lpad(cast(o_custkey % 40 as string), 4, '0')) scene_id, l_orderkey pair_id, cast(line as int) match_idx, l_returnflag <> 'R' visible,
+  round(l_extendedprice / 20000 + 1e-9, 4) x, round(l_quantity / 12, 4) y, round(l_tax * 20, 4) z,
   round(1 + l_quantity / 15, 4) depth_src, round(1 + l_quantity / 15 + l_discount * 8 - 0.3, 4) depth_obs, round(l_discount * 5, 4) iou,
   l_suppkey % 4 src_cat, (l_suppkey + case when l_partkey % 5 = 0 then 1 else 0 end) % 4 tgt_cat, l_partkey % 9 src_mask, l_partkey % 9 + case when l_partkey % 7 = 0 then 0 - l_partkey % 9 - 1 else 0 end tgt_mask,
   round(0.2 + l_tax * 5 + l_discount, 4) src_score, round(0.15 + l_discount * 6, 4) tgt_score, round(0.45 + l_discount * 5, 4) coverage,
   cast(100 + l_quantity * 3 as double) src_area, cast(60 + (l_partkey % 50) * 8 as double) tgt_area,
   l_quantity * 13 - 5.5 u, (l_partkey % 100) * 5 - 6.25 v,
   case when l_suppkey % 11 = 0 then ' ' else concat('cat', cast(l_suppkey % 4 as string)) end src_label, case when l_suppkey % 13 = 0 then '' else concat('Cat', cast(l_suppkey % 4 as string)) end tgt_label
-from {lineitem} join {orders} on l_orderkey = o_orderkey
+from l_lines join {orders} on l_orderkey = o_orderkey
 """,
 )
 lift(
@@ -165,7 +166,7 @@ select doc_id frame, case doc_id % 7
   when 0 then concat('[{"object": "chair", "canonical": "Chair"}, {"object": "t', cast(doc_id as string), '"}]')
   when 1 then concat('Sure!', chr(10), '```json', chr(10), '[{"object": " lamp ", "canonical": ""}, {"name": "x"}]', chr(10), '```')
   when 2 then '[{"object": "a[1]", "canonical": "b"}, {"object": "cut'
-  when 3 then 'no array' when 4 then '[]' when 5 then '[{"object": "q\\"]", "n": 1}] trailing ]' else '' end answer
+  when 3 then 'no array' when 4 then '[]' when 5 then concat('[{"object": "q', chr(92), '"]", "n": 1}] trailing ]') else '' end answer
 from {documents}
 """,
 )
