@@ -8,14 +8,13 @@ and the blocks. A block holds BLOCK bits of a plane, zstd-compressed where that
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,9 @@ from vistaloom.llm.common import partitions, saved, scratch, small_batches
 
 MAGIC = b"WVLM0001"
 BLOCK = 1 << 16
-CACHE = 700_000
+CACHE = 1_600_000
+#: Bytes of text that are cut and looked up together.
+TOGETHER = 6_000_000
 
 
 def packed_planes(tokens: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -38,13 +39,17 @@ def packed_planes(tokens: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, i
     a = tokens
     for b in range(bits - 1, -1, -1):
         one = (a & a.dtype.type(1 << b)) != 0
-        low = a[~one]
+        low = a.compress(~one)
         yield np.packbits(one, bitorder="little"), len(low)
-        a = np.concatenate((low, a[one]))
+        a = np.concatenate((low, a.compress(one)))
 
 
-def written(tokens: np.ndarray, doc_ids: list[int | None], offsets: np.ndarray, bits: int) -> bytes:
-    """The bytes of a shard file."""
+def written(tokens: np.ndarray, doc_ids: list[int | None], offsets: np.ndarray) -> bytes:
+    """The bytes of a shard file. Planes are of the tokens' numbers among those that occur, so that there are few."""
+    present = np.flatnonzero(np.bincount(tokens)) if len(tokens) else np.zeros(0, np.int64)
+    number = np.zeros(int(present[-1]) + 1 if len(present) else 1, np.uint16 if len(present) <= 1 << 16 else np.uint32)
+    number[present] = np.arange(len(present))
+    tokens, bits = number[tokens], max(1, max(0, len(present) - 1).bit_length())
     zip_ = zstandard.ZstdCompressor(level=1)
     header: dict = {"tokens": len(tokens), "bits": bits, "docs": len(doc_ids), "null_ids": [k for k, d in enumerate(doc_ids) if d is None], "sections": {}, "zeros": []}
     parts: list[bytes] = []
@@ -58,6 +63,7 @@ def written(tokens: np.ndarray, doc_ids: list[int | None], offsets: np.ndarray,
 
     put("doc_ids", np.array([d or 0 for d in doc_ids], "<i8").tobytes())
     put("offsets", offsets.astype("<i8").tobytes())
+    put("alphabet", present.astype("<i8").tobytes())
     for k, (packed, zeros) in enumerate(packed_planes(tokens, bits)):
         header["zeros"].append(zeros)
         blocks, places, ones = [], [0], [0]
@@ -88,6 +94,7 @@ class WaveletShard:
         for k in self.header["null_ids"]:
             self.doc_ids[k] = None
         self.offsets = self.numbers("offsets")
+        self.alphabet = self.numbers("alphabet")
         self.zeros = self.header["zeros"]
         self.places = [self.numbers(f"places{k}") for k in range(self.bits)]
         self.ones = [self.numbers(f"ones{k}") for k in range(self.bits)]
@@ -124,21 +131,27 @@ class WaveletShard:
             before = self.ones_before(k, i)
             token = token << 1 | one
             i = self.zeros[k] + before if one else i - before
-        return token
+        return int(self.alphabet[token])
 
-    def span(self, token: int, upto: int) -> tuple[int, int]:
-        """The run of the last plane's order that holds the token's occurrences before a place."""
+    def number(self, token: int) -> int | None:
+        """A token's number among those that occur."""
+        k = int(np.searchsorted(self.alphabet, token))
+        return k if k < len(self.alphabet) and self.alphabet[k] == token else None
+
+    def span(self, number: int, upto: int) -> tuple[int, int]:
+        """The run of the last plane's order that holds a token's occurrences before a place."""
         a, b = 0, upto
         for k in range(self.bits):
             x, y = self.ones_before(k, a), self.ones_before(k, b)
-            a, b = (self.zeros[k] + x, self.zeros[k] + y) if token >> (self.bits - 1 - k) & 1 else (a - x, b - y)
+            a, b = (self.zeros[k] + x, self.zeros[k] + y) if number >> (self.bits - 1 - k) & 1 else (a - x, b - y)
         return a, b
 
     def rank(self, token: int, upto: int) -> int:
         """How often the token occurs before a place."""
-        if token >> self.bits:
+        number = self.number(token)
+        if number is None:
             return 0
-        a, b = self.span(token, upto)
+        a, b = self.span(number, upto)
         return b - a
 
     def count(self, token: int) -> int:
@@ -153,12 +166,13 @@ class WaveletShard:
 
     def select(self, token: int, j: int) -> int:
         """The place of the token's (j + 1)th occurrence."""
-        a, b = self.span(token, self.n)
+        number = self.number(token)
+        a, b = (0, 0) if number is None else self.span(number, self.n)
         if not 0 <= j < b - a:
             raise IndexError(j)
         i = a + j
         for k in range(self.bits - 1, -1, -1):
-            one = token >> (self.bits - 1 - k) & 1
+            one = number >> (self.bits - 1 - k) & 1
             i = self.place_of(k, one, i - self.zeros[k] if one else i)
         return i
 
@@ -176,71 +190,124 @@ class WaveletShard:
             out[~one] = a[: self.zeros[k]]
             out[one] = a[self.zeros[k] :] | kind(1 << (self.bits - 1 - k))
             a = out
-        return a
+        return self.alphabet.astype("<u4")[a] if self.n else np.zeros(0, "<u4")
+
+
+#: Kinds of bytes: letters (all beyond ASCII too), digits, spaces, other white space, and the rest.
+LETTER, DIGIT, SPACE, BREAK, SIGN = range(5)
+KINDS = np.array([LETTER if b >= 128 or 65 <= b <= 90 or 97 <= b <= 122 else DIGIT if 48 <= b <= 57 else SPACE if b == 32 else BREAK if 9 <= b <= 13 else SIGN for b in range(256)], np.uint8)
+WHITE = (KINDS == SPACE) | (KINDS == BREAK)
+ODD = np.array([b == 39 or 28 <= b <= 31 for b in range(256)])
 
 
 class Encoder:
     """Whole texts to packed ids.
 
-    Where no two white-space characters meet, a text splits into the same pieces if it is cut before each space and around
-    each line break, so each word is encoded once as long as it is kept; other texts, and those with a special token's name,
-    go to the library whole. New words go to it many at a time, as one text: each begins with its space, and so does the
-    first token of each and no other.
+    Texts are cut where the tokenizer's pattern cuts them: at each change between letters, digits and other signs, a space
+    going with what follows it. That holds where no two white-space characters meet, there is no apostrophe, and all beyond
+    ASCII are letters; other texts, and those with a special token's name, go to the library whole. Each distinct piece of a
+    batch is looked up once, and new ones go to the library many at a time, as one text: each begins with its space, and so
+    does the first token of each and no other.
     """
 
     def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.bits = max(1, max(end_id, self.tokenizer.get_vocab_size() - 1).bit_length())
         self.kind, self.type = ("H", np.uint16) if self.bits <= 16 else ("I", np.uint32)
-        self.end = array(self.kind, [end_id]).tobytes()
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([r"\s\s", *special])).search
+        self.end = np.array([end_id], self.type)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.beyond = re.compile(r"[^\x00-\x7f]+").findall
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         self.spaced = np.zeros(1 << self.bits, bool)
         self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {"": self.whole(" ")}
-        self.line = self.whole("\n")
+        self.known: dict[bytes, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
-    def learn(self, words: list[str]) -> None:
-        """Keeps the ids of words, each with a space in front."""
-        groups = [words[k : k + 128] for k in range(0, len(words), 128)]
-        for group, got in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+    def learn(self, pieces: list[bytes]) -> None:
+        spaced = [p for p in pieces if p[:1] == b" " and len(p) > 1]
+        groups = [spaced[k : k + 128] for k in range(0, len(spaced), 128)]
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast([b"".join(g).decode(errors="replace") for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(got.ids, self.type)
             cuts = (np.flatnonzero(self.spaced[ids]) * ids.itemsize).tolist()
             packed = ids.tobytes()
-            self.rest.update(zip(group, [packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)], strict=True)], strict=True))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.rest) >= CACHE:
-            self.rest = {"": self.rest[""]}
-        if len(self.first) >= CACHE:
-            self.first = {}
-        split = [None if self.odd(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
-        lines = [x for t in split if t for x in t]
-        new = set(chain.from_iterable([x[1:] for x in lines])) - self.rest.keys()
-        if new:
-            # A run of letters with one sign behind it is two pieces, and letters recur with other signs.
-            ends = [w for w in new if not w[-1].isalnum() and w[:-1].isalpha()]
-            for sign in {w[-1] for w in ends} - self.first.keys():
-                self.first[sign] = self.whole(sign)
-            new.difference_update(ends)
-            new.update({w[:-1] for w in ends} - self.rest.keys())
-            self.learn(sorted(new))
-            rest, first = self.rest, self.first
-            rest.update([(w, rest[w[:-1]] + first[w[-1]]) for w in ends])
-        for word in {x[0] for x in lines} - self.first.keys():
-            self.first[word] = self.whole(word)
-        of, head = self.rest.__getitem__, self.first
-        return [
-            (self.whole(t) if s is None else self.line.join([head[x[0]] + b"".join(map(of, x[1:])) for x in s])) + self.end
-            for t, s in zip(texts, split, strict=True)
-        ]
+            self.known.update(zip(group, [packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)], strict=True)], strict=True))
+        for p in pieces:
+            if p not in self.known:
+                self.known[p] = self.whole(p.decode(errors="replace")).tobytes()
+
+    def regular(self, text: str) -> bool:
+        return not any(t in text for t in self.special) and (text.isascii() or all(map(str.isalpha, self.beyond(text))))
+
+    def pieces(self, buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where pieces begin in texts laid end to end, which begin at starts."""
+        kind = KINDS[buf]
+        cut = np.empty(len(buf), bool)
+        cut[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+        cut[1:] &= kind[:-1] != SPACE
+        cut |= kind == SPACE
+        cut[1:] |= kind[:-1] == BREAK
+        cut[starts] = True
+        return np.flatnonzero(cut)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Of each text its ids and the end id."""
+        out: list[np.ndarray] = [self.end] * len(texts)
+        some = [k for k, t in enumerate(texts) if t]
+        if not some:
+            return out
+        raw = [texts[k].encode() for k in some]
+        joined = b"".join(raw)
+        buf = np.frombuffer(joined + bytes(8), np.uint8)
+        edge = np.cumsum([0, *map(len, raw)])
+        white = WHITE[buf[:-8]]
+        met = white[1:] & white[:-1]
+        met[edge[1:-1] - 1] = False
+        odd = {*(np.searchsorted(edge, np.append(np.flatnonzero(met), np.flatnonzero(ODD[buf[:-8]])), side="right") - 1).tolist()}
+        at = self.pieces(buf[:-8], edge[:-1])
+        stop = np.append(at[1:], len(joined))
+        size = stop - at
+        mark = hashed_spans(buf, at, size)
+        mark, first, which = np.unique(mark, return_index=True, return_inverse=True)
+        distinct = [joined[a:b] for a, b in zip(at[first].tolist(), stop[first].tolist(), strict=True)]
+        if len(self.known) >= CACHE:
+            self.known = {}
+        if new := [p for p in distinct if p not in self.known]:
+            self.learn(new)
+        packed = [self.known[p] for p in distinct]
+        ids = np.frombuffer(b"".join(packed), self.type)
+        count = np.fromiter(map(len, packed), np.int64, len(packed)) // ids.itemsize
+        begin = np.cumsum(count) - count
+        each = count[which]
+        upto = np.cumsum(each)
+        flat = ids[np.repeat(begin[which] - (upto - each), each) + np.arange(upto[-1])]
+        cut = np.append(0, upto)[np.searchsorted(at, edge)]
+        for n, (k, a, b) in enumerate(zip(some, cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+            out[k] = np.concatenate((flat[a:b] if n not in odd and self.regular(texts[k]) else self.whole(texts[k]), self.end))
+        return out
+
+
+def hashed_spans(buf: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; 8 readable bytes follow the last span."""
+    x = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    low = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    live = np.arange(len(at))
+    step = 0
+    while len(live):
+        left = size[live] - step
+        part = x[np.minimum(at[live] + step, len(x) - 1)] & low[np.minimum(left, 8)]
+        m = (h[live] ^ part) * np.uint64(0xBF58476D1CE4E5B9)
+        m = (m ^ (m >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        h[live] = m ^ (m >> np.uint64(29))
+        live = live[left > 8]
+        step += 8
+    return h
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -258,21 +325,32 @@ def write_shards(folder: str, tokenizer: str, end_id: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(tokenizer, end_id)
-        docs: list[tuple[bool, int, bytes]] = []
+        docs: list[tuple[bool, int, np.ndarray]] = []
+        names: list[int | None] = []
+        texts: list[str] = []
+
+        def encode() -> None:
+            docs.extend((d is not None, d or 0, x) for d, x in zip(names, use.ids(texts), strict=True))
+            names.clear()
+            texts.clear()
+
         for b in batches:
-            ids = use.ids([t or "" for t in b.column(1).to_pylist()])
-            docs += [(d is not None, d or 0, x) for d, x in zip(b.column(0).to_pylist(), ids, strict=True)]
+            names += b.column(0).to_pylist()
+            texts += [t or "" for t in b.column(1).to_pylist()]
+            if sum(map(len, texts)) >= TOGETHER:
+                encode()
+        encode()
         if not docs:
             return
         docs.sort(key=lambda x: x[:2])
-        offsets = np.cumsum([0] + [len(x) // len(use.end) for *_, x in docs])
-        tokens = np.frombuffer(b"".join(x for *_, x in docs), use.type)
+        offsets = np.cumsum([0] + [len(x) for *_, x in docs])
+        tokens = np.concatenate([x for *_, x in docs])
         shard = TaskContext.get().partitionId()
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         path, own = f"{base}/shard-{shard:07d}.wvlm", f"{base}/{uuid.uuid4().hex}.part"
         with fs.open_output_stream(own) as out:  # attempts don't meet; each moves a whole file into place
-            out.write(written(tokens, [d if known else None for known, d, _ in docs], offsets, use.bits))
+            out.write(written(tokens, [d if known else None for known, d, _ in docs], offsets))
         fs.move(own, path)
         yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([path.rpartition("/")[2]]), pa.array([len(docs)], pa.int64()), pa.array([len(tokens)], pa.int64())], names=["shard", "file", "n_docs", "n_tokens"])
 
@@ -288,7 +366,7 @@ def read_shards(folder: str):
             for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 with fs.open_input_stream(f"{base}/{file}") as source:
                     shard = WaveletShard(source.read())
-                tokens, at = shard.tokens().astype("<u4"), shard.offsets
+                tokens, at = shard.tokens(), shard.offsets
                 for k in range(0, len(shard.doc_ids), 2000):
                     part = at[k : k + 2001]
                     crc = [zlib.crc32(tokens[x:y].tobytes()) for x, y in zip(part[:-1].tolist(), part[1:].tolist(), strict=True)]
