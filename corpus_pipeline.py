@@ -20,7 +20,7 @@ LEAST_SCORE = 0.2
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told: not without letters, and not of n-grams foreign to every learned language."""
     model = language_id.learned(docs.where(~language_id.held_out()))
-    found = language_id.predicted(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, ("row",))
+    found = language_id.predicted(docs, model, tuple(docs.columns))
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return kept.select("row.*")
 

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from vistaloom.llm.common import small_batches
 
-CACHE = 500_000
+#: Entries of each of a worker's tables; workers of a stage outlive it, so what they hold is kept small.
+CACHE = 250_000
 LATE = 1 << 60
 
 

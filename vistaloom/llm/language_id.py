@@ -128,24 +128,27 @@ def learned(train: DataFrame, fit_rows: int = 20_000, min_share: float = 0.002)
 
 
 def predicted(docs: DataFrame, model: BitSlicedFilter, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """columns with lang_pred and score of every row.
+    """(row, lang_pred, score) of every row: row is a struct of columns, whatever their names.
 
     Null, empty and letterless texts are `und` with score 0; texts of any length are read whole. Equal texts get equal
     results, rows repeat as they come, and only the text decides. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 250)
     shared = spark.sparkContext.broadcast(model)  # its size is bounded by the sample's n-grams, not by the documents
+    fields = [*columns] if "text" in columns else [*columns, "text"]
+    place = fields.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = shared.value
         for b in batches:
-            got = [use.decide(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.record_batch([*b.columns[:-1], pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=[*b.schema.names[:-1], "lang_pred", "score"])
+            row = b.column(0)
+            got = [use.decide(t) for t in row.field(place).cast(pa.string()).to_pylist()]
+            kept = row if len(fields) == len(columns) else pa.StructArray.from_arrays([row.field(k) for k in range(len(columns))], fields=[row.type.field(k) for k in range(len(columns))])
+            yield pa.record_batch([kept, pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=["row", "lang_pred", "score"])
 
-    chosen = docs.select(*columns, F.col("text").cast("string").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(rows, f"{fields}, lang_pred string, score double")
+    kept_type = docs.select(F.struct(*columns).alias("row")).schema["row"].dataType.simpleString()
+    return docs.select(F.struct(*fields).alias("row")).mapInArrow(rows, f"row {kept_type}, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -156,4 +159,5 @@ def held_out(doc_id: str = "doc_id"):
 def identified(docs: DataFrame, fit_rows: int = 20_000) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row, learned from the rows that aren't held out."""
     model = learned(docs.where(~held_out()), fit_rows)
-    return predicted(docs.withColumn("held_out", held_out()), model, ("doc_id", "held_out"))
+    found = predicted(docs.select("doc_id", held_out().alias("held_out"), "text"), model, ("doc_id", "held_out"))
+    return found.select("row.*", "lang_pred", "score")
