@@ -13,8 +13,8 @@ from vistaloom.llm.common import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Share of a document's n-grams that its language must contain. Clean prose has four fifths and more.
-LEAST_SCORE = 0.2
+#: Share of a document's n-grams that its language must contain. Clean prose has four fifths and more, odd lines two fifths.
+LEAST_SCORE = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

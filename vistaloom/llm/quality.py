@@ -18,6 +18,8 @@ GRAM = np.uint64((1 << 24) - 1)
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Weight of the labellers' assumed votes against the documents' own.
 TRUST = 0.3
+#: Labellers are written to be specific: none is taken to call more than this share of good texts bad.
+FALSE_ALARMS = 0.005
 #: N-grams at which a text counts for half of what a long one does.
 FEW = 60
 SYMBOLS = np.array([c in b"#$%&*|<>{}[]=\\^~_@+" for c in range(256)])
@@ -85,8 +87,11 @@ class LabelModel:
         for _ in range(rounds):
             mass = p * weight[:, None]
             prior = (mass.sum(axis=0) + 1) / (weight.sum() + 2)
-            table = np.array([[[mass[patterns[:, j] == v, c].sum() + before[c, v] + 1 for v in (BAD, GOOD)] for c in (BAD, GOOD)] for j in range(patterns.shape[1])])
-            model = cls(prior, table / table.sum(axis=2, keepdims=True))
+            table = np.array([[[mass[patterns[:, j] == v, c].sum() + before[c, v] + 1e-3 for v in (BAD, GOOD)] for c in (BAD, GOOD)] for j in range(patterns.shape[1])])
+            table /= table.sum(axis=2, keepdims=True)
+            table[:, GOOD, BAD] = np.minimum(table[:, GOOD, BAD], FALSE_ALARMS)
+            table[:, GOOD, GOOD] = 1 - table[:, GOOD, BAD]
+            model = cls(prior, table)
             p = model.posteriors(patterns)
         return model
 
@@ -170,11 +175,11 @@ def fit_scorer(docs: DataFrame, model: LabelModel, fit_rows: int = 6000) -> np.n
     return np.frombuffer(got[0]["weights"], np.float32) if got else np.zeros(BUCKETS + 1, np.float32)
 
 
-def scored(docs: DataFrame, fit_rows: int = 6000, threshold: float = 0.5) -> DataFrame:
+def scored(docs: DataFrame, fit_rows: int = 6000, threshold: float = 0.35) -> DataFrame:
     """(doc_id, score, keep, posterior) of every row.
 
     score: the scorer's probability that the text is good; posterior: what the labellers' votes on the text alone say; keep:
-    score at or above the threshold. The accuracies come from the votes on all documents, the scorer from a bounded sample.
+    score at or above the threshold, which leans towards keeping. The accuracies come from the votes on all documents, the scorer from a bounded sample.
     A null, empty or wordless text has score 0 and isn't kept. Texts are read whole; equal texts get equal results; rows
     repeat as they come; other columns are ignored. An empty table gives no rows.
     """
