@@ -121,7 +121,7 @@ def scene_images(spark: SparkSession, root: str, kinds: tuple[str, ...] = ("jpg"
 
 def scene_poses(spark: SparkSession, root: str) -> DataFrame:
     """(scene_id, frame_id, pose) of <root>/<scene>/pose/<id>.txt: poses alone, without a look at depth."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root).select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("path"))
     form = r"/([^/]+)/pose/([^/]+)\.txt$"
     rows = files.where(F.col("path").rlike(form))
     return rows.select(F.regexp_extract("path", form, 1).alias("scene_id"), F.regexp_extract("path", form, 2).alias("frame_id"), tx.matrix(F.col("value")).alias("pose"))
