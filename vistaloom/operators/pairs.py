@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,16 +75,12 @@ def side(alias: str, names: tuple[str, str, str]) -> g.Vector:
     return tuple(F.col(f"{alias}.{n}") for n in names)
 
 
-def candidates(frames: DataFrame, config: PairConfig, carry: tuple[str, ...] = ("pose",)) -> DataFrame:
-    """Pairs of a scene's frames (ord_a < ord_b) whose gap, distance, angle and yaw difference pass.
+CENTER, AXIS = ("cx", "cy", "cz"), ("ax", "ay", "az")
 
-    frames: scene_id, ord, frame_id, pose and what to carry. An equi-join on scene_id with the cheap tests as its residual,
-    so that nothing is expanded before the pose gate.
-    """
-    view = with_view(frames).select("scene_id", "ord", "frame_id", "cx", "cy", "cz", "ax", "ay", "az", "yaw", *carry)
-    a, b = view.alias("a"), view.alias("b")
-    center, axis = ("cx", "cy", "cz"), ("ax", "ay", "az")
-    distance, angle = g.pose_deltas(side("a", center), side("a", axis), side("b", center), side("b", axis))
+
+def gate(config: PairConfig) -> tuple[Column, Column, Column]:
+    """(test, distance, angle) of frames a and b of one scene; the test is ordered from cheap to dear."""
+    distance, angle = g.pose_deltas(side("a", CENTER), side("a", AXIS), side("b", CENTER), side("b", AXIS))
     test = (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("a.ord") < F.col("b.ord"))
     if config.gap_before() > 0:
         test &= g.gap_passes(F.col("a.frame_id"), F.col("b.frame_id"), config.gap_before())
@@ -90,8 +88,36 @@ def candidates(frames: DataFrame, config: PairConfig, carry: tuple[str, ...] = (
     test &= angle.between(*config.angle)
     if config.yaw > 0:
         test &= g.circular_difference(F.col("a.yaw"), F.col("b.yaw")) >= config.yaw
-    names = [F.col(f"{s}.{n}").alias(f"{n}_{s}") for s in "ab" for n in ("ord", "frame_id", *center, *carry)]
-    return a.join(b, test).select(F.col("a.scene_id").alias("scene_id"), *names, distance.alias("distance"), angle.alias("angle"))
+    return test, distance, angle
+
+
+def candidates(frames: DataFrame, config: PairConfig, carry: tuple[str, ...] = ("pose",)) -> DataFrame:
+    """Pairs of a scene's frames (ord_a < ord_b) whose gap, distance, angle and yaw difference pass.
+
+    frames: scene_id, ord, frame_id, pose and what to carry. An equi-join on scene_id with the cheap tests as its residual,
+    so that nothing is expanded before the pose gate.
+    """
+    view = with_view(frames).select("scene_id", "ord", "frame_id", *CENTER, *AXIS, "yaw", *carry)
+    test, distance, angle = gate(config)
+    names = [F.col(f"{s}.{n}").alias(f"{n}_{s}") for s in "ab" for n in ("ord", "frame_id", *CENTER, *carry)]
+    return view.alias("a").join(view.alias("b"), test).select(F.col("a.scene_id").alias("scene_id"), *names, distance.alias("distance"), angle.alias("angle"))
+
+
+def candidates_by_cell(frames: DataFrame, config: PairConfig, carry: tuple[str, ...] = ("pose",)) -> DataFrame:
+    """The pairs of candidates() for scenes much wider than the greatest distance.
+
+    Frames meet on floor cells of that width: one side stands in its own cell, the other in its own and the eight around it,
+    so a scene spreads over as many tasks as it has cells, and frames that are far apart never meet.
+    """
+    view = with_view(frames).select("scene_id", "ord", "frame_id", *CENTER, *AXIS, "yaw", *carry)
+    cell = {c: F.floor(F.col(n) / config.max_distance).cast("long") for c, n in (("i", "cx"), ("j", "cy"))}
+    left = view.withColumns(cell)
+    around = F.array(*[F.struct((cell["i"] + di).alias("i"), (cell["j"] + dj).alias("j")) for di in (-1, 0, 1) for dj in (-1, 0, 1)])
+    right = view.select("*", F.inline(around).alias("i", "j"))
+    test, distance, angle = gate(config)
+    same = (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+    names = [F.col(f"{s}.{n}").alias(f"{n}_{s}") for s in "ab" for n in ("ord", "frame_id", *CENTER, *carry)]
+    return left.alias("a").join(right.alias("b"), same & test).select(F.col("a.scene_id").alias("scene_id"), *names, distance.alias("distance"), angle.alias("angle"))
 
 
 DepthAt = Callable[[str, Column, Column], Column]
@@ -166,6 +192,29 @@ def diverse(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.join(kept.select("scene_id", "ord_a", "ord_b"), ["scene_id", "ord_a", "ord_b"], "left_semi")
 
 
+def diverse_large(pairs: DataFrame, least: float) -> DataFrame:
+    """diverse() for scenes of very many pairs: the kept places are one NumPy array per scene, and a row costs one pass over it."""
+    if least <= 0:
+        return pairs
+    cols = ["cx_a", "cy_a", "cz_a", "cx_b", "cy_b", "cz_b"]
+
+    def scan(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["quality", "ord_a", "ord_b"], ascending=[False, True, True])
+        at = rows[cols].to_numpy(float)
+        held, n, keep = np.empty((16, 6)), 0, np.zeros(len(rows), bool)
+        for k, x in enumerate(at):
+            if n and np.sqrt(((held[:n] - x) ** 2).sum(axis=1)).min() < least:
+                continue
+            if n == len(held):
+                held = np.concatenate((held, np.empty_like(held)))
+            held[n], keep[k] = x, True
+            n += 1
+        return rows.loc[keep, ["scene_id", "ord_a", "ord_b"]]
+
+    kept = pairs.select("scene_id", "ord_a", "ord_b", "quality", *cols).groupBy("scene_id").applyInPandas(scan, "scene_id string, ord_a long, ord_b long")
+    return pairs.join(kept, ["scene_id", "ord_a", "ord_b"], "left_semi")
+
+
 def depth_ratio(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), F.greatest(a, b) / F.least(a, b)).otherwise(g.num(0))
 
