@@ -353,8 +353,8 @@ def one_key(docs: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("numbered_id")) & (F.xxhash64("text") == F.col("mark")))
 
 
-def apply_removals():
-    """For mapInArrow over (row, text, ranges): row, the bytes that stay and what went."""
+def apply_removals(as_text: bool):
+    """For mapInArrow over (row, text, ranges): row, the bytes (or whole characters) that stay and what went."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -375,14 +375,16 @@ def apply_removals():
                 gone.append(removed)
                 runs.append(spans)
                 kept.append(b"".join(out))
-            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())], names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows
 
 
-def deduplicated(docs: DataFrame, length: int = 100, columns: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 100, columns: tuple[str, ...] = ("doc_id",), hot: int = HOT, as_text: bool = False) -> DataFrame:
     """Per document: row (a struct of columns), n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes).
 
+    as_text: kept is a string, without the bytes of characters that a cut splits.
+
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a document of smaller doc_id, or
     further to the front. Null texts are empty; texts shorter than `length` stay whole. Rows alike in doc_id and text are one
     document and get equal results; rows with one doc_id but different texts are ordered by a hash of the text, and null
@@ -392,7 +394,8 @@ def deduplicated(docs: DataFrame, length: int = 100, columns: tuple[str, ...] =
     ranges = removals(keyed.select("doc", "text").dropDuplicates(["doc"]) if "mark" in keyed.columns else keyed.select("doc", "text"), length, hot)
     found = ranges.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")).withColumnRenamed("doc", "ranges_doc")
     both = keyed.join(found, F.col("doc") == F.col("ranges_doc"), "left").select("row", "text", "ranges")
-    return both.mapInArrow(apply_removals(), f"row {both.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+    kept = "string" if as_text else "binary"
+    return both.mapInArrow(apply_removals(as_text), f"row {both.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept {kept}")
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -400,13 +403,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     Bytes of characters that a cut splits go as well. A null text stays null.
     """
-    found = deduplicated(docs, length, tuple(docs.columns))
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([x.decode(errors="ignore") for x in b.column(1).to_pylist()], pa.string())], names=["row", "kept"])
-
-    text = found.select("row", "kept").mapInArrow(whole, f"row {found.schema['row'].dataType.simpleString()}, kept string")
+    text = deduplicated(docs, length, tuple(docs.columns), as_text=True)  # one Python node, so that a task has one worker
     stays = F.when(F.col("row.text").isNotNull(), F.col("kept"))
     new = {"text": stays, "n_chars": F.length(stays).cast("long")}
     return text.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
