@@ -215,6 +215,16 @@ def diverse_large(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.join(kept, ["scene_id", "ord_a", "ord_b"], "left_semi")
 
 
+def median_depths(frames: DataFrame, depths: DataFrame) -> DataFrame:
+    """(scene_id, ord, median_depth) of frames from raster cells (scene_id, ord, z); 0 where no depth is positive.
+
+    Equal depths of a frame are counted before the shuffle; the median of the counts is exact.
+    """
+    counts = depths.where("z > 0").groupBy("scene_id", "ord", "z").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("scene_id", "ord").agg(F.percentile("z", 0.5, F.col("n")).alias("median_depth"))
+    return frames.join(found, ["scene_id", "ord"], "left").select("scene_id", "ord", F.coalesce("median_depth", F.lit(0.0)).alias("median_depth"))
+
+
 def depth_ratio(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), F.greatest(a, b) / F.least(a, b)).otherwise(g.num(0))
 

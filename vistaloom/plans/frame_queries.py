@@ -74,7 +74,7 @@ NO_TASKS = replace(CONFIG, tasks={})
 query("j1_frame_pairs", gate_sql("d <= 5 and g between 10 and 80 and least(y, 360 - y) >= 30"))(gate(CONFIG))
 query("p3_distance", gate_sql("d <= 3", 0))(gate(replace(NO_TASKS, max_distance=3.0, angle=(0.0, 180.0), yaw=0.0, floors={"unknown": 0})))
 query("p4_angle_window", gate_sql("d <= 5 and g between 20 and 40", 0))(gate(replace(NO_TASKS, angle=(20.0, 40.0), yaw=0.0, floors={"unknown": 0})))
-query("p5_yaw_difference", gate_sql("d <= 5 and g between 0 and 180 and least(y, 360 - y) >= 90", 0))(gate(replace(NO_TASKS, angle=(0.0, 180.0), yaw=90.0, floors={"unknown": 0})))
+query("p5_yaw_difference", gate_sql("d <= 5 and g between 0 and 180 and least(y, 360 - y) >= 89.5", 0))(gate(replace(NO_TASKS, angle=(0.0, 180.0), yaw=89.5, floors={"unknown": 0})))
 
 
 @query("f1_camera_center", "select scene_id, ord, round(cx, 6) x, round(cy, 6) y, round(cz, 6) z from l_frames")
@@ -156,14 +156,14 @@ def camera_sql(f: str, x: str, y: str, z: str) -> tuple[str, str, str]:
     "f9_world_point",
     f"""
 with {LATTICE_SQL}, s as (select f.*, u, v, {sampled_sql('event_id', 'u', 'v')} z from l_frames f, lattice)
-select scene_id, ord, round(u, 2) u, round(v, 2) v, {', '.join(f'round({w}, 4) {n}' for w, n in zip(world_sql('s', 'u', 'v', 'z'), 'xyz'))} from s where z > 0
+select scene_id, ord, round(u, 2) u, round(v, 2) v, {', '.join(f'round({w} + 1e-9, 4) {n}' for w, n in zip(world_sql('s', 'u', 'v', 'z'), 'xyz'))} from s where z > 0
 """,
 )
 def f9(t: Tables) -> DataFrame:
     rows = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", "event_id", "pose", F.inline(pairs.lattice(*IMAGE)).alias("u", "v"))
     rows = rows.withColumn("z", pairs.sampled(lambda _, i, j: depth(F.col("event_id"), i, j), "a", F.col("u"), F.col("v"), IMAGE, CELLS))
     x, y, z = g.unproject(F.col("u"), F.col("v"), F.col("z"), K, F.col("pose"))
-    return rows.where("z > 0").select("scene_id", "ord", F.round("u", 2).alias("u"), F.round("v", 2).alias("v"), R4(x).alias("x"), R4(y).alias("y"), R4(z).alias("z"))
+    return rows.where("z > 0").select("scene_id", "ord", F.round("u", 2).alias("u"), F.round("v", 2).alias("v"), *[F.round(c + 1e-9, 4).alias(n) for c, n in zip((x, y, z), "xyz", strict=True)])
 
 
 @query(
@@ -178,13 +178,11 @@ def a1(t: Tables) -> DataFrame:
 
 
 def medians(t: Tables) -> DataFrame:
-    """Median of each frame's positive depths. A frame's raster is one array, so no cell is shuffled."""
-    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(CELLS[0] - 1)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(CELLS[1] - 1)), lambda j: depth(F.col("event_id"), i.cast("long"), j.cast("long")))))
+    """Median of each frame's positive depths."""
     valid = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", "event_id")
-    ranked = valid.select("scene_id", "ord", F.array_sort(F.filter(cells, lambda z: z > 0)).alias("zs"))
-    n = F.size("zs")
-    middle = (F.get("zs", F.floor((n - 1) / 2).cast("int")) + F.get("zs", F.floor(n / 2).cast("int"))) / 2
-    return ranked.select("scene_id", "ord", F.coalesce(F.when(n > 0, middle), F.lit(0.0)).alias("median_depth"))
+    cells = valid.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(CELLS[0] - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(CELLS[1] - 1))))
+    zs = cells.select("scene_id", "ord", depth(F.col("event_id"), F.col("i").cast("long"), F.col("j").cast("long")).alias("z"))
+    return pairs.median_depths(valid.select("scene_id", "ord"), zs)
 
 
 GATED = "gated as (select * from (" + gate_sql("d <= 5 and g between 10 and 80 and least(y, 360 - y) >= 30").replace("round(d, 4) distance, round(g, 4) angle", "d distance, g angle") + "))"
