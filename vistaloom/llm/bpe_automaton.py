@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from vistaloom.llm.common import small_batches
 
-#: Entries of each of a worker's tables; workers of a stage outlive it, so what they hold is kept small.
-CACHE = 250_000
+#: Entries of a worker's tables. Frequent ones come early, so a full table takes no more; workers outlive their stage, so it is bounded.
+CHUNKS, PIECES, ARCS = 300_000, 500_000, 500_000
 LATE = 1 << 60
 
 
@@ -73,9 +73,9 @@ class Automaton:
         """Whether token b may follow token a; the table of arcs fills as words need them."""
         known = self.arcs.get(a << 32 | b)
         if known is None:
-            if len(self.arcs) >= CACHE:
-                self.arcs.clear()
-            known = self.arcs[a << 32 | b] = self.earliest(a, b) == LATE
+            known = self.earliest(a, b) == LATE
+            if len(self.arcs) < ARCS:
+                self.arcs[a << 32 | b] = known
         return known
 
     def encode(self, symbols: str) -> list[int]:
@@ -142,18 +142,17 @@ class Bpe(dict):
         else:
             ids, n, labels = zip(*parts, strict=True)
             made = (" ".join(ids), sum(n), " ".join(labels))
-        if len(self) >= CACHE:
-            self.clear()
-        self[chunk] = made
+        if len(self) < CHUNKS:
+            self[chunk] = made
         return made
 
     def word(self, piece: str) -> tuple[str, int, str]:
         """One pre-split word; kept apart, as words recur with other punctuation."""
         symbols = piece if piece.isascii() and piece.isprintable() else "".join([self.symbols[b] for b in piece.encode()])
         ids = self.automaton.encode(symbols)
-        if len(self.words) >= CACHE:
-            self.words.clear()
-        made = self.words[piece] = (" ".join(map(str, ids)), len(ids), self.automaton.decode(ids))
+        made = (" ".join(map(str, ids)), len(ids), self.automaton.decode(ids))
+        if len(self.words) < PIECES:
+            self.words[piece] = made
         return made
 
     def chunks(self, text: str) -> Iterator[tuple[str, int, str]]:
