@@ -32,7 +32,7 @@ BATCH = 1 << 14
 
 
 class Ids(dict):
-    """Words to ids; words outside the vocabulary go to a bucket, and as many as fit are remembered."""
+    """Words to ids; None, if put in, is the text's edge. Words outside the vocabulary go to a bucket, and as many as fit are remembered."""
 
     def __init__(self, vocabulary: list[str]):
         super().__init__((w, k) for k, w in enumerate(vocabulary))
@@ -157,11 +157,11 @@ def summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(at, weights=rows[:, k], minlength=n) for k in range(rows.shape[1])], axis=1).astype(np.float32)
 
 
-def windows(ids: np.ndarray, edge: int, at: np.ndarray | None = None) -> np.ndarray:
-    """The window of each token, or of those at some places."""
+def windows(ids: np.ndarray, edge: int) -> np.ndarray:
+    """The window of each token."""
     wide = np.concatenate((np.full(2, edge, np.int32), ids, np.full(2, edge, np.int32)))
     n = len(ids)
-    return np.stack([wide[2 + p : 2 + p + n] if at is None else wide[2 + p + at] for p in PLACES], axis=1)
+    return np.stack([wide[2 + p : 2 + p + n] for p in PLACES], axis=1)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -197,18 +197,25 @@ def task_training(network: WindowNetwork, flat: np.ndarray, turn: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network.load(flat)
         ids_of, tokens = Ids(network.vocabulary), 0
+        ids_of[None] = network.edge
         past = [np.full(s, 0.1, np.float32) for s in network.shapes]
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                ids = np.fromiter(map(ids_of.__getitem__, words_of(t)), np.int32)
-                if not len(ids):
+                words = words_of(t)
+                n = len(words)
+                if not n:
+                    continue
+                tokens += n
+                # Only the words in windows of masked places are looked up: each place of the window is a stride through the text.
+                first = (turn * 3 + n) % MASKED
+                if first >= n:
                     continue
-                tokens += len(ids)
-                at = np.arange((turn * 3 + len(ids)) % MASKED, len(ids), MASKED)
-                held.append((windows(ids, network.edge, at), ids[at]))
-                count += len(at)
+                wide = [None, None, *words, None, None]
+                columns = [np.fromiter(map(ids_of.__getitem__, wide[first + k : first + k + n - first : MASKED]), np.int32) for k in range(5)]
+                held.append((np.stack([columns[2 + p] for p in PLACES], axis=1), columns[2]))
+                count += len(columns[2])
                 if count >= BATCH:
                     network.learn(np.concatenate([w for w, _ in held]), np.concatenate([i for _, i in held]), past, 0.2)
                     held, count = [], 0
@@ -239,7 +246,8 @@ def trained(docs: DataFrame, size: int = 8191, rounds: int = 2) -> WindowNetwork
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("text").cast("string").alias("text"))
     counts = word_counts(texts)
-    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()  # bounded by size
+    # Bounded by size; the exchange has a task merge the partitions' candidates, which the driver would do otherwise.
+    top = sorted(counts.orderBy(F.desc("n"), "word").limit(size).repartition(1).collect(), key=lambda r: (-r["n"], r["word"]))
     known = sum(r["n"] for r in top)
     each = max(1, known // (4 * RARE))  # a guess at the buckets' share: it only shapes the tree
     network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [each] * RARE, np.int64))
