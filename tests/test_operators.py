@@ -276,6 +276,32 @@ def test_config():
     assert config.pair_config("scannet", {"quality": 0.3, "tasks": {"t": {"angle": 5.0}}}).tasks["t"].angle == 5.0
 
 
+def test_prompt_text():
+    assert config.prompt_text("ask", "a.txt") == "ask" and config.prompt_text('{"prompt": "ask"}', "a.json") == "ask"
+
+
+def test_intrinsics(spark, tmp_path):
+    for name, text in (("s1/intrinsic/intrinsic_color.txt", "1 0 2\n0 1 3\n0 0 1"), ("s1/intrinsic_per_frame/7.txt", "5,0,6,0,5,7,0,0,1"), ("s2/intrinsic/color.txt", "9 0 9 0 9 9 0 0 1")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    frames = spark.createDataFrame([("s1", "7"), ("s1", "8"), ("s2", "7"), ("s3", "1")], "scene_id string, frame_id string")
+    got = {(r.scene_id, r.frame_id): r.k and r.k[0] for r in scans.with_intrinsics(frames, *scans.intrinsics(spark, str(tmp_path))).collect()}
+    assert got == {("s1", "7"): 5, ("s1", "8"): 1, ("s2", "7"): 9, ("s3", "1"): None}
+
+
+def test_cells_and_large_scenes_give_the_same(spark):
+    r = random.Random(2)
+    rows = [("s", k, f"{k}", k, pose(r.uniform(0, 360), r.uniform(0, 40), r.uniform(0, 40), up="z")) for k in range(120)]
+    frames = spark.createDataFrame(rows, "scene_id string, ord long, frame_id string, event_id long, pose array<double>")
+    c = pairs.PairConfig(source="unknown", yaw=0.0, tasks={}, floors={"unknown": 0})
+    key = lambda d: sorted((q.ord_a, q.ord_b) for q in d.collect())
+    a = pairs.candidates(frames, c)
+    assert key(a) == key(pairs.candidates_by_cell(frames, c)) and key(a)
+    scored = a.withColumn("quality", F.round(F.rand(1), 2))
+    fixed = spark.createDataFrame(scored.collect(), scored.schema)
+    assert key(pairs.diverse(fixed, 5.0)) == key(pairs.diverse_large(fixed, 5.0))
+
+
 def test_models(spark):
     def factory():
         calls = {}

@@ -44,6 +44,11 @@ def load(text: str) -> dict:
     return without_comments(json.loads(text))
 
 
+def prompt_text(text: str, name: str) -> str:
+    """A prompt file's text: the body, or what a JSON file has under `prompt`."""
+    return json.loads(text)["prompt"] if name.endswith(".json") else text
+
+
 def stage(name: str, run: str = "default", overrides: dict[str, Any] | None = None) -> dict[str, Any]:
     """A stage's settings: its own, then the run's, then those given that aren't None."""
     if name not in STAGES:

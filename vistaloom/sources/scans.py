@@ -127,6 +127,22 @@ def scene_poses(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(F.regexp_extract("path", form, 1).alias("scene_id"), F.regexp_extract("path", form, 2).alias("frame_id"), tx.matrix(F.col("value")).alias("pose"))
 
 
+def intrinsics(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """((scene_id, k), (scene_id, frame_id, k)): camera matrices of scenes, and of single frames where there are any."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("path"))
+    whole, single = r"/([^/]+)/intrinsic/[^/]*color[^/]*\.txt$", r"/([^/]+)/intrinsic_per_frame/([^/]+)\.txt$"
+    scenes = files.where(F.col("path").rlike(whole)).select(F.regexp_extract("path", whole, 1).alias("scene_id"), tx.matrix(F.col("value")).alias("k"))
+    frames = files.where(F.col("path").rlike(single)).select(F.regexp_extract("path", single, 1).alias("scene_id"), F.regexp_extract("path", single, 2).alias("frame_id"), tx.matrix(F.col("value")).alias("k"))
+    return scenes, frames
+
+
+def with_intrinsics(frames: DataFrame, scenes: DataFrame, single: DataFrame) -> DataFrame:
+    """frames with k: the frame's own camera matrix, else its scene's."""
+    own = single.select("scene_id", "frame_id", F.col("k").alias("own_k"))
+    usual = scenes.select("scene_id", F.col("k").alias("usual_k"))
+    return frames.join(own, ["scene_id", "frame_id"], "left").join(usual, "scene_id", "left").withColumn("k", F.coalesce("own_k", "usual_k")).drop("own_k", "usual_k")
+
+
 def aggregation(spark: SparkSession, path: str) -> DataFrame:
     """(inst_id, label) of a scene's segment groups; instances count from 1."""
     rows = spark.read.schema("segGroups array<struct<objectId:int,label:string>>").option("multiLine", True).json(path)
