@@ -177,7 +177,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFra
     """
     spark = docs.sparkSession
     prints = saved(fingerprints(docs, words), "simhash-prints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    # Written, so that the last join has plain exchanges on both sides, which AQE splits where one text has very many copies.
+    classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     dealt = leaves(classes.where("rep is not null"), radius).repartition(partitions(spark), "leaf")
     links = dealt.mapInArrow(leaf_links(radius), "a long, b long")
     found = components(links, "simhash-links")
