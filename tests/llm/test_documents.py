@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -379,6 +380,21 @@ def test_pseudo_likelihood(spark, empty):
     assert pseudo_likelihood.scored(empty.select("doc_id", "text")).count() == 0
 
 
+def test_every_token_is_a_target_once(monkeypatch):
+    """Texts of 1 to 40 words, none twice in the corpus: what the rounds learn is the corpus, short texts too."""
+    texts = [[f"w{n}x{k}" for k in range(n)] for n in range(1, 41)]
+    words = sorted(w for t in texts for w in t)
+    network = pseudo_likelihood.WindowNetwork(words, np.ones(len(words) + pseudo_likelihood.RARE, np.int64))
+    seen = []
+    monkeypatch.setattr(network, "learn", lambda window, token, past, rate: seen.extend(token.tolist()))
+    monkeypatch.setattr(pseudo_likelihood.TaskContext, "get", lambda: type("", (), {"partitionId": lambda self: 0})())
+    batch = pa.record_batch([pa.array([" ".join(t) for t in texts] + [None, ""])], names=["text"])
+    weights = []
+    for turn in range(2):
+        weights += [b.column("targets")[0].as_py() for b in pseudo_likelihood.task_training(network, network.flat(), turn, 2)(iter([batch]))][:1]
+    assert sorted(seen) == list(range(len(words))) and sum(weights) == len(words)
+
+
 def test_huffman_probabilities_sum_to_one():
     net = pseudo_likelihood.WindowNetwork(["a", "b", "c"], np.array([9, 5, 2] + [1] * pseudo_likelihood.RARE))
     net.parameters[3] = np.random.default_rng(0).standard_normal(net.parameters[3].shape).astype(np.float32)

@@ -2,8 +2,9 @@
 
 Each token is predicted from the two before and the two after it. The window's embeddings, scaled by place, sum to a hidden
 layer; a binary tree over the vocabulary turns it into a probability, one sigmoid per fork on the token's path. The model
-is trained on every document: each task starts from the same parameters, learns from its share with a sixteenth of the
-tokens masked at a time, and the parameters are averaged over the tasks, weighted by tokens; then once more from there.
+is trained on every token: in each of R rounds a task starts from the same parameters and learns from its documents, with
+every R-th token as a target, and the parameters are averaged over the tasks, weighted by targets. The targets shift by one
+from round to round, so that after R rounds each token of each document has been one once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from vistaloom.llm.common import small_batches
 PLACES = (-2, -1, 1, 2)
 #: Buckets that words outside the vocabulary share, by a checksum.
 RARE = 64
-MASKED = 16
 CACHE = 1_000_000
 SLICE = 1 << 14
 BATCH = 1 << 14
@@ -130,18 +130,21 @@ class WindowNetwork:
     def learn(self, window: np.ndarray, token: np.ndarray, past: list[np.ndarray], rate: float) -> None:
         """One step on a batch, with rates that fall by what each parameter has seen."""
         embedding, scale, _, node = self.parameters
+        order = np.argsort(-self.depth[token], kind="stable")  # the deep ones first: each level is a prefix
+        window, token = window[order], token[order]
         h = self.hidden(window)
         back = np.zeros_like(h)
         forks_, errors = [], []
         depth = self.depth[token]
         for j in range(int(depth.max(initial=0))):
-            m = np.flatnonzero(depth > j)
-            f = self.fork[token[m], j]
-            x = np.einsum("ij,ij->i", h[m], node[f])
-            e = 1 / (1 + np.exp(-x)) - self.side[token[m], j]
-            back[m] += e[:, None] * node[f]
+            m = int(np.searchsorted(-depth, -j, side="left"))
+            f = self.fork[token[:m], j]
+            at = node[f]
+            x = np.einsum("ij,ij->i", h[:m], at)
+            e = 1 / (1 + np.exp(-x)) - self.side[token[:m], j]
+            back[:m] += e[:, None] * at
             forks_.append(f)
-            errors.append(e[:, None] * h[m])
+            errors.append(e[:, None] * h[:m])
         back *= h > 0
         gradients = [np.zeros_like(embedding), np.zeros_like(scale), back.sum(axis=0, keepdims=True), summed(np.concatenate(forks_), np.concatenate(errors), len(node))]
         for k in range(len(PLACES)):
@@ -191,49 +194,48 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(rows, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def task_training(network: WindowNetwork, flat: np.ndarray, turn: int):
-    """For mapInArrow over texts: the parameters that a task ends with, in slices, with its number of tokens."""
+def targets(n: int, turn: int, rounds: int) -> slice:
+    """The places of a text of n words that are targets in a round: over all rounds, each place once."""
+    return slice((turn + n) % rounds, n, rounds)
+
+
+def task_training(network: WindowNetwork, flat: np.ndarray, turn: int, rounds: int):
+    """For mapInArrow over texts: the parameters that a task ends with, in slices, with its number of targets."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network.load(flat)
-        ids_of, tokens = Ids(network.vocabulary), 0
-        ids_of[None] = network.edge
+        ids_of, learned = Ids(network.vocabulary), 0
         past = [np.full(s, 0.1, np.float32) for s in network.shapes]
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                words = words_of(t)
-                n = len(words)
-                if not n:
-                    continue
-                tokens += n
-                # Only the words in windows of masked places are looked up: each place of the window is a stride through the text.
-                first = (turn * 3 + n) % MASKED
-                if first >= n:
+                ids = np.fromiter(map(ids_of.__getitem__, words_of(t)), np.int32)
+                these = targets(len(ids), turn, rounds)
+                token = ids[these]
+                if not len(token):
                     continue
-                wide = [None, None, *words, None, None]
-                columns = [np.fromiter(map(ids_of.__getitem__, wide[first + k : first + k + n - first : MASKED]), np.int32) for k in range(5)]
-                held.append((np.stack([columns[2 + p] for p in PLACES], axis=1), columns[2]))
-                count += len(columns[2])
+                held.append((windows(ids, network.edge)[these], token))
+                count += len(token)
+                learned += len(token)
                 if count >= BATCH:
                     network.learn(np.concatenate([w for w, _ in held]), np.concatenate([i for _, i in held]), past, 0.2)
                     held, count = [], 0
         if held and count:
             network.learn(np.concatenate([w for w, _ in held]), np.concatenate([i for _, i in held]), past, 0.2)
-        if not tokens:
+        if not learned:
             return
         end = network.flat()
         task = TaskContext.get().partitionId()
         for k in range(0, len(end), SLICE):
-            yield pa.record_batch([pa.array([k], pa.int64()), pa.array([task], pa.int64()), pa.array([tokens], pa.int64()), pa.array([end[k : k + SLICE].tobytes()], pa.binary())], names=["at", "task", "tokens", "part"])
+            yield pa.record_batch([pa.array([k], pa.int64()), pa.array([task], pa.int64()), pa.array([learned], pa.int64()), pa.array([end[k : k + SLICE].tobytes()], pa.binary())], names=["at", "task", "targets", "part"])
 
     return rows
 
 
 def averaged(key: tuple, table: pa.Table) -> pa.Table:
-    """The mean of a slice over tasks, weighted by tokens; tasks are summed in their order."""
-    rows = sorted(zip(table["task"].to_pylist(), table["tokens"].to_pylist(), table["part"].to_pylist(), strict=True))
+    """The mean of a slice over tasks, weighted by targets; tasks are summed in their order."""
+    rows = sorted(zip(table["task"].to_pylist(), table["targets"].to_pylist(), table["part"].to_pylist(), strict=True))
     total = np.zeros(len(rows[0][2]) // 4)
     for _, n, part in rows:
         total += n * np.frombuffer(part, np.float32).astype(np.float64)
@@ -253,7 +255,7 @@ def trained(docs: DataFrame, size: int = 8191, rounds: int = 2) -> WindowNetwork
     network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [each] * RARE, np.int64))
     flat = network.flat()
     for turn in range(rounds):
-        parts = texts.mapInArrow(task_training(network, flat, turn), "at long, task long, tokens long, part binary")
+        parts = texts.mapInArrow(task_training(network, flat, turn, rounds), "at long, task long, targets long, part binary")
         got = parts.groupBy("at").applyInArrow(averaged, "at long, part binary").collect()  # one row per slice: the model's size
         if got:
             flat = np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(got)])
