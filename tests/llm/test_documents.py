@@ -380,6 +380,25 @@ def test_pseudo_likelihood(spark, empty):
     assert pseudo_likelihood.scored(empty.select("doc_id", "text")).count() == 0
 
 
+def test_rare_words_by_their_counts(spark):
+    """Words beyond the network's own: the shares of a leaf's words sum to one, and texts of more frequent ones score higher."""
+    rare = [f"r{k}" for k in range(300)]
+    rows = [(k, "common words " * 50) for k in range(20)] + [(100 + k, w) for k, w in enumerate(rare) for _ in range(1 + k % 7)] + [(900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network, shares = pseudo_likelihood.vocabulary(docs.select("text"), 2)
+    got = {r.word: math.exp(r.share / pseudo_likelihood.FINE) for r in shares.collect()}
+    leaf = {w: zlib.crc32(w.encode()) % pseudo_likelihood.RARE for w in rare}
+    mass = [sum(1 + k % 7 for k, w in enumerate(rare) if leaf[w] == b) for b in range(pseudo_likelihood.RARE)]
+    assert network.vocabulary == ["common", "words"] and network.counts.tolist() == [1000, 1000] + [max(1, m) for m in mass]
+    assert set(got) == set(rare) and all(math.isclose(got[w], (1 + k % 7) / mass[leaf[w]], rel_tol=1e-6) for k, w in enumerate(rare))
+    scores = {}
+    for r in pseudo_likelihood.scored(docs, size=2).collect():
+        assert scores.setdefault(r.doc_id, r.pll) == r.pll  # repeated rows, equal texts
+    for b in range(pseudo_likelihood.RARE):
+        same = sorted((k % 7, scores[100 + k]) for k, w in enumerate(rare) if leaf[w] == b)
+        assert all(x[1] < y[1] for x, y in zip(same, same[1:]) if x[0] < y[0])
+
+
 def test_every_token_is_a_target_once(monkeypatch):
     """Texts of 1 to 40 words, none twice in the corpus: what the rounds learn is the corpus, short texts too."""
     texts = [[f"w{n}x{k}" for k in range(n)] for n in range(1, 41)]

@@ -5,6 +5,10 @@ layer; a binary tree over the vocabulary turns it into a probability, one sigmoi
 is trained on every token: in each of R rounds a task starts from the same parameters and learns from its documents, with
 every R-th token as a target, and the parameters are averaged over the tasks, weighted by targets. The targets shift by one
 from round to round, so that after R rounds each token of each document has been one once.
+
+The vocabulary is all words of the documents. The most frequent are leaves of the tree; each of the others belongs to one of
+a few leaves, and its probability is that of its leaf times its share of the leaf's count, from a written table that grows
+with the documents.
 """
 
 from __future__ import annotations
@@ -21,12 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import small_batches
+from vistaloom.llm.common import saved, small_batches
 
 PLACES = (-2, -1, 1, 2)
-#: Buckets that words outside the vocabulary share, by a checksum.
+#: Leaves that the words beyond the most frequent belong to, by a checksum.
 RARE = 64
 CACHE = 1_000_000
+#: Logarithms of shares are summed as whole numbers, so that their order doesn't matter.
+FINE = 1 << 30
 SLICE = 1 << 14
 BATCH = 1 << 14
 
@@ -243,16 +249,28 @@ def averaged(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([mean.tobytes()], pa.binary())})
 
 
-def trained(docs: DataFrame, size: int = 8191, rounds: int = 2) -> WindowNetwork:
-    """The network for docs; its vocabulary is the `size` most frequent words of all documents, the first in order among equals."""
-    small_batches(docs.sparkSession)
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    counts = word_counts(texts)
+def vocabulary(docs: DataFrame, size: int) -> tuple[WindowNetwork, DataFrame]:
+    """An untrained network for docs, and (word, share) of all words beyond its own: the logarithm of a word's share of its leaf.
+
+    The network's words are the `size` most frequent ones of all documents, the first in order among equals.
+    """
+    spark = docs.sparkSession
+    counts = saved(word_counts(docs), "likelihood-words")
     # Bounded by size; the exchange has a task merge the partitions' candidates, which the driver would do otherwise.
     top = sorted(counts.orderBy(F.desc("n"), "word").limit(size).repartition(1).collect(), key=lambda r: (-r["n"], r["word"]))
-    known = sum(r["n"] for r in top)
-    each = max(1, known // (4 * RARE))  # a guess at the buckets' share: it only shapes the tree
-    network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [each] * RARE, np.int64))
+    frequent = spark.createDataFrame([(r["word"],) for r in top], "word string")
+    leaf = (F.crc32(F.col("word").cast("binary")) % RARE).cast("int")
+    others = counts.join(F.broadcast(frequent), "word", "left_anti").withColumn("leaf", leaf)
+    mass = {r["leaf"]: r["mass"] for r in others.groupBy("leaf").agg(F.sum("n").alias("mass")).collect()}  # one row per leaf
+    network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [max(1, mass.get(k, 0)) for k in range(RARE)], np.int64))
+    masses = F.array(*[F.lit(float(mass.get(k, 0))) for k in range(RARE)])
+    share = F.round((F.log("n") - F.log(F.get(masses, F.col("leaf")))) * FINE).cast("long")
+    return network, others.select("word", share.alias("share"))
+
+
+def trained(docs: DataFrame, network: WindowNetwork, rounds: int = 2) -> WindowNetwork:
+    """The network after its rounds over docs."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     flat = network.flat()
     for turn in range(rounds):
         parts = texts.mapInArrow(task_training(network, flat, turn, rounds), "at long, task long, targets long, part binary")
@@ -269,23 +287,32 @@ def scored(docs: DataFrame, size: int = 8191, rounds: int = 2) -> DataFrame:
     Null and empty texts have 0 tokens, sum 0 and a null mean. Texts are read whole; equal texts get equal results; rows
     repeat as they come; other columns are ignored. An empty table gives no rows.
     """
-    network = trained(docs, size, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(network)  # bounded by the vocabulary
+    small_batches(docs.sparkSession)
+    network, shares = vocabulary(docs.select(F.col("text").cast("string").alias("text")), size)
+    shared = docs.sparkSession.sparkContext.broadcast(trained(docs, network, rounds))  # bounded by size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = shared.value
         ids_of = Ids(use.vocabulary)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            n, pll, held, count = [], [], [], 0
+            texts = b.column(2).to_pylist()
+            n, pll, others, held, count = [], [], [], [], 0
             for k, t in enumerate(texts):
-                ids = np.fromiter(map(ids_of.__getitem__, words_of(t)), np.int32)
+                words = words_of(t)
+                ids = np.fromiter(map(ids_of.__getitem__, words), np.int32)
                 n.append(len(ids))
+                others.append([words[i] for i in np.flatnonzero(ids >= ids_of.known).tolist()])
                 held.append(ids)
                 count += len(ids)
                 if count >= BATCH or k == len(texts) - 1:
                     pll += use.sums(held)
                     held, count = [], 0
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(pll, pa.float64()), pa.array([p / k if k else None for p, k in zip(pll, n, strict=True)], pa.float64())], names=["doc_id", "n_tokens", "pll", "mean_pll"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, n_tokens long, pll double, mean_pll double")
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(pll, pa.float64()), pa.array(others, pa.list_(pa.string()))], names=["row", "doc_id", "n_tokens", "leaves", "others"])
+
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Written: the numbers of rows hold for both sides of the last join.
+    found = saved(given.mapInArrow(rows, "row long, doc_id long, n_tokens long, leaves double, others array<string>"), "likelihood-leaves")
+    words = found.select("row", F.explode("others").alias("word"))
+    inside = words.join(shares, "word").groupBy("row").agg(F.sum("share").alias("inside"))
+    pll = F.col("leaves") + F.coalesce(F.col("inside") / FINE, F.lit(0.0))
+    return found.drop("others").join(inside, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
