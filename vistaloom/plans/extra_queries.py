@@ -22,7 +22,16 @@ from vistaloom.plans.vision_queries import H, W, greedy_sql, iou_sql
 select frame, case when w > 10 and h > 10 then (w - 10) * (h - 10) else w * h end area from r""",
 )
 def f15(t: Tables) -> DataFrame:
-    o = t.orders.where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("frame"), F.lit(0).alias("mask"), F.lit(7).alias("m0"), F.lit(9).alias("n0"), (10 + F.col("o_orderkey") % 28).cast("int").alias("m1"), (13 + F.col("o_custkey") % 25).cast("int").alias("n1"))
+    return eroded(t.orders.where("o_orderkey % 10 = 0"))
+
+
+@query("f15b_seed_erosion_all")
+def f15b(t: Tables) -> DataFrame:
+    return eroded(t.orders)
+
+
+def eroded(orders: DataFrame) -> DataFrame:
+    o = orders.select(F.col("o_orderkey").alias("frame"), F.lit(0).alias("mask"), F.lit(7).alias("m0"), F.lit(9).alias("n0"), (10 + F.col("o_orderkey") % 28).cast("int").alias("m1"), (13 + F.col("o_custkey") % 25).cast("int").alias("n1"))
     return match.eroded_areas(vision.run_lengths(o, ["frame"]), ["frame"]).drop("mask")
 
 

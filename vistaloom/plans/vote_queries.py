@@ -160,6 +160,14 @@ def j12(t: Tables) -> DataFrame:
     return rows.join(voc, F.lower("obj") == F.col("of"), "left").select("frame", "run", "item", F.coalesce("name", "obj").alias("canonical"))
 
 
+@query("j12b_canonical_lookup_by_scene")
+def j12b(t: Tables) -> DataFrame:
+    items = t.lift("l_items").withColumn("scene", F.col("frame") % 20)
+    voc = votes.vocabulary(items, ["scene"], ["frame", "run", "item"]).select("scene", F.col("object").alias("of"), F.col("canonical").alias("name"))
+    rows = votes.clean_items(items).withColumn("of", F.lower("obj"))
+    return rows.join(voc, ["scene", "of"], "left").select("frame", "run", "item", F.coalesce("name", "obj").alias("canonical"))
+
+
 @query("p23_label_projection", "select frame, place, trim(obj) \"object\", coalesce(nullif(trim(canon), ''), trim(obj)) canonical from (select *, row_number() over (partition by frame order by run, item) place from l_items) where place <= 6 and trim(obj) <> ''")
 def p23(t: Tables) -> DataFrame:
     return votes.label_list(t.lift("l_items"), ["frame"], ["run", "item"], 6).withColumn("place", F.col("place").cast("long"))
@@ -185,7 +193,16 @@ def f22(t: Tables) -> DataFrame:
 select frame, n, "object", canonical from (select frame, k n, json_extract_string(j, '$[' || k || '].object') "object", json_extract_string(j, '$[' || k || '].canonical') canonical from good, range(2) t(k)) where "object" is not null""",
 )
 def f23(t: Tables) -> DataFrame:
-    rows = t.lift("l_json").where("frame % 7 < 3").select("frame", salvage.label_items(F.col("answer")).alias("items"))
+    return label_rows(t.lift("l_json").where("frame % 7 < 3"))
+
+
+@query("f23b_label_parse_all")
+def f23b(t: Tables) -> DataFrame:
+    return label_rows(t.lift("l_json"))
+
+
+def label_rows(answers: DataFrame) -> DataFrame:
+    rows = answers.select("frame", salvage.label_items(F.col("answer")).alias("items"))
     return rows.select("frame", F.posexplode("items").alias("n", "item")).select("frame", F.col("n").cast("long").alias("n"), "item.object", "item.canonical")
 
 
