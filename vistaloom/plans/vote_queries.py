@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,17 +51,22 @@ def u3(t: Tables) -> DataFrame:
     return visibility.scene_sets(visibility.frame_sets(shown(t))).select("scene_id", F.array_join(F.col("all_ids").cast("array<string>"), ",").alias("ids"))
 
 
-def near(t: Tables) -> DataFrame:
-    """Pairs of a scene's valid frames up to eight positions apart."""
+def every(t: Tables) -> DataFrame:
+    """All pairs of a scene's valid frames, the earlier frame first."""
     f = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", g.floor_yaw(g.optical_axis(F.col("pose"))).alias("yaw"))
     a, b = f.alias("a"), f.alias("b")
-    return a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") - F.col("a.ord")).between(1, 8)).select("a.scene_id", F.col("a.ord").alias("ord_a"), F.col("b.ord").alias("ord_b"))
+    return a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") > F.col("a.ord"))).select("a.scene_id", F.col("a.ord").alias("ord_a"), F.col("b.ord").alias("ord_b"))
+
+
+def near(t: Tables) -> DataFrame:
+    """Those up to eight positions apart."""
+    return every(t).where("ord_b - ord_a <= 8")
 
 
-def gated(t: Tables) -> DataFrame:
+def gated(t: Tables, which: Callable[[Tables], DataFrame] = near) -> DataFrame:
     f = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", g.floor_yaw(g.optical_axis(F.col("pose"))).alias("yaw"))
     sets = visibility.frame_sets(shown(t))
-    return visibility.cosmic(near(t), f, sets, visibility.scene_sets(sets))
+    return visibility.cosmic(which(t), f, sets, visibility.scene_sets(sets))
 
 
 COSMIC = f"""with {SETS}, near as (
@@ -78,6 +85,11 @@ def p11(t: Tables) -> DataFrame:
     return gated(t).select("scene_id", "ord_a", "ord_b", "reason")
 
 
+@query("p11b_cosmic_gate_all")
+def p11b(t: Tables) -> DataFrame:
+    return gated(t, every).select("scene_id", "ord_a", "ord_b", "reason")
+
+
 @query("u2_set_algebra", f"{COSMIC} select scene_id, ord_a, ord_b, array_to_string(list_sort(both_ids), ',') both_ids, array_to_string(list_sort(any_ids), ',') any_ids, round(len(any_ids) / n_scene, 6) coverage from judged where reason is null")
 def u2(t: Tables) -> DataFrame:
     text = lambda c: F.array_join(F.array_sort(c).cast("array<string>"), ",")
@@ -213,6 +225,11 @@ def p12(t: Tables) -> DataFrame:
     return votes.apply_filter(near(t), t.lift("l_verdicts")).select("scene_id", "ord_a", "ord_b", "reason")
 
 
+@query("p12b_filter_pairs_all")
+def p12b(t: Tables) -> DataFrame:
+    return votes.apply_filter(every(t), t.lift("l_verdicts")).select("scene_id", "ord_a", "ord_b", "reason")
+
+
 @query("p13_usable_frames", "select scene_id, ord from l_frames f where exists (select 1 from l_verdicts v where v.scene_id = f.scene_id and v.ord = f.ord and usable)")
 def p13(t: Tables) -> DataFrame:
     return t.lift("l_frames").join(t.lift("l_verdicts").where("usable"), ["scene_id", "ord"], "left_semi").select("scene_id", "ord")
@@ -239,6 +256,11 @@ def u1(t: Tables) -> DataFrame:
     return near(t).select("scene_id", F.explode(F.array("ord_a", "ord_b")).alias("ord")).distinct()
 
 
+@query("u1b_frames_of_pairs_all")
+def u1b(t: Tables) -> DataFrame:
+    return every(t).select("scene_id", F.explode(F.array("ord_a", "ord_b")).alias("ord")).distinct()
+
+
 @query("p19_least_mask_count", f"with {SHOWN} select scene_id, ord, count(*) n from shown group by all having count(*) >= 3")
 def p19(t: Tables) -> DataFrame:
     return shown(t).groupBy("scene_id", "ord").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
