@@ -422,6 +422,24 @@ def test_huffman_probabilities_sum_to_one():
     assert math.isclose(np.exp(net.log_likelihood(window, every).astype(float)).sum(), 1, rel_tol=1e-4)
 
 
+def test_audio_is_stored_as_tensors(docs, monkeypatch):
+    """Media and windows lie in the shared folder, and the digests are those of what is read back."""
+    written = []
+    monkeypatch.setattr(audio, "saved", lambda df, name, put=audio.saved: written.append(put(df, name)) or written[-1])
+    files = {r.doc_id: bytes(r.media) for r in audio.media(docs).collect()}
+    got = {r.doc_id: r for r in audio.described(audio.media(docs)).collect()}
+    (table,) = written
+    rows = table.collect()
+    assert table.inputFiles() and len(rows) == len(got) == len(files)
+    for r in rows:
+        tensors, spans, active = audio.features(files[r.doc_id])
+        stored = pa.ipc.open_stream(bytes(r.tensors)).read_all()
+        assert bytes(r.media) == files[r.doc_id] and stored["features"].type == audio.TENSOR
+        assert np.array_equal(stored["features"].combine_chunks().to_numpy_ndarray(), tensors)
+        assert list(zip(stored["start_s"].to_pylist(), stored["end_s"].to_pylist(), strict=True)) == spans
+        assert [(x.start, x.end) for x in r.active] == active and got[r.doc_id].media_sha256 == hashlib.sha256(r.media).hexdigest()
+
+
 @pytest.mark.parametrize(
     "run",
     [

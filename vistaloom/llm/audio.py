@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import document_bytes, small_batches
+from vistaloom.llm.common import document_bytes, saved, small_batches
 
 UNIT = 576
 RATE, FEATURE_RATE = 16_000, 10_000
@@ -135,9 +135,9 @@ def features(file: bytes) -> tuple[np.ndarray, list[tuple[float, float]], list[t
 TENSOR = pa.fixed_shape_tensor(pa.float32(), (WINDOW, MELS), dim_names=["frame", "mel"])
 
 
-def tensor_table(doc_ids: list[int], files: list[bytes]) -> pa.Table:
-    """Feature windows of files as a fixed-shape tensor column with their time spans; one row per window."""
-    found = [features(f) for f in files]
+def tensor_table(doc_ids: list[int | None], files: list) -> pa.Table:
+    """Feature windows of files, or of what features() gives for them, as a fixed-shape tensor column with their time spans; one row per window."""
+    found = [features(f) if isinstance(f, bytes) else f for f in files]
     rows = [(d, k, s, e) for d, (_, spans, _) in zip(doc_ids, found, strict=True) for k, (s, e) in enumerate(spans)]
     flat = np.concatenate([t.reshape(-1, WINDOW * MELS) for t, *_ in found]) if found else np.zeros((0, WINDOW * MELS), np.float32)
     storage = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel(), pa.float32()), WINDOW * MELS)
@@ -187,25 +187,49 @@ def audio_features(files: DataFrame) -> DataFrame:
     return files.mapInArrow(rows, f"{fields}, payload binary, tensor array<float>, spans array<{SPAN}>, active array<{SPAN}>")
 
 
+def stored(files: DataFrame) -> DataFrame:
+    """files (doc_id, n_bytes, media) with tensors and active, as a written table of the shared folder.
+
+    tensors: an Arrow stream of tensor_table(), fixed-shape windows with their time spans; active: spans of energy.
+    """
+    small_batches(files.sparkSession)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
+        for b in batches:
+            tensors, active = [], []
+            for d, f in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                found = features(f)
+                table = tensor_table([d], [found])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema) as out:
+                    out.write_table(table)
+                tensors.append(sink.getvalue().to_pybytes())
+                active.append([{"start": x, "end": y} for x, y in found[2]])
+            yield pa.record_batch([*b.columns, pa.array(tensors, pa.binary()), pa.array(active, span)], names=["doc_id", "n_bytes", "media", "tensors", "active"])
+
+    return saved(files.select("doc_id", "n_bytes", "media").mapInArrow(rows, f"doc_id long, n_bytes long, media binary, tensors binary, active array<{SPAN}>"), "audio")
+
+
 def described(files: DataFrame) -> DataFrame:
-    """files (doc_id, n_bytes, media) with their digests and features as text; large values don't leave the worker.
+    """files (doc_id, n_bytes, media) with the digests and features, as text, of what stored() has written.
 
     feature: windows, the mean of each of four bands of mels, the deviation, and number and length of active spans.
     """
-    small_batches(files.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for f in b.column(2).to_pylist():
+            for f, tensors, active in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
                 _, payload = samples(f)
-                t, spans, active = features(f)
-                frames = t.reshape(-1, MELS)[: round(spans[-1][1] * FEATURE_RATE / HOP)].astype(np.float64)
+                table = pa.ipc.open_stream(tensors).read_all()
+                t, last = table["features"].combine_chunks().to_numpy_ndarray(), table["end_s"][-1].as_py()
+                frames = t.reshape(-1, MELS)[: round(last * FEATURE_RATE / HOP)].astype(np.float64)
                 bands = ",".join(f"{x:.3f}" for x in frames.mean(axis=0).reshape(4, -1).mean(axis=1))
-                feature = f"{len(t)}x{WINDOW}x{MELS} {spans[-1][1]:.3f}s bands={bands} sd={frames.std():.3f} active={len(active)}/{sum(e - s for s, e in active):.3f}s"
+                feature = f"{len(t)}x{WINDOW}x{MELS} {last:.3f}s bands={bands} sd={frames.std():.3f} active={len(active)}/{sum(x['end'] - x['start'] for x in active):.3f}s"
                 out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(f), hashlib.sha256(f).hexdigest(), feature))
             cols = zip(*out, strict=True) if out else [()] * 6
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.record_batch([*b.columns[:2], *[pa.array(c, k) for c, k in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return files.select("doc_id", "n_bytes", "media").mapInArrow(rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return stored(files).mapInArrow(rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
