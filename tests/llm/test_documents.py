@@ -70,6 +70,16 @@ def test_simhash_brute_force(docs, texts):
     assert {k: r.component_id for k, r in got.items()} == linked(prints, 4)
 
 
+def test_keep_one_by_texts_not_ids(spark, docs, texts):
+    """Unlinked texts under one doc_id stay; groups without repeated ids keep their smallest doc_id."""
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(5, a), (5, b), (5, b), (3, a), (7, b), (8, None), (9, ""), (None, a)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(3, a), (5, b), (8, None), (None, a)], key=repr)
+    label = linked({k: fingerprint(t) for k, t in enumerate(texts)}, 4)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == sorted(set(label.values()))
+
+
 def test_simhash_equals_native_hash(spark):
     t = "Alpha beta  gamma"
     (row,) = spark.createDataFrame([(t,)], "t string").select(F.xxhash64(F.lit("alpha beta gamma")).alias("h")).collect()

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vistaloom.llm.common import components, document_bytes, partitions, saved, small_batches, starts_of, table_of
@@ -34,16 +34,18 @@ def fingerprint(text: bytes, words: int = 4) -> int:
     return int(np.packbits(2 * total > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row; a null text is an empty one and has fingerprint 0."""
+def fingerprints(docs: DataFrame, words: int = 4, key: Column | None = None) -> DataFrame:
+    """(doc_id, fp long) of every row, and its key long where one is given; a null text is an empty one and has fingerprint 0."""
     small_batches(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, words) for t in document_bytes(b.column(1))), dtype=np.uint64, count=b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", "key"][: b.num_columns])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, fp long")
+    keys = [] if key is None else [key.alias("key")]
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keys)
+    return given.mapInArrow(rows, "doc_id long, fp long" + ", key long" * len(keys))
 
 
 def blocks(radius: int) -> list[tuple[int, int]]:
@@ -187,8 +189,17 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFra
 
 
 def keep_one(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
-    """docs with one document (the smallest doc_id) of each linked group; rows with a null doc_id stay."""
-    found = near_duplicates(docs, radius, words)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    """docs with one document (the smallest doc_id, then the smallest hash of the text) of each linked group; rows with a null doc_id stay.
+
+    Groups are of texts: texts that are not linked stay, also under one doc_id.
+    """
+    spark = docs.sparkSession
+    key = F.xxhash64(F.col("text").cast("string"))
+    prints = saved(fingerprints(docs.where("doc_id is not null"), words, key), "simhash-keys")
+    classes = saved(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("first")), "simhash-texts")
+    dealt = leaves(classes.withColumn("rep", F.col("fp")), radius).repartition(partitions(spark), "leaf")
+    found = components(dealt.mapInArrow(leaf_links(radius), "a long, b long"), "simhash-links")
+    named = classes.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
+    kept = named.select(F.col("first.doc_id").alias("__kept_id"), F.col("first.key").alias("__kept_key"))
+    rows = docs.withColumn("__key", key).join(kept, (F.col("doc_id") == F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "__key"]).drop("__key").unionByName(docs.where("doc_id is null"))
