@@ -62,10 +62,12 @@ WITHIN_8 = "b.ord between a.ord + 1 and a.ord + 8", "b.ord > a.ord"
         ("p11_cosmic_gate", "p11b_cosmic_gate_all", *WITHIN_8),
         ("p12_filter_pairs", "p12b_filter_pairs_all", *WITHIN_8),
         ("u1_frames_of_pairs", "u1b_frames_of_pairs_all", *WITHIN_8),
+        ("s21_scenes", "s21b_scenes_all", " order by scene_id limit 12", ""),
+        ("p18_instance_extraction", "p18b_instance_extraction_50", "place <= 5", "place <= 50"),
     ],
 )
-def test_pairs_of_any_distance(spark, subset, whole, cut, uncut):
-    """The subset's SQL without its bound on the distance, over the smallest tables."""
+def test_without_the_bound(spark, subset, whole, cut, uncut):
+    """The subset's SQL without its bound, over the smallest tables."""
     text = queries.ORACLE_SQL[subset]
     assert text.count(cut) == 1
     c = duckdb.connect()

@@ -57,6 +57,11 @@ def s21(t: Tables) -> DataFrame:
     return t.lift("l_all").groupBy("scene_id").agg(F.count(F.lit(1)).alias("n")).orderBy("scene_id").limit(12)
 
 
+@query("s21b_scenes_all")
+def s21b(t: Tables) -> DataFrame:
+    return t.lift("l_all").groupBy("scene_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "x10_detection_tail",
     f"""with recursive sized as (select * from l_near where (x1 - x0) * (y1 - y0) / {W * H}.0 <= 0.1), ranked as (select *, row_number() over (partition by frame order by score desc, det) n from sized),

@@ -268,7 +268,16 @@ def p19(t: Tables) -> DataFrame:
 
 @query("p18_instance_extraction", f"with {SHOWN} select scene_id, ord, inst_id, row_number() over (partition by scene_id, ord order by n_px desc, inst_id) place from shown where inst_id <> 0 qualify place <= 5")
 def p18(t: Tables) -> DataFrame:
+    return largest(t, 5)
+
+
+@query("p18b_instance_extraction_50")
+def p18b(t: Tables) -> DataFrame:
+    return largest(t, 50)
+
+
+def largest(t: Tables, most: int) -> DataFrame:
     from pyspark.sql import Window
 
     w = Window.partitionBy("scene_id", "ord").orderBy(F.desc("n_px"), "inst_id")
-    return shown(t).where("inst_id <> 0").withColumn("place", F.row_number().over(w).cast("long")).where("place <= 5").select("scene_id", "ord", "inst_id", "place")
+    return shown(t).where("inst_id <> 0").withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= most).select("scene_id", "ord", "inst_id", "place")
