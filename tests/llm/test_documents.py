@@ -424,12 +424,48 @@ def test_every_token_is_a_target_once(monkeypatch):
     assert sorted(seen) == list(range(len(words))) and sum(weights) == len(words)
 
 
-def test_huffman_probabilities_sum_to_one():
+def test_probabilities_sum_to_one():
     net = pseudo_likelihood.WindowNetwork(["a", "b", "c"], np.array([9, 5, 2] + [1] * pseudo_likelihood.RARE))
-    net.parameters[3] = np.random.default_rng(0).standard_normal(net.parameters[3].shape).astype(np.float32)
+    r = np.random.default_rng(0)
+    for p in net.parameters[3:]:
+        p += r.standard_normal(p.shape).astype(np.float32)
     every = np.arange(3 + pseudo_likelihood.RARE, dtype=np.int32)
     window = np.tile(np.array([[0, 1, 2, net.edge]], np.int32), (len(every), 1))
-    assert math.isclose(np.exp(net.log_likelihood(window, every).astype(float)).sum(), 1, rel_tol=1e-4)
+    assert len(net.bounds) > 3 and math.isclose(np.exp(net.log_likelihood(window, every).astype(float)).sum(), 1, rel_tol=1e-4)
+
+
+def test_network_brute_force():
+    """Log-probabilities and the gradient of a step, against plain loops and differences; a token's result doesn't depend on its batch."""
+    r = np.random.default_rng(1)
+    net = pseudo_likelihood.WindowNetwork([f"w{k}" for k in range(60)], r.integers(1, 50, 60 + pseudo_likelihood.RARE))
+    net.parameters = [p + 0.3 * r.standard_normal(p.shape).astype(np.float32) for p in net.parameters]
+    token, window = r.integers(0, net.edge, 700).astype(np.int32), r.integers(0, net.edge + 1, (700, 4)).astype(np.int32)
+
+    def plain(parameters, t, w):
+        embedding, scale, bias, upper, lower = (p.astype(float) for p in parameters)
+        h = np.append(np.maximum(sum(embedding[x] * s for x, s in zip(w, scale, strict=True)) + bias[0], 0), 1)
+        k, c = net.place[t], net.of[t]
+        lo, hi = net.bounds[c], net.bounds[c + 1]
+        soft = lambda z, j: z[j] - np.log(np.exp(z).sum())
+        return soft(upper @ h, c) + soft(lower[lo:hi] @ h, k - lo)
+
+    got = net.log_likelihood(window, token)
+    assert np.allclose(got, [plain(net.parameters, t, w) for t, w in zip(token, window, strict=True)], atol=1e-4)
+    part = r.permutation(700)[:90]
+    assert (net.log_likelihood(window[part], token[part]) == got[part]).all()
+    some = slice(0, 40)
+    before = [p.copy() for p in net.parameters]
+    net.learn(window[some], token[some], [np.zeros_like(p) for p in before], 1e-3)  # with nothing past, a step is the gradient's sign
+    for k, p in enumerate(before):
+        for place in r.permutation(p.size)[:40]:
+            loss = []
+            for move in (1e-4, -1e-4):
+                moved = [q.astype(float) for q in before]
+                moved[k].flat[place] += move
+                loss.append(-sum(plain(moved, t, w) for t, w in zip(token[some], window[some], strict=True)))
+            slope = (loss[0] - loss[1]) / 2e-4
+            if abs(slope) > 1e-2:
+                assert np.sign(before[k].flat[place] - net.parameters[k].flat[place]) == np.sign(slope)
 
 
 def test_audio_is_stored_as_tensors(docs, monkeypatch):
