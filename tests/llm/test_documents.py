@@ -139,9 +139,11 @@ def removed(rows, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 50_000])
-def test_suffix_dedup_brute_force(docs, texts, hot):
-    got = suffix_dedup.deduplicated(docs, 100, hot=hot).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+@pytest.mark.parametrize(("sample", "least"), [(1, 1), (2, 2), (16, 50_000)])
+def test_suffix_dedup_brute_force(docs, texts, monkeypatch, sample, least):
+    """Also with all anchors, or some, dealt as crowded ones."""
+    monkeypatch.setattr(suffix_dedup, "partitions", lambda spark: 200)
+    got = suffix_dedup.deduplicated(docs, 100, sample=sample, least=least).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == removed(enumerate(texts), 100)
 
 
@@ -179,20 +181,22 @@ def test_without_repeats_keeps_columns(docs):
     assert len(rows) == docs.count() and all(r.text is None or r.n_chars == len(r.text) for r in rows.values())
 
 
-def test_transform_matches_sorted_suffixes(tmp_path):
+@pytest.mark.parametrize("files", [False, True])
+def test_transform_matches_sorted_suffixes(tmp_path, files):
     r = np.random.default_rng(2)
     rows = r.integers(97, 100, (40, 30)).astype(np.uint8)
-    group = np.sort(r.integers(0, 3, 40))
-    built = suffix_dedup.ColumnwiseTransform(rows, group, str(tmp_path))
+    built = suffix_dedup.ColumnwiseTransform(iter(np.ascontiguousarray(rows.T)), f"file://{tmp_path}" if files else None)
     for c in range(29, -1, -1):
         order, prefix = built.step(c)
-        suffixes = [(group[i], rows[i, c:].tobytes()) for i in order]
+        suffixes = [rows[i, c:].tobytes() for i in order]
         assert suffixes == sorted(suffixes)
+        if c:
+            assert (built.layers.get("transform", np.uint8) == rows[order, c - 1]).all()
         for k in range(1, 40):
-            (ga, a), (gb, b) = suffixes[k - 1], suffixes[k]
-            common = next((j for j in range(len(a)) if a[j] != b[j]), len(a))
-            assert prefix[k] == (-1 if ga != gb else common)
+            a, b = suffixes[k - 1 : k + 1]
+            assert prefix[k] == next((j for j in range(len(a)) if a[j] != b[j]), len(a))
     built.close()
+    assert not list(tmp_path.iterdir())
 
 
 def test_merged_ranges():
@@ -309,7 +313,11 @@ def test_decontamination_brute_force(spark):
             at = r.randint(0, len(words))
             words[at:at] = item
         docs.append((k, " ".join(words)))
-    docs += [(70, None), (71, ""), (None, items[0][1]), (0, docs[0][1])]
+    items += [(60 + k, " ".join(r.choice(vocabulary) for _ in range(60))) for k in range(3)] + [(70, "ab ab ab ab ab ab ab ab ab ab cd"), (71, "x y " * 12)]
+    moved = lambda t, k: " ".join([*t.split()[k:], *t.split()[:k]])
+    docs += [(70, None), (71, ""), (None, items[0][1]), (0, docs[0][1]), (80, "ab " * 300), (81, "x y " * 100), (82, "some y x " + "x y " * 9)]
+    docs += [(90 + 10 * k + j, f"{' '.join(r.choice(vocabulary) for _ in range(j))} {x} after it") for k in range(3) for t in [items[-5 + k][1]] for j, x in enumerate([moved(t, 30), moved(t, 7), f"{t[: len(t) // 2]} put in {t[len(t) // 2 :]}", " ".join(t.split()[:-5]), t.replace(" ", " extra ", 1)])]
+    docs += [(130 + k, " ".join(items[-5 + k][1].split()[3:])) for k in range(3)]  # whole texts that are shorter than the item
     df = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(df, bench).collect()}
@@ -318,9 +326,9 @@ def test_decontamination_brute_force(spark):
     for d, t in docs:
         for i, x in items:
             w, q = (t or "").lower().split(), (x or "").lower().split()
-            if d is None or len(q) < 5 or len(w) < len(q):
+            if d is None or len(q) < 5 or len(w) < 5:
                 continue
-            best = max(weighted_jaccard(shingles(q), shingles(w[s : s + len(q)])) for s in range(len(w) - len(q) + 1))
+            best = max(weighted_jaccard(shingles(q), shingles(w[s : s + len(q)])) for s in range(max(1, len(w) - len(q) + 1)))
             if best >= 0.8:
                 want[d, i] = best
     assert got.keys() == want.keys() and all(math.isclose(got[k].similarity, v) for k, v in want.items())
@@ -348,8 +356,30 @@ def test_audio_resampling_and_segments():
     assert len(y) == 10000 and np.abs(y - np.sin(np.arange(10000) * 2 * np.pi * 440 / 10000))[50:-50].max() < 5e-3
     assert audio.segments(np.array([0, 0.7, 1, 0.7, 0.7, 0.5, 0.7, 0.95])) == [(2, 5), (7, 8)]
     assert audio.segments(np.zeros(4)) == []
-    t = audio.tensor_table([3], [audio.wav(audio.padded(b"abc" * 5000))])
-    assert t["features"].type.shape == [audio.WINDOW, audio.MELS] and t.num_rows > 1
+    t = audio.tensor_batch(pa.array([3]), pa.array([15_000]), [audio.wav(audio.padded(b"abc" * 5000))])
+    assert t["features"].type.value_type.shape == [audio.WINDOW, audio.MELS] and len(t["features"][0]) > 1
+
+
+def test_log_mel_brute_force():
+    """Every frame's bands by a plain transform, and the resampling by a plain sum over its filter."""
+    x = np.random.default_rng(3).standard_normal(1500).astype(np.float32)
+    mels, energy = audio.log_mel(x)
+    mel = lambda f: 2595 * math.log10(1 + f / 700)
+    edges = [700 * (10 ** ((mel(60) + (mel(audio.FEATURE_RATE / 2) - mel(60)) * k / (audio.MELS + 1)) / 2595) - 1) for k in range(audio.MELS + 2)]
+    wide = np.append(x, np.zeros(2 * audio.FRAME))
+    for k in (0, 3, len(mels) - 1):
+        frame = wide[k * audio.HOP : k * audio.HOP + audio.FRAME] * [0.5 - 0.5 * math.cos(2 * math.pi * i / (audio.FRAME - 1)) for i in range(audio.FRAME)]
+        power = [abs(sum(v * complex(math.cos(2 * math.pi * j * i / audio.FRAME), -math.sin(2 * math.pi * j * i / audio.FRAME)) for i, v in enumerate(frame))) ** 2 for j in range(audio.FRAME // 2 + 1)]
+        for m in range(audio.MELS):
+            low, top, high = edges[m : m + 3]
+            weight = lambda f: max(0.0, min((f - low) / (top - low), (high - f) / (high - top)))  # noqa: B023, E731
+            assert math.isclose(mels[k, m], math.log(sum(p * weight(j * audio.FEATURE_RATE / audio.FRAME) for j, p in enumerate(power)) + 1e-6), abs_tol=1e-3)
+        assert math.isclose(energy[k], float((frame**2).mean()), rel_tol=1e-4)
+    assert len(mels) == 1 + -(-(len(x) - audio.FRAME) // audio.HOP)
+    got, h = audio.resampled(x, 16_000, 10_000), audio.polyphase(5, 8)
+    for n in (0, 7, 100, len(got) - 1):
+        first, phase = divmod(n * 8, 5)
+        assert math.isclose(got[n], sum(float(h[phase, j]) * float(x[i]) for j in range(16) for i in [first - 7 + j] if 0 <= i < len(x)), abs_tol=1e-4)
 
 
 def test_quality_learns_from_labellers(spark, texts):
@@ -468,22 +498,23 @@ def test_network_brute_force():
                 assert np.sign(before[k].flat[place] - net.parameters[k].flat[place]) == np.sign(slope)
 
 
-def test_audio_is_stored_as_tensors(docs, monkeypatch):
+def test_audio_is_stored_as_tensors(spark, docs):
     """Media and windows lie in the shared folder, and the digests are those of what is read back."""
-    written = []
-    monkeypatch.setattr(audio, "saved", lambda df, name, put=audio.saved: written.append(put(df, name)) or written[-1])
     files = {r.doc_id: bytes(r.media) for r in audio.media(docs).collect()}
     got = {r.doc_id: r for r in audio.described(audio.media(docs)).collect()}
-    (table,) = written
-    rows = table.collect()
-    assert table.inputFiles() and len(rows) == len(got) == len(files)
-    for r in rows:
-        tensors, spans, active = audio.features(files[r.doc_id])
-        stored = pa.ipc.open_stream(bytes(r.tensors)).read_all()
-        assert bytes(r.media) == files[r.doc_id] and stored["features"].type == audio.TENSOR
-        assert np.array_equal(stored["features"].combine_chunks().to_numpy_ndarray(), tensors)
-        assert list(zip(stored["start_s"].to_pylist(), stored["end_s"].to_pylist(), strict=True)) == spans
-        assert [(x.start, x.end) for x in r.active] == active and got[r.doc_id].media_sha256 == hashlib.sha256(r.media).hexdigest()
+    folder = scratch(spark, "audio")
+    named = audio.stored(audio.media(docs), folder).collect()
+    rows = [r for n in named for r in pa.ipc.open_file(f"{folder.removeprefix('file://')}/{n.file}").read_all().to_batches()]
+    assert sum(n.n_rows for n in named) == sum(b.num_rows for b in rows) == len(got) == len(files)
+    for b in rows:
+        assert b["features"].type.value_type == audio.TENSOR
+        digests = audio.summary(b).to_pylist()
+        for k, d in enumerate(b["doc_id"].to_pylist()):
+            tensors, spans, active = audio.features(files[d])
+            assert b["media"][k].as_py() == files[d] and digests[k] == got[d].asDict()
+            part = b["features"].offsets.to_numpy()[k : k + 2]
+            assert np.array_equal(b["features"].values.to_numpy_ndarray()[part[0] : part[1]], tensors.astype(np.float16))
+            assert [(x["start"], x["end"]) for x in b["spans"][k].as_py()] == spans and [(x["start"], x["end"]) for x in b["active"][k].as_py()] == active
 
 
 @pytest.mark.parametrize(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,16 +17,18 @@ from math import gcd
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import document_bytes, saved, small_batches
+from vistaloom.llm.common import document_bytes, partitions, saved, scratch, small_batches
 
 UNIT = 576
 RATE, FEATURE_RATE = 16_000, 10_000
 FRAME, HOP, MELS = 256, 160, 24
 #: Frames of a tensor: every window of features has the shape (WINDOW, MELS).
-WINDOW = 32
+WINDOW = 16
 #: Energies, as shares of the loudest frame's, where a span begins and where it ends.
 ON, OFF = 0.9, 0.6
 
@@ -132,17 +135,20 @@ def features(file: bytes) -> tuple[np.ndarray, list[tuple[float, float]], list[t
     return tensors.reshape(n, WINDOW, MELS), spans, [(a * step, b * step) for a, b in segments(energy)]
 
 
-TENSOR = pa.fixed_shape_tensor(pa.float32(), (WINDOW, MELS), dim_names=["frame", "mel"])
+#: Half precision: log energies of 8-bit sound are not known better.
+TENSOR = pa.fixed_shape_tensor(pa.float16(), (WINDOW, MELS), dim_names=["frame", "mel"])
+SPANS = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
+FILE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.large_binary()), ("features", pa.large_list(TENSOR)), ("spans", SPANS), ("active", SPANS)])
 
 
-def tensor_table(doc_ids: list[int | None], files: list) -> pa.Table:
-    """Feature windows of files, or of what features() gives for them, as a fixed-shape tensor column with their time spans; one row per window."""
-    found = [features(f) if isinstance(f, bytes) else f for f in files]
-    rows = [(d, k, s, e) for d, (_, spans, _) in zip(doc_ids, found, strict=True) for k, (s, e) in enumerate(spans)]
-    flat = np.concatenate([t.reshape(-1, WINDOW * MELS) for t, *_ in found]) if found else np.zeros((0, WINDOW * MELS), np.float32)
-    storage = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel(), pa.float32()), WINDOW * MELS)
-    ids, window, start, end = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "window": pa.array(window, pa.int32()), "start_s": pa.array(start, pa.float64()), "end_s": pa.array(end, pa.float64()), "features": pa.ExtensionArray.from_storage(TENSOR, storage)})
+def tensor_batch(doc_ids: pa.Array, sizes: pa.Array, files: list[bytes]) -> pa.RecordBatch:
+    """Of WAV files, a row each: the file, its feature windows as fixed-shape tensors, each window's time span, and the active spans."""
+    found = [features(f) for f in files]
+    flat = np.concatenate([t.reshape(-1) for t, *_ in found]).astype(np.float16) if found else np.zeros(0, np.float16)
+    windows = pa.ExtensionArray.from_storage(TENSOR, pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW * MELS))
+    upto = np.cumsum([0, *[len(t) for t, *_ in found]])
+    spans, active = ([[{"start": x, "end": y} for x, y in each[k]] for each in found] for k in (1, 2))
+    return pa.record_batch([doc_ids, sizes, pa.array(files, pa.large_binary()), pa.LargeListArray.from_arrays(pa.array(upto, pa.int64()), windows), pa.array(spans, SPANS), pa.array(active, SPANS)], schema=FILE)
 
 
 def media(docs: DataFrame) -> DataFrame:
@@ -180,56 +186,65 @@ def audio_features(files: DataFrame) -> DataFrame:
                 tensor.append(t if t is None else t.ravel())
                 spans.append(s if s is None else [{"start": x, "end": y} for x, y in s])
                 active.append(a if a is None else [{"start": x, "end": y} for x, y in a])
-            span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
-            yield pa.record_batch([*b.columns, pa.array(payload, pa.binary()), pa.array(tensor, pa.list_(pa.float32())), pa.array(spans, span), pa.array(active, span)], names=[*names, "payload", "tensor", "spans", "active"])
+            yield pa.record_batch([*b.columns, pa.array(payload, pa.binary()), pa.array(tensor, pa.list_(pa.float32())), pa.array(spans, SPANS), pa.array(active, SPANS)], names=[*names, "payload", "tensor", "spans", "active"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     return files.mapInArrow(rows, f"{fields}, payload binary, tensor array<float>, spans array<{SPAN}>, active array<{SPAN}>")
 
 
-def stored(files: DataFrame) -> DataFrame:
-    """files (doc_id, n_bytes, media) with tensors and active, as a written table of the shared folder.
+def stored(files: DataFrame, folder: str) -> DataFrame:
+    """Writes files (doc_id, n_bytes, media) with their features below folder; (file, n_rows) of what was written.
 
-    tensors: an Arrow stream of tensor_table(), fixed-shape windows with their time spans; active: spans of energy.
+    An Arrow file per task, with one row per row of files in the columns of FILE. Each attempt writes a file of its own, and
+    only what a finished task names counts.
     """
     small_batches(files.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
-        for b in batches:
-            tensors, active = [], []
-            for d, f in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                found = features(f)
-                table = tensor_table([d], [found])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema) as out:
-                    out.write_table(table)
-                tensors.append(sink.getvalue().to_pybytes())
-                active.append([{"start": x, "end": y} for x, y in found[2]])
-            yield pa.record_batch([*b.columns, pa.array(tensors, pa.binary()), pa.array(active, span)], names=["doc_id", "n_bytes", "media", "tensors", "active"])
+        fs, base = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(base, recursive=True)
+        name, n = f"part-{TaskContext.get().partitionId():07d}-{uuid.uuid4().hex}.arrow", 0
+        with fs.open_output_stream(f"{base}/{name}") as out, pa.ipc.new_file(out, FILE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+            for b in batches:
+                to.write_batch(tensor_batch(b.column(0), b.column(1), b.column(2).to_pylist()))
+                n += b.num_rows
+        if n:
+            yield pa.record_batch([pa.array([name]), pa.array([n], pa.int64())], names=["file", "n_rows"])
 
-    return saved(files.select("doc_id", "n_bytes", "media").mapInArrow(rows, f"doc_id long, n_bytes long, media binary, tensors binary, active array<{SPAN}>"), "audio")
+    return saved(files.select("doc_id", "n_bytes", "media").mapInArrow(rows, "file string, n_rows long"), "audio-files")
 
 
 def described(files: DataFrame) -> DataFrame:
     """files (doc_id, n_bytes, media) with the digests and features, as text, of what stored() has written.
 
-    feature: windows, the mean of each of four bands of mels, the deviation, and number and length of active spans.
+    feature: windows, the mean of each of four bands of mels, the deviation, and number and length of active spans. Rows
+    repeat as they come; equal files have equal values. An empty table gives no rows.
     """
+    spark = files.sparkSession
+    folder = scratch(spark, "audio")
+    written = stored(files, folder).repartitionByRange(partitions(spark), "file")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for f, tensors, active in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                _, payload = samples(f)
-                table = pa.ipc.open_stream(tensors).read_all()
-                t, last = table["features"].combine_chunks().to_numpy_ndarray(), table["end_s"][-1].as_py()
-                frames = t.reshape(-1, MELS)[: round(last * FEATURE_RATE / HOP)].astype(np.float64)
-                bands = ",".join(f"{x:.3f}" for x in frames.mean(axis=0).reshape(4, -1).mean(axis=1))
-                feature = f"{len(t)}x{WINDOW}x{MELS} {last:.3f}s bands={bands} sd={frames.std():.3f} active={len(active)}/{sum(x['end'] - x['start'] for x in active):.3f}s"
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(f), hashlib.sha256(f).hexdigest(), feature))
-            cols = zip(*out, strict=True) if out else [()] * 6
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.record_batch([*b.columns[:2], *[pa.array(c, k) for c, k in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return stored(files).mapInArrow(rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+        fs, base = pafs.FileSystem.from_uri(folder)
+        for name in (n for b in batches for n in b.column(0).to_pylist()):
+            with fs.open_input_file(f"{base}/{name}") as source, pa.ipc.open_file(source) as read:
+                for b in map(read.get_batch, range(read.num_record_batches)):
+                    yield summary(b)
+
+    return written.mapInArrow(rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def summary(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The digests of a batch of FILE's rows."""
+    out = []
+    tensors, upto = b["features"].values.to_numpy_ndarray(), b["features"].offsets.to_numpy()
+    for k, (f, spans, active) in enumerate(zip(b["media"].to_pylist(), b["spans"].to_pylist(), b["active"].to_pylist(), strict=True)):
+        _, payload = samples(f)
+        t, last = tensors[upto[k] : upto[k + 1]], spans[-1]["end"]
+        frames = t.reshape(-1, MELS)[: round(last * FEATURE_RATE / HOP)].astype(np.float64)
+        bands = ",".join(f"{x:.3f}" for x in frames.mean(axis=0).reshape(4, -1).mean(axis=1))
+        feature = f"{len(t)}x{WINDOW}x{MELS} {last:.3f}s bands={bands} sd={frames.std():.3f} active={len(active)}/{sum(x['end'] - x['start'] for x in active):.3f}s"
+        out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(f), hashlib.sha256(f).hexdigest(), feature))
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    cols = zip(*out, strict=True) if out else [()] * 6
+    return pa.record_batch([*b.columns[:2], *[pa.array(c, k) for c, k in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])

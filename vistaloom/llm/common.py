@@ -9,14 +9,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset and there is one machine."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="vistaloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -27,12 +29,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def passing(spark: SparkSession, path: str) -> None:
+    """A written folder goes when the driver ends; results are lazy and may read it until then."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df as a written table of the shared folder: later plans start from files that outlive executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    passing(spark, path)
     del df
     release(spark)
     return spark.read.schema(schema).parquet(path)
@@ -44,9 +53,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of whole texts: few rows, so that long texts don't add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts: few rows and few bytes, so that long texts don't add up.
+
+    Plans are lazy and read the session's limits when they run, so these stay set; they are the same for all operators.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -140,7 +153,3 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         now = saved(small(large(now).distinct()).where("a <> b").distinct(), name)
         before, mark = mark, state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-
-
-def bits_set(x: Column) -> Column:
-    return F.bit_count(x)

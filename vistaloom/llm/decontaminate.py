@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vistaloom.llm.common import saved
+
 SHINGLE = 5
 #: Shingles of a benchmark up to which its side of the first join is broadcast; beyond, Spark joins by shuffle.
 BROADCAST_SHINGLES = 200_000
+#: Numbers in the table of windows up to which it is broadcast to the second read of the texts; beyond, Spark joins by shuffle.
+BROADCAST_NUMBERS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -57,51 +61,65 @@ def similarity(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def window_starts(places: Column, enough: Column, shingles: Column, last: Column) -> Column:
+    """Where windows of so many shingles begin that hold enough of the given places, in order; no window begins after last."""
+    many = F.size(places) - enough + 1
+
+    def run(i: Column) -> Column:
+        low, high = F.greatest(F.lit(0), F.get(places, i + enough - 1) - shingles + 1), F.least(F.get(places, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(many > 0, F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(many, F.lit(1)) - 1), run))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least: float = 0.8) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity, hamming): documents with a window that holds a benchmark item.
 
-    A window has as many words as the item and begins where one of its five-word shingles would put it if it were the item's;
-    it is moved inward at the text's ends. Of the windows whose SimHash is within radius of the item's and whose weighted
-    shingle similarity is `least` or more, the most similar one is given, the first among equals. Only documents that hold
-    enough of an item's shingles for that similarity at all form windows, which loses none. Null and short texts, and items of
-    under five words, match nothing; rows with a null id are left out; rows that share an id count as one document with each
-    of their texts. Repeated items with one id count as one. Empty tables give no rows.
+    A window has as many words as the item; of a text with fewer words, the whole text is one. Of the windows whose SimHash is
+    within radius of the item's and whose weighted shingle similarity is `least` or more, the most similar one is given, the
+    first among equals. A similarity of `least` takes some number of shingles in common: only windows with that many
+    shingles of some item of their size are fingerprinted, which loses none, and blocks pair them with all items of the size.
+    Null and short texts, and items of under five words, match nothing; rows with a null id are left out; rows that share an
+    id count as one document with each of their texts. Repeated items with one id count as one. Empty tables give no rows.
     """
     items = benchmark.where("item_id is not null").select("item_id", words_of(F.col("text")).alias("item_words")).where(F.size("item_words") >= SHINGLE).distinct()
     items = items.select("item_id", F.size("item_words").alias("n_words"), shingle_hashes(F.col("item_words")).alias("hashes"), shingle_texts(F.col("item_words")).alias("item_shingles"))
-    keys = items.select("item_id", "n_words", F.posexplode("hashes").alias("q", "key")).groupBy("key", "item_id", "n_words").agg(F.collect_list("q").alias("qs"))
-    if keys.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES:
-        keys = F.broadcast(keys)
+    keys = items.select("item_id", "n_words", F.explode("hashes").alias("key")).distinct()
+    few = keys.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES
     read = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    placed = read.select("doc_id", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "key"))
-    hits = placed.join(keys, "key")
-    # weighted Jaccard of least needs 2 * least / (1 + least) of the item's shingles
-    enough = F.ceil((F.col("n_words") - (SHINGLE - 1)) * F.lit(2 * least / (1 + least)) - 1e-9)
-    windows = (
+    placed = read.select("doc_id", F.size("words").alias("size"), F.posexplode(shingle_hashes(F.col("words"))).alias("p", "key"))
+    hits = placed.join(F.broadcast(keys) if few else keys, "key")
+    m = F.col("n_words") - (SHINGLE - 1)
+    # weighted Jaccard of `least` between a and b shingles needs (a + b) * least / (1 + least) in common
+    enough = F.ceil((m + F.least(m, F.col("shortest") - (SHINGLE - 1))) * F.lit(least / (1 + least)) - 1e-9).cast("int")
+    found = (
         hits.groupBy("doc_id", "item_id", "n_words")
-        .agg(F.count(F.lit(1)).alias("hits"), F.array_distinct(F.flatten(F.collect_list(F.transform("qs", lambda q: F.col("p") - q)))).alias("starts"))
-        .where(F.col("hits") >= enough)
+        .agg(F.sort_array(F.collect_set("p")).alias("places"), F.min("size").alias("shortest"), F.max("size").alias("longest"))
+        .select("doc_id", "n_words", window_starts(F.col("places"), enough, m, F.greatest(F.lit(0), F.col("longest") - F.col("n_words"))).alias("starts"))
+        .where(F.size("starts") > 0)
         .groupBy("doc_id", "n_words")
         .agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
         .withColumnRenamed("doc_id", "in_doc")
     )
+    windows = saved(found, "decontamination-windows")
+    room = windows.agg(F.sum(F.size("starts") + 8)).first()[0] or 0
     cut = (
-        read.join(windows, F.col("doc_id") == F.col("in_doc"))
+        read.join(F.broadcast(windows) if room <= BROADCAST_NUMBERS else windows, F.col("doc_id") == F.col("in_doc"))
         .select("doc_id", "n_words", "words", F.explode("starts").alias("start"))
-        .select("doc_id", "n_words", "words", F.greatest(F.lit(0), F.least(F.col("start"), F.size("words") - F.col("n_words"))).alias("start"))
-        .select("doc_id", "n_words", "start", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("window"))
-        .distinct()
-        .select("doc_id", "n_words", "start", shingle_texts(F.col("window")).alias("shingles"))
+        .where(F.col("start") <= F.greatest(F.lit(0), F.size("words") - F.col("n_words")))
+        .select("doc_id", "n_words", "start", shingle_texts(F.slice("words", F.col("start") + 1, F.col("n_words"))).alias("shingles"))
         .withColumn("parts", halves(F.col("shingles")))
         .withColumn("fingerprint", simhash(F.col("parts")))
         .drop("parts")
+        .withColumn("blocks", hamming_blocks(F.col("fingerprint"), radius))
     )
     marked = items.select("item_id", F.col("n_words").alias("item_n"), "item_shingles", halves(F.col("item_shingles")).alias("parts")).withColumn("item_fingerprint", simhash(F.col("parts"))).drop("parts")
-    left = cut.withColumn("block", F.explode(hamming_blocks(F.col("fingerprint"), radius)))
-    right = marked.select("item_id", "item_n", "item_shingles", "item_fingerprint", F.explode(hamming_blocks(F.col("item_fingerprint"), radius)).alias("item_block"))
+    marked = marked.withColumn("item_blocks", hamming_blocks(F.col("item_fingerprint"), radius))
+    left = cut.select("*", F.explode("blocks").alias("block"))
+    right = marked.select("*", F.explode("item_blocks").alias("item_block"))
     distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint")))
-    near = left.join(right, (F.col("n_words") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).withColumn("hamming", distance).where(F.col("hamming") <= radius)
-    near = near.drop("block", "item_block", "item_n", "fingerprint", "item_fingerprint").dropDuplicates(["doc_id", "item_id", "start", "shingles"])
+    first = F.array_min(F.array_intersect("blocks", "item_blocks"))  # of the blocks that agree, one gives the pair
+    near = left.join(F.broadcast(right) if few else right, (F.col("n_words") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).where(F.col("block") == first).withColumn("hamming", distance).where(F.col("hamming") <= radius)
     exact = near.withColumn("similarity", similarity(F.col("item_shingles"), F.col("shingles"))).where(F.col("similarity") >= least)
     best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("hamming")).alias("near"), "n_words")).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.n_words").alias("n_words"), F.col("best.similarity").alias("similarity"), (-F.col("best.near")).alias("hamming"))

@@ -16,10 +16,10 @@ from vistaloom.llm.suffix_dedup import words_at
 BUCKETS = 1 << 14
 GRAM = np.uint64((1 << 24) - 1)
 BAD, GOOD, ABSTAIN = 0, 1, 2
-#: Weight of the labellers' assumed votes against the documents' own.
-TRUST = 0.3
-#: Labellers are written to be specific: none is taken to call more than this share of good texts bad.
-FALSE_ALARMS = 0.005
+#: Documents that what labellers are taken to do before any is seen counts for.
+TRUST = 10
+#: Labellers are written to be specific: none is taken to call more than this share of good texts bad. What each finds of the bad ones is estimated.
+FALSE_ALARMS = 0.002
 #: N-grams at which a text counts for half of what a long one does.
 FEW = 60
 SYMBOLS = np.array([c in b"#$%&*|<>{}[]=\\^~_@+" for c in range(256)])
@@ -83,7 +83,7 @@ class LabelModel:
         some = (patterns == BAD).any(axis=1)
         p = np.stack([np.where(some, 0.98, 0.02), np.where(some, 0.02, 0.98)], axis=1)
         model = cls(np.array([0.5, 0.5]), np.full((patterns.shape[1], 2, 2), 1 / 2))
-        before = TRUST * weight.sum() * np.array([[0.2, 0.8], [0.003, 0.997]])  # what labellers are taken to do before any document is seen
+        before = TRUST * np.array([[0.2, 0.8], [0.003, 0.997]])  # what labellers are taken to do before any document is seen
         for _ in range(rounds):
             mass = p * weight[:, None]
             prior = (mass.sum(axis=0) + 1) / (weight.sum() + 2)
@@ -171,7 +171,7 @@ def fit_scorer(docs: DataFrame, model: LabelModel, fit_rows: int = 6000) -> np.n
         each.sort()  # whatever order the rows came in
         yield pa.record_batch([pa.array([trained((np.frombuffer(b, np.int16), np.frombuffer(v, np.float32), y) for b, v, y in each).astype(np.float32).tobytes()], pa.binary())], names=["weights"])
 
-    got = sample.mapInArrow(vectors, "buckets binary, values binary, label double").coalesce(1).mapInArrow(train, "weights binary").collect()  # one row; the sample is bounded
+    got = sample.mapInArrow(vectors, "buckets binary, values binary, label double").repartition(1).mapInArrow(train, "weights binary").collect()  # one row; the sample is bounded
     return np.frombuffer(got[0]["weights"], np.float32) if got else np.zeros(BUCKETS + 1, np.float32)
 
 

@@ -86,15 +86,15 @@ with item_words as (
 ), doc_shingles as (
   select doc_id, p, array_to_string(w[p + 1:p + 5], ' ') s from docs, range(len(w) - 4) t(p) where len(w) >= 5
 ), hits as (
-  select d.doc_id, i.item_id, n_words, m, p, q from doc_shingles d join item_shingles i using (s)
-), enough as (
-  select doc_id, item_id, n_words from hits group by all having count(distinct p) >= ceil(any_value(m) * (1.6 / 1.8) - 1e-9)
+  select distinct d.doc_id, i.item_id, n_words, m, p, len(w) size from doc_shingles d join item_shingles i using (s) join docs using (doc_id)
 ), starts as (
-  select distinct h.doc_id, h.n_words, greatest(0, least(p - q, len(w) - h.n_words)) start
-  from hits h join enough using (doc_id, item_id) join docs d on d.doc_id = h.doc_id
+  select distinct doc_id, n_words, start from (
+    select doc_id, item_id, n_words, start from hits, range(greatest(0, p - m + 1), least(p, greatest(0, size - n_words)) + 1) t(start)
+    group by doc_id, item_id, n_words, m, size, start having count(*) >= ceil((m + least(m, size - 4)) * (0.8 / 1.8) - 1e-9)
+  )
 ), windows as (
   select s.doc_id, n_words, start, k, array_to_string(w[start + k + 1:start + k + 5], ' ') s
-  from starts s join docs using (doc_id), range(n_words - 4) t(k) where start + k + 5 <= len(w)
+  from starts s join docs using (doc_id), range(least(n_words, len(w)) - 4) t(k)
 ), bits as (
   select doc_id, n_words, start, b, count(*) n, count(*) filter ((('0x' || substr(md5(s), 1, 16))::ubigint >> b) & 1 = 1) ones from windows, range(64) t(b) group by all
 ), prints as (
