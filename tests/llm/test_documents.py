@@ -142,7 +142,7 @@ def removed(rows, length):
 @pytest.mark.parametrize(("sample", "least"), [(1, 1), (2, 2), (16, 50_000)])
 def test_suffix_dedup_brute_force(docs, texts, monkeypatch, sample, least):
     """Also with all anchors, or some, dealt as crowded ones."""
-    monkeypatch.setattr(suffix_dedup, "partitions", lambda spark: 200)
+    monkeypatch.setattr(suffix_dedup, "partitions", lambda spark: 40)
     got = suffix_dedup.deduplicated(docs, 100, sample=sample, least=least).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == removed(enumerate(texts), 100)
 
@@ -447,7 +447,10 @@ def test_every_token_is_a_target_once(monkeypatch):
     seen = []
     monkeypatch.setattr(network, "learn", lambda window, token, past, rate: seen.extend(token.tolist()))
     monkeypatch.setattr(pseudo_likelihood.TaskContext, "get", lambda: type("", (), {"partitionId": lambda self: 0})())
-    batch = pa.record_batch([pa.array([" ".join(t) for t in texts] + [None, ""])], names=["text"])
+    found, upto = pseudo_likelihood.words_of(pa.array([" ".join(t) for t in texts] + [None, "", " \n "]))
+    assert found.to_pylist() == [w for t in texts for w in t]
+    ids = pseudo_likelihood.Ids(words).of(found)
+    batch = pa.record_batch([pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids))], names=["ids"])
     weights = []
     for turn in range(2):
         weights += [b.column("targets")[0].as_py() for b in pseudo_likelihood.task_training(network, network.flat(), turn, 2)(iter([batch]))][:1]

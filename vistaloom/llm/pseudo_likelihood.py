@@ -252,17 +252,38 @@ def targets(upto: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     return np.flatnonzero(inside % rounds == np.repeat((turn + size) % rounds, size))
 
 
+def flattened(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of lists, end to end, and where each list's begin (and the end)."""
+    return lists.flatten().to_numpy(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+
+
+def encoded(docs: DataFrame, network: WindowNetwork) -> DataFrame:
+    """(row, doc_id, ids, others), written: the leaves of each text's words, and those words that are not the network's own. A row number holds wherever the table is read."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = Ids(network.vocabulary)
+        for b in batches:
+            words, upto = words_of(b.column(2))
+            ids = ids_of.of(words)
+            other = ids >= len(network.vocabulary)
+            cut = np.append(0, np.cumsum(other))[upto]
+            others = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.filter(pa.array(other)).cast(pa.string()))
+            yield pa.record_batch([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids)), others], names=["row", "doc_id", "ids", "others"])
+
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return saved(given.mapInArrow(rows, "row long, doc_id long, ids array<int>, others array<string>"), "likelihood-ids")
+
+
 def task_training(network: WindowNetwork, flat: np.ndarray, turn: int, rounds: int):
-    """For mapInArrow over texts: the parameters that a task ends with, in slices, with its number of targets."""
+    """For mapInArrow over texts' ids: the parameters that a task ends with, in slices, with its number of targets."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network.load(flat)
-        ids_of, learned = Ids(network.vocabulary), 0
+        learned = 0
         past = [np.full(s, 0.1, np.float32) for s in network.shapes]
         window, token = np.zeros((0, len(PLACES)), np.int32), np.zeros(0, np.int32)
         for b in batches:
-            words, upto = words_of(b.column(0))
-            ids = ids_of.of(words)
+            ids, upto = flattened(b.column(0))
             these = targets(upto, turn, rounds)
             window, token = np.concatenate((window, windows(ids, upto, network.edge)[these])), np.concatenate((token, ids[these]))
             learned += len(these)
@@ -314,14 +335,14 @@ def vocabulary(docs: DataFrame, size: int) -> tuple[WindowNetwork, DataFrame]:
     return network, others.select("word", share.alias("share"))
 
 
-def trained(docs: DataFrame, network: WindowNetwork, rounds: int = 2) -> WindowNetwork:
-    """The network after its rounds over docs. Tasks' parameters are averaged FAN at a time, whatever their number."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+def trained(texts: DataFrame, network: WindowNetwork, rounds: int = 2) -> WindowNetwork:
+    """The network after its rounds over texts' ids. Tasks' parameters are averaged FAN at a time, whatever their number."""
     flat = network.flat()
-    tasks = texts.rdd.getNumPartitions()
+    ids = texts.select("ids")
+    tasks = ids.rdd.getNumPartitions()
     form = "at long, task long, targets long, part binary"
     for turn in range(rounds):
-        parts, left = texts.mapInArrow(task_training(network, flat, turn, rounds), form), tasks
+        parts, left = ids.mapInArrow(task_training(network, flat, turn, rounds), form), tasks
         while left > FAN:
             parts, left = parts.groupBy("at", F.floor(F.col("task") / FAN).alias("group")).applyInArrow(averaged, form), -(-left // FAN)
         got = parts.groupBy("at").applyInArrow(averaged, form).collect()  # one row per slice: the model's size
@@ -339,23 +360,18 @@ def scored(docs: DataFrame, size: int = 8191, rounds: int = 2) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     network, shares = vocabulary(docs.select(F.col("text").cast("string").alias("text")), size)
-    shared = docs.sparkSession.sparkContext.broadcast(trained(docs, network, rounds))  # bounded by size
+    texts = encoded(docs, network)
+    shared = docs.sparkSession.sparkContext.broadcast(trained(texts, network, rounds))  # bounded by size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = shared.value
-        ids_of = Ids(use.vocabulary)
         for b in batches:
-            words, upto = words_of(b.column(2))
-            ids = ids_of.of(words)
-            other = ids >= len(use.vocabulary)
-            cut = np.append(0, np.cumsum(other))[upto]
-            others = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.filter(pa.array(other)).cast(pa.string()))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(np.diff(upto), pa.int64()), pa.array(use.sums(ids, upto), pa.float64()), others], names=["row", "doc_id", "n_tokens", "leaves", "others"])
+            ids, upto = flattened(b.column(2))
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(np.diff(upto), pa.int64()), pa.array(use.sums(ids, upto), pa.float64())], names=["row", "doc_id", "n_tokens", "leaves"])
 
-    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Written: the numbers of rows hold for both sides of the last join.
-    found = saved(given.mapInArrow(rows, "row long, doc_id long, n_tokens long, leaves double, others array<string>"), "likelihood-leaves")
-    words = found.select("row", F.explode("others").alias("word"))
-    inside = words.join(shares, "word").groupBy("row").agg(F.sum("share").alias("inside"))
+    found = texts.select("row", "doc_id", "ids").mapInArrow(rows, "row long, doc_id long, n_tokens long, leaves double")
+    words = texts.select("row", F.explode("others").alias("word"))
+    # A word's row meets its texts by hash, as both sides are long: no sort of all rare words.
+    inside = words.join(shares.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("share").alias("inside"))
     pll = F.round(F.col("leaves") + F.coalesce(F.col("inside") / FINE, F.lit(0.0)), 6)
-    return found.drop("others").join(inside, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
+    return found.join(inside, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
