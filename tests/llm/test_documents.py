@@ -420,19 +420,21 @@ def test_pseudo_likelihood(spark, empty):
     assert pseudo_likelihood.scored(empty.select("doc_id", "text")).count() == 0
 
 
-def test_rare_words_by_their_counts(spark):
+@pytest.mark.parametrize("near", [0, 120, 1000])
+def test_rare_words_by_their_counts(spark, near):
     """Words beyond the network's own: the shares of a leaf's words sum to one, and texts of more frequent ones score higher."""
     rare = [f"r{k}" for k in range(300)]
     rows = [(k, "common words " * 50) for k in range(20)] + [(100 + k, w) for k, w in enumerate(rare) for _ in range(1 + k % 7)] + [(900, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    network, shares = pseudo_likelihood.vocabulary(docs.select("text"), 2)
-    got = {r.word: math.exp(r.share / pseudo_likelihood.FINE) for r in shares.collect()}
+    network, ids_of, shares = pseudo_likelihood.vocabulary(docs.select("text"), 2, near)
+    assert len(ids_of.near) <= near and (len(ids_of.near) == 300) == (near == 1000)
+    got = {r.word: math.exp(r.share / pseudo_likelihood.FINE) for r in shares.collect()} | {w: math.exp(s / pseudo_likelihood.FINE) for w, s in zip(ids_of.near, ids_of.shares.tolist(), strict=True)}
     leaf = {w: zlib.crc32(w.encode()) % pseudo_likelihood.RARE for w in rare}
     mass = [sum(1 + k % 7 for k, w in enumerate(rare) if leaf[w] == b) for b in range(pseudo_likelihood.RARE)]
     assert network.vocabulary == ["common", "words"] and network.counts.tolist() == [1000, 1000] + [max(1, m) for m in mass]
     assert set(got) == set(rare) and all(math.isclose(got[w], (1 + k % 7) / mass[leaf[w]], rel_tol=1e-6) for k, w in enumerate(rare))
     scores = {}
-    for r in pseudo_likelihood.scored(docs, size=2).collect():
+    for r in pseudo_likelihood.scored(docs, size=2, near=near).collect():
         assert scores.setdefault(r.doc_id, r.pll) == r.pll  # repeated rows, equal texts
     for b in range(pseudo_likelihood.RARE):
         same = sorted((k % 7, scores[100 + k]) for k, w in enumerate(rare) if leaf[w] == b)
@@ -449,7 +451,8 @@ def test_every_token_is_a_target_once(monkeypatch):
     monkeypatch.setattr(pseudo_likelihood.TaskContext, "get", lambda: type("", (), {"partitionId": lambda self: 0})())
     found, upto = pseudo_likelihood.words_of(pa.array([" ".join(t) for t in texts] + [None, "", " \n "]))
     assert found.to_pylist() == [w for t in texts for w in t]
-    ids = pseudo_likelihood.Ids(words).of(found)
+    ids, _, held = pseudo_likelihood.Ids(words, [], np.zeros(0, np.int64)).of(found)
+    assert held.all()
     batch = pa.record_batch([pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids))], names=["ids"])
     weights = []
     for turn in range(2):

@@ -37,24 +37,38 @@ SLICE = 1 << 14
 BATCH = 1 << 14
 BLOCK = 64
 RATE = 0.2
+#: Words beyond the network's own whose shares are at hand in each worker, some 30 bytes each.
+NEAR = 131_072
 #: Tasks whose parameters are averaged together.
 FAN = 256
 
 
+@dataclass
 class Ids:
-    """Words to leaves: its own for a word of the network's vocabulary, one of RARE by a checksum for each other."""
+    """Words to leaves: its own for a word of the network's vocabulary, one of RARE by a checksum for each other. Of some others, `near`, the shares are at hand."""
 
-    def __init__(self, vocabulary: list[str]):
-        self.vocabulary = pa.array(vocabulary, pa.large_string())
+    vocabulary: list[str]
+    near: list[str]
+    shares: np.ndarray
 
-    def of(self, words: pa.Array) -> np.ndarray:
+    def __post_init__(self) -> None:
+        self.known = pa.array([*self.vocabulary, *self.near], pa.large_string())
+        n = len(self.vocabulary)
+        self.leaf = np.array([*range(n), *(n + zlib.crc32(w.encode()) % RARE for w in self.near)], np.int32)
+        self.share = np.concatenate((np.zeros(n, np.int64), self.shares))
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word its leaf, the logarithm of its share of it (0 where that isn't at hand), and whether it is at hand."""
         each = words.dictionary_encode()
-        known = pc.index_in(each.dictionary, value_set=self.vocabulary)
-        leaf = known.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32)
-        other = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
+        at = pc.index_in(each.dictionary, value_set=self.known)
+        held = at.is_valid().to_numpy(zero_copy_only=False)
+        place = at.fill_null(0).to_numpy(zero_copy_only=False)
+        leaf, share = (np.where(held, x[place], 0) if len(x) else np.zeros(len(place), x.dtype) for x in (self.leaf, self.share))
+        other = np.flatnonzero(~held)
         names = each.dictionary.cast(pa.large_binary()).take(pa.array(other)).to_pylist()
         leaf[other] = len(self.vocabulary) + np.fromiter((zlib.crc32(w) % RARE for w in names), np.int32, len(names))
-        return leaf[each.indices.to_numpy()]
+        which = each.indices.to_numpy()
+        return leaf.astype(np.int32)[which], share[which], held[which]
 
 
 def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,21 +271,22 @@ def flattened(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
 
 
-def encoded(docs: DataFrame, network: WindowNetwork) -> DataFrame:
-    """(row, doc_id, ids, others), written: the leaves of each text's words, and those words that are not the network's own. A row number holds wherever the table is read."""
+def encoded(docs: DataFrame, ids_of: Ids) -> DataFrame:
+    """(row, doc_id, ids, inside, others), written: the leaves of each text's words, the sum of the shares at hand, and the words without. A row number holds wherever the table is read."""
+    shared = docs.sparkSession.sparkContext.broadcast(ids_of)  # bounded by the numbers of its words
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(network.vocabulary)
+        use = shared.value
         for b in batches:
             words, upto = words_of(b.column(2))
-            ids = ids_of.of(words)
-            other = ids >= len(network.vocabulary)
-            cut = np.append(0, np.cumsum(other))[upto]
-            others = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.filter(pa.array(other)).cast(pa.string()))
-            yield pa.record_batch([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids)), others], names=["row", "doc_id", "ids", "others"])
+            ids, share, held = use.of(words)
+            total = np.append(0, np.cumsum(share))
+            cut = np.append(0, np.cumsum(~held))[upto]
+            others = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.filter(pa.array(~held)).cast(pa.string()))
+            yield pa.record_batch([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids)), pa.array(np.diff(total[upto])), others], names=["row", "doc_id", "ids", "inside", "others"])
 
     given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(given.mapInArrow(rows, "row long, doc_id long, ids array<int>, others array<string>"), "likelihood-ids")
+    return saved(given.mapInArrow(rows, "row long, doc_id long, ids array<int>, inside long, others array<string>"), "likelihood-ids")
 
 
 def task_training(network: WindowNetwork, flat: np.ndarray, turn: int, rounds: int):
@@ -312,27 +327,32 @@ def averaged(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "task": pa.array([rows[0][0] // FAN], pa.int64()), "targets": pa.array([n], pa.int64()), "part": pa.array([total.tobytes()], pa.binary())})
 
 
-def vocabulary(docs: DataFrame, size: int) -> tuple[WindowNetwork, DataFrame]:
-    """An untrained network for docs, and (word, share) of all words beyond its own: the logarithm of a word's share of its leaf.
+def vocabulary(docs: DataFrame, size: int, near: int = NEAR) -> tuple[WindowNetwork, Ids, DataFrame]:
+    """An untrained network for docs; its words and those whose shares are at hand; and (word, share) of all others, the share being the logarithm of a word's share of its leaf.
 
-    The network's words are the most frequent ones of all documents, `size` at most: words of one count are all in or all out.
+    The network's words are the most frequent ones of all documents, `size` at most: words of one count are all in or all
+    out. The next ones, `near` in all at most, are kept at hand; the others are a table that grows with the documents.
     """
     counts = saved(word_counts(docs), "likelihood-words")
-    room, least = size, None
-    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size + 1).collect():  # bounded by size
-        room -= r["words"]
-        if room < 0:
-            break
-        least = r["n"]
-    inside = F.lit(False) if least is None else F.col("n") >= least
+    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size + near + 1).collect()  # bounded by both
+    least = [None, None]
+    for k, room in enumerate((size, size + near)):
+        for r in by_count:
+            room -= r["words"]
+            if room < 0:
+                break
+            least[k] = r["n"]
+    inside, close = (F.lit(False) if x is None else F.col("n") >= x for x in least)
     top = sorted(counts.where(inside).collect(), key=lambda r: (-r["n"], r["word"]))  # size rows at most
     leaf = (F.crc32(F.col("word").cast("binary")) % RARE).cast("int")
     others = counts.where(~inside).withColumn("leaf", leaf)
     mass = {r["leaf"]: r["mass"] for r in others.groupBy("leaf").agg(F.sum("n").alias("mass")).collect()}  # one row per leaf
     network = WindowNetwork([r["word"] for r in top], np.array([r["n"] for r in top] + [max(1, mass.get(k, 0)) for k in range(RARE)], np.int64))
     masses = F.array(*[F.lit(float(mass.get(k, 0))) for k in range(RARE)])
-    share = F.round((F.log("n") - F.log(F.get(masses, F.col("leaf")))) * FINE).cast("long")
-    return network, others.select("word", share.alias("share"))
+    shares = others.select("word", "n", F.round((F.log("n") - F.log(F.get(masses, F.col("leaf")))) * FINE).cast("long").alias("share"))
+    at_hand = shares.where(close).select("word", "share").collect()  # near rows at most
+    ids_of = Ids(network.vocabulary, [r["word"] for r in at_hand], np.array([r["share"] for r in at_hand], np.int64))
+    return network, ids_of, shares.where(~close).select("word", "share")
 
 
 def trained(texts: DataFrame, network: WindowNetwork, rounds: int = 2) -> WindowNetwork:
@@ -352,26 +372,26 @@ def trained(texts: DataFrame, network: WindowNetwork, rounds: int = 2) -> Window
     return network
 
 
-def scored(docs: DataFrame, size: int = 8191, rounds: int = 2) -> DataFrame:
+def scored(docs: DataFrame, size: int = 8191, rounds: int = 2, near: int = NEAR) -> DataFrame:
     """(doc_id, n_tokens, pll, mean_pll): the sum and mean of the log-probabilities of a text's tokens in their windows.
 
     Null and empty texts have 0 tokens, sum 0 and a null mean. Texts are read whole; equal texts get equal results, to six
     places; rows repeat as they come; other columns are ignored. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    network, shares = vocabulary(docs.select(F.col("text").cast("string").alias("text")), size)
-    texts = encoded(docs, network)
+    network, ids_of, shares = vocabulary(docs.select(F.col("text").cast("string").alias("text")), size, near)
+    texts = encoded(docs, ids_of)
     shared = docs.sparkSession.sparkContext.broadcast(trained(texts, network, rounds))  # bounded by size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = shared.value
         for b in batches:
             ids, upto = flattened(b.column(2))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(np.diff(upto), pa.int64()), pa.array(use.sums(ids, upto), pa.float64())], names=["row", "doc_id", "n_tokens", "leaves"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(np.diff(upto), pa.int64()), pa.array(use.sums(ids, upto), pa.float64()), b.column(3)], names=["row", "doc_id", "n_tokens", "leaves", "inside"])
 
-    found = texts.select("row", "doc_id", "ids").mapInArrow(rows, "row long, doc_id long, n_tokens long, leaves double")
+    found = texts.select("row", "doc_id", "ids", "inside").mapInArrow(rows, "row long, doc_id long, n_tokens long, leaves double, inside long")
     words = texts.select("row", F.explode("others").alias("word"))
     # A word's row meets its texts by hash, as both sides are long: no sort of all rare words.
-    inside = words.join(shares.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("share").alias("inside"))
-    pll = F.round(F.col("leaves") + F.coalesce(F.col("inside") / FINE, F.lit(0.0)), 6)
-    return found.join(inside, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
+    rest = words.join(shares.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("share").alias("rest"))
+    pll = F.round(F.col("leaves") + (F.col("inside") + F.coalesce("rest", F.lit(0))) / FINE, 6)
+    return found.join(rest, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
