@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-#: Short names of the skills.
+#: Short names of the skills; of others, the first three letters.
 CODES = {
-    "anchor": "AN",
-    "counting": "CT",
-    "cross_depth_variation": "DV",
-    "cross_object_correspondence": "OC",
-    "cross_occlusion_visibility": "OV",
-    "cross_point_correspondence": "PC",
-    "cross_spatial_transformation": "ST",
-    "relative_direction": "RDir",
-    "relative_distance": "RDist",
+    "anchor": "anc",
+    "counting": "cnt",
+    "cross_depth_variation": "cdv",
+    "cross_object_correspondence": "coc",
+    "cross_occlusion_visibility": "cov",
+    "cross_point_correspondence": "cpc",
+    "cross_spatial_transformation": "cst",
+    "relative_direction": "rdr",
+    "relative_distance": "rdi",
 }
 
 
@@ -60,10 +61,20 @@ def identity(canonical: Column, label: Column) -> Column:
     return F.when(named != "", named).otherwise(F.trim(F.coalesce(label, F.lit(""))))
 
 
-def caption(a: Column, b: Column, delta: Column) -> Column:
-    """Two identities, whether they are the same but for capitals, and the depth between them."""
+def shown(label: Column, name: Column) -> Column:
+    """A label, with the identity that it is matched by where that is another one."""
+    return F.when((name != "") & (name != F.lower(label)), F.concat(label, F.lit("/"), name)).otherwise(label)
+
+
+def caption(idx: Column, src_label: Column, src_canonical: Column, tgt_label: Column, tgt_canonical: Column, iou: Column, depth_pred: Column, depth_obs: Column, visible: Column) -> Column:
+    """One line on a match: its number, both labels, whether their identities are the same but for capitals, IoU and depths.
+
+    Fixed values: the line's format.
+    """
+    a, b = identity(src_canonical, src_label), identity(tgt_canonical, tgt_label)
     sign = F.when(F.lower(a) == F.lower(b), "=").otherwise("≠")
-    return F.concat(a, F.lit(" "), sign, F.lit(" "), b, F.lit(" Δ"), F.format_string("%.2f", delta), F.lit("m"))
+    mark = F.when(visible, "✓").otherwise("✗OCC")
+    return F.format_string("[%d] '%s' %s '%s' | iou=%.2f Δd=%+.2fm (pred %.2f vs obs %.2f) %s", idx, shown(src_label, a), sign, shown(tgt_label, b), iou, depth_pred - depth_obs, depth_pred, depth_obs, mark)
 
 
 def slot(key: Column, n: int = 20) -> Column:
@@ -77,9 +88,33 @@ def pair_seed(seed: int, scene: Column, src: Column, tgt: Column) -> Column:
     return F.conv(F.substring(F.sha1(key), 1, 8), 16, 10).cast("long").bitwiseXOR(F.lit(seed).cast("long"))
 
 
-def signature(evidence: Column) -> Column:
-    """Ten characters that stand for evidence; evidence is a struct with its fields in sorted order."""
-    return F.substring(F.sha1(F.to_json(evidence)), 1, 10)
+def in_order(x: Column, kind: DataType) -> Column:
+    """x with the fields of its structs, at any depth, in the order of their names."""
+    if isinstance(kind, StructType):
+        parts = F.struct(*[in_order(x[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)])
+        return F.when(x.isNotNull(), parts)
+    return F.transform(x, lambda y: in_order(y, kind.elementType)) if isinstance(kind, ArrayType) else x
+
+
+def spaced_json(x: Column) -> Column:
+    """JSON with a space after each comma and colon outside strings, and with characters beyond ASCII escaped.
+
+    Every match begins where the last one ended and takes strings whole, so nothing within a string is touched.
+    """
+    spaced = F.regexp_replace(F.to_json(x, {"ignoreNullFields": "false"}), r'\G((?:"(?:[^"\\]|\\.)*+"|[^",:])*+)([,:])', "$1$2 ")
+
+    def escaped(c: Column) -> Column:
+        n = F.ascii(c)
+        high, low = 55296 + F.floor((n - 65536) / 1024), 56320 + (n - 65536) % 1024
+        return F.when(n < 128, c).when(n < 65536, F.format_string("\\u%04x", n)).otherwise(F.format_string("\\u%04x\\u%04x", high.cast("int"), low.cast("int")))
+
+    plain = F.array_join(F.transform(F.split(spaced, ""), escaped), "")
+    return F.when(spaced.rlike(r"[^\x00-\x7f]"), plain).otherwise(spaced)
+
+
+def signature(evidence: Column, kind: StructType | None = None) -> Column:
+    """Ten characters that stand for evidence, a struct; kind is its type, so that its fields can be put in order."""
+    return F.substring(F.sha1(spaced_json(evidence if kind is None else in_order(evidence, kind))), 1, 10)
 
 
 def cache_path(*parts: Column) -> Column:
@@ -88,7 +123,7 @@ def cache_path(*parts: Column) -> Column:
 
 def codes(skills: Column) -> Column:
     names = F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv])
-    return F.array_join(F.transform(F.array_sort(F.array_distinct(skills)), lambda s: F.coalesce(F.try_element_at(names, s), s)), ",")
+    return F.array_join(F.transform(F.array_sort(F.array_distinct(skills)), lambda s: F.coalesce(F.try_element_at(names, s), F.substring(s, 1, 3))), ",")
 
 
 def data_url(path: Column, content: Column) -> Column:
@@ -97,26 +132,72 @@ def data_url(path: Column, content: Column) -> Column:
     return F.concat(F.lit("data:image/"), F.when(kind == "jpg", "jpeg").when(kind == "", "png").otherwise(kind), F.lit(";base64,"), F.base64(content))
 
 
-#: What a verifier is asked of each skill's evidence; {lines} are up to five findings.
-PROMPTS = {
-    "anchor": "Do both images show these objects at clearly different sizes?\n{lines}",
-    "counting": "Can the objects of this category be counted once each over both images?\n{lines}",
-    "cross_depth_variation": "Does the distance to these objects differ between the images?\n{lines}",
-    "cross_object_correspondence": "Is each of these objects the same one in both images?\n{lines}",
-    "cross_occlusion_visibility": "Are some of these objects seen in one image and hidden in the other?\n{lines}",
-    "cross_point_correspondence": "Does each of these points lie on the same spot in both images?\n{lines}",
-    "cross_spatial_transformation": "Do these objects change their shape or size between the images?\n{lines}",
-    "relative_direction": "Seen from the second image's camera, do these objects lie in these directions?\n{lines}",
-    "relative_distance": "Is the named object clearly the farthest from the reference?\n{lines}",
-}
-
-
-def prompt(skill: Column, findings: Column) -> Column:
-    """The question on a skill's evidence with its first five findings; an unknown skill raises an error."""
-    lines = F.array_join(F.transform(F.slice(findings, 1, 5), lambda x: F.concat(F.lit("- "), x)), "\n")
+def lines(rows: Column, line) -> Column:
+    """The first five rows as lines."""
+    return F.array_join(F.transform(F.slice(F.coalesce(rows, F.slice(rows, 1, 0)), 1, 5), lambda r: F.concat(F.lit("  - "), line(r))), "\n")
+
+
+def known(x: Column, otherwise: str = "?") -> Column:
+    return F.coalesce(x.cast("string"), F.lit(otherwise))
+
+
+def number(x: Column, form: str) -> Column:
+    return F.format_string(form, F.coalesce(x.cast("double"), F.lit(0.0)))
+
+
+def many(rows: Column) -> Column:
+    return F.greatest(F.lit(0), F.coalesce(F.size(rows), F.lit(0))).cast("string")
+
+
+def questions(e: Column) -> dict[str, list]:
+    """What a verifier is asked of each skill's evidence, a struct with the fields of skills.EVIDENCE: what was found, then the question."""
+    farthest = F.get(F.filter(e["candidates"], lambda c: c["match_idx"] == e["farthest_match_idx"]), F.lit(0))["label"]
+    return {
+        "anchor": [
+            "ANCHOR. Found in both views: ", many(e["shared_objects"]), " object(s)\n", lines(e["shared_objects"], lambda o: F.concat(known(o["src_label"]), F.lit(", size x"), number(o["scale_ratio"], "%.2f"))),
+            "\nIs each of them one and the same thing in both images, seen from clearly different places?",
+        ],
+        "counting": [
+            "COUNTING. Category ", known(e["category"]), ": ", known(e["unique_total"], "0"), " distinct in both images together, ", many(e["shared_match_idx"]), " in both, ", many(e["private_src_idx"]), " in image 1 only, ",
+            many(e["private_tgt_idx"]), " in image 2 only.\nIs the number right, and can neither image alone give it?",
+        ],
+        "relative_distance": [
+            "RELATIVE DISTANCE. From ", known(e["reference_label"]), " to:\n", lines(e["candidates"], lambda c: F.concat(known(c["label"]), F.lit(" "), number(c["distance_m"], "%.2f m"))),
+            "\nFarthest: ", known(farthest), ", by ", number(e["margin_m"], "%.2f m"), ".\nIs the order clear, and is it plain which object the reference is?",
+        ],
+        "relative_direction": [
+            "RELATIVE DIRECTION. Seen from image 2's camera:\n", lines(e["targets"], lambda t: F.concat(known(t["label"]), F.lit(" "), known(t["bucket"]), F.lit(" ("), number(t["azimuth_deg"], "%.0f°"), F.lit(")"))),
+            "\nAre the directions right, and is each object plain to see in image 1?",
+        ],
+        "cross_point_correspondence": [
+            "CROSS POINT CORRESPONDENCE. Labelled objects matched in both views: ", known(F.coalesce(e["n_visible_labeled"], F.size(e["qualifying_matches"])), "0"),
+            ".\nAre some of them truly the same thing in both images, from clearly different places?",
+        ],
+        "cross_object_correspondence": [
+            "CROSS OBJECT CORRESPONDENCE. Shared objects to point at in image 2: ", many(e["shared_objects"]), "\n",
+            lines(e["shared_objects"], lambda o: F.concat(known(o["tgt_label"]), F.lit(" at ["), known(F.array_join(o["point_tgt"].cast("array<string>"), ", "), ""), F.lit("]"))),
+            "\nIs each of them in both images, and at that place in image 2?",
+        ],
+        "cross_spatial_transformation": [
+            "CROSS SPATIAL TRANSFORMATION. Objects whose outline changes: ", many(e["transformed_objects"]), "\n", lines(e["transformed_objects"], lambda o: F.concat(known(o["label"]), F.lit(", size x"), number(o["scale_ratio"], "%.2f"))),
+            "\nDo they look clearly different from the two places?",
+        ],
+        "cross_depth_variation": [
+            "CROSS DEPTH VARIATION. Objects whose distance changes: ", many(e["varying_objects"]), "\n",
+            lines(e["varying_objects"], lambda o: F.concat(known(o["label"]), F.lit(": "), number(o["depth_src"], "%.2f m"), F.lit(" -> "), number(o["depth_tgt"], "%.2f m"), F.lit(" ("), number(o["delta_m"], "%+.2f m"), F.lit(")"))),
+            "\nIs one of these changes plain to see?",
+        ],
+        "cross_occlusion_visibility": [
+            "CROSS OCCLUSION VISIBILITY. Of image 1's objects, ", known(e["n_visible"], "0"), " are seen in image 2 and ", known(e["n_occluded"], "0"), " are hidden behind something.\nDoes the pair clearly have both?",
+        ],
+    }
+
+
+def prompt(skill: Column, evidence: Column, template: str = "{body}") -> Column:
+    """The template with the question on a skill's evidence for `{body}`; an unknown skill raises an error."""
     out = None
-    for name, text in PROMPTS.items():
-        is_it = skill == name
-        made = F.replace(F.lit(text), F.lit("{lines}"), lines)
-        out = F.when(is_it, made) if out is None else out.when(is_it, made)
+    for name, parts in questions(evidence).items():
+        body = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+        made = F.replace(F.lit(template), F.lit("{body}"), body)
+        out = F.when(skill == name, made) if out is None else out.when(skill == name, made)
     return out.otherwise(F.raise_error(F.concat(F.lit("no prompt for skill "), skill)))

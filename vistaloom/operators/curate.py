@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,30 +41,32 @@ def balanced(rows: DataFrame, scene_cap: int | None, bucket_cap: int | None, see
     """(skill, id, reason) for rows (skill, id, scene_id, bucket, usable): null reason is kept.
 
     Each skill's rows are taken in shuffled order. The scene's cap is looked at first, then the bucket's, then the verdict;
-    only a kept row counts towards the caps, and a missing verdict is a refusal. Counts are maps in a fold over the skill.
+    only a kept row counts towards the caps, and a missing verdict is a refusal. A skill's rows stream through one task in
+    order, in linear time; what is held is a counter for each of its scenes and buckets.
     """
-    order = F.array_sort(F.collect_list(F.struct(shuffle_key(seed, F.col("id")).alias("key"), "id", "scene_id", "bucket", F.coalesce("usable", F.lit(False)).alias("usable"))))
-    grouped = rows.groupBy("skill").agg(order.alias("rows"))
-    counts = "map<string,int>"
-
-    def add(m: Column, key: Column) -> Column:
-        one = F.coalesce(F.try_element_at(m, key), F.lit(0)) + 1
-        return F.map_concat(F.map_filter(m, lambda k, _: k != key), F.create_map(key, one))
-
-    def step(acc: Column, x: Column) -> Column:
-        full = lambda m, key, cap: F.lit(False) if cap is None else F.coalesce(F.try_element_at(acc[m], x[key]), F.lit(0)) >= cap
-        reason = F.when(full("scenes", "scene_id", scene_cap), "per_scene_cap").when(full("buckets", "bucket", bucket_cap), "per_bucket_cap").when(~x["usable"], "verifier")
-        keep = reason.isNull()
-        return F.struct(
-            F.when(keep, add(acc["scenes"], x["scene_id"])).otherwise(acc["scenes"]).alias("scenes"),
-            F.when(keep, add(acc["buckets"], x["bucket"])).otherwise(acc["buckets"]).alias("buckets"),
-            F.array_append(acc["out"], F.struct(x["id"].alias("id"), reason.alias("reason"))).alias("out"),
-        )
-
-    none = F.create_map().cast(counts)
-    empty = F.slice(F.transform("rows", lambda x: F.struct(x["id"].alias("id"), F.lit(None).cast("string").alias("reason"))), 1, 0)
-    done = F.aggregate("rows", F.struct(none.alias("scenes"), none.alias("buckets"), empty.alias("out")), step, lambda acc: acc["out"])
-    return grouped.select("skill", F.inline(done))
+    ranked = rows.select("skill", "id", "scene_id", "bucket", F.coalesce("usable", F.lit(False)).alias("usable"), shuffle_key(seed, F.col("id")).alias("key"))
+    ordered = ranked.repartition("skill").sortWithinPartitions("skill", "key", "id")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, scenes, buckets = None, Counter(), Counter()
+        for b in batches:
+            reasons = []
+            for skill, scene, bucket, usable in zip(*(b.column(c).to_pylist() for c in ("skill", "scene_id", "bucket", "usable")), strict=True):
+                if skill != now:
+                    now, scenes, buckets = skill, Counter(), Counter()
+                if scene_cap is not None and scenes[scene] >= scene_cap:
+                    reasons.append("per_scene_cap")
+                elif bucket_cap is not None and buckets[bucket] >= bucket_cap:
+                    reasons.append("per_bucket_cap")
+                elif not usable:
+                    reasons.append("verifier")
+                else:
+                    reasons.append(None)
+                    scenes[scene] += 1
+                    buckets[bucket] += 1
+            yield pa.record_batch([b.column("skill"), b.column("id"), pa.array(reasons, pa.string())], names=["skill", "id", "reason"])
+
+    return ordered.mapInArrow(scan, f"skill string, id {rows.schema['id'].dataType.simpleString()}, reason string")
 
 
 def verified(manifests: DataFrame, verdicts: DataFrame, keys: list[str]) -> DataFrame:

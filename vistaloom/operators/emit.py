@@ -17,19 +17,20 @@ def first_in_voxel(matches: DataFrame, size: float = 0.05, order: tuple[str, ...
     return matches.withColumn("first", F.row_number().over(Window.partitionBy("scene_id", "visible", *key).orderBy(*order)) == 1)
 
 
-def emitted(matches: DataFrame, width: int, height: int, cap: int, size: float = 0.05) -> DataFrame:
-    """matches with pixel, `reason` (null: emitted) and `place` among the emitted of the scene.
+def emitted(matches: DataFrame, width: int, height: int, cap: int | None, size: float = 0.05, order: tuple[str, ...] = ("pair_id", "match_idx")) -> DataFrame:
+    """matches with both pixels (su, sv and u, v rounded and held inside) and `reason` (null: emitted), in the order given.
 
-    A voxel is taken before the pixel is looked at, so a match outside the image still keeps later ones out of its voxel.
-    The cap stops a scene after that many records.
+    A voxel is taken before the pixels are looked at, so a match outside the image still keeps later ones out of its voxel.
+    The cap stops a scene after that many records: what comes later is neither emitted nor refused.
     """
-    rows = first_in_voxel(matches, size).withColumns({"pu": g.round_clip(F.col("u"), width), "pv": g.round_clip(F.col("v"), height)})
-    reason = F.when(~F.col("first"), "duplicate_voxel").when(F.col("pu").isNull() | F.col("pv").isNull(), "out_of_bounds")
-    rows = rows.withColumn("reason", reason)
-    place = F.sum(F.when(F.col("reason").isNull(), 1).otherwise(0)).over(Window.partitionBy("scene_id").orderBy("pair_id", "match_idx").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("place", place)
-    over = F.col("reason").isNull() & (F.col("place") > cap)
-    return rows.withColumn("reason", F.when(over, F.lit("scene_cap")).otherwise(F.col("reason")))
+    ends = {"psu": ("su", width), "psv": ("sv", height), "pu": ("u", width), "pv": ("v", height)}
+    rows = first_in_voxel(matches, size, order).withColumns({n: g.round_clip(F.col(c), k) for n, (c, k) in ends.items()})
+    outside = F.col("psu").isNull() | F.col("psv").isNull() | F.col("pu").isNull() | F.col("pv").isNull()
+    rows = rows.withColumn("reason", F.when(~F.col("first"), "voxel_dup").when(outside, "out_of_bounds"))
+    if cap is None:
+        return rows
+    before = F.coalesce(F.sum(F.when(F.col("reason").isNull(), 1).otherwise(0)).over(Window.partitionBy("scene_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("before", before).where(F.col("before") < cap).drop("before")
 
 
 def accepting(visible: Column, skills: tuple[str, ...]) -> Column:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vistaloom.functions import geometry as g
-from vistaloom.operators import fold
 
 #: Points of the probing lattice per side, and the depth by which a point must lie behind what is seen there to be occluded.
 GRID, TOLERANCE = 5, 0.10
@@ -159,16 +159,15 @@ def probed_points(pairs: DataFrame, depth: DepthAt, k: tuple[float, ...], image:
 
 
 def probed(pairs: DataFrame, depth: DepthAt, k: tuple[float, ...], image: tuple[int, int], cells: tuple[int, int]) -> DataFrame:
-    """pairs with overlap and occluded_frac: shares of all lattice points, both ways averaged.
+    """pairs, without their poses, with overlap and occluded_frac: shares of all lattice points, both ways averaged.
 
-    The points of a pair stay within its row's task: the sum over them is a partial aggregate on the pair's key that
-    carries the other columns along, and only one row per pair is shuffled.
+    The points of a pair stay within its row's task: the sum over them is a partial aggregate by the pair's columns, so only
+    one row per pair is shuffled and the pairs are worked out once.
     """
-    keys = ["scene_id", "ord_a", "ord_b"]
+    keys = [c for c in pairs.columns if c not in ("pose_a", "pose_b")]
     points = probed_points(pairs, depth, k, image, cells, keys)
     share = lambda c: F.sum(F.col(c).cast("int")) / F.lit(2.0 * GRID * GRID)
-    found = points.groupBy(*keys).agg(share("in_bounds").alias("overlap"), share("occluded").alias("occluded_frac"))
-    return pairs.join(found, keys)
+    return points.groupBy(*keys).agg(share("in_bounds").alias("overlap"), share("occluded").alias("occluded_frac"))
 
 
 def scored(pairs: DataFrame, config: PairConfig) -> DataFrame:
@@ -177,42 +176,38 @@ def scored(pairs: DataFrame, config: PairConfig) -> DataFrame:
     return good.where(F.col("quality") >= config.quality)
 
 
-def diverse(pairs: DataFrame, least: float) -> DataFrame:
-    """Of each scene, the best pair first, those whose two centres lie `least` or more, in six dimensions, from every kept pair's."""
-    if least <= 0:
-        return pairs
-    place = F.array("cx_a", "cy_a", "cz_a", "cx_b", "cy_b", "cz_b")
-    rows = pairs.withColumn("__place", place).withColumn("__rank", -F.col("quality"))
+PLACE = ("cx_a", "cy_a", "cz_a", "cx_b", "cy_b", "cz_b")
 
-    def apart(kept, x):
-        square = lambda y: F.aggregate(F.zip_with(y["__place"], x["__place"], lambda p, q: (p - q) * (p - q)), g.num(0), lambda s, d: s + d)
-        return ~F.exists(kept, lambda y: F.sqrt(square(y)) < least)
-
-    kept = fold.greedy(rows, ["scene_id"], ["__rank", "ord_a", "ord_b"], ["__rank", "ord_a", "ord_b", "__place"], apart)
-    return pairs.join(kept.select("scene_id", "ord_a", "ord_b"), ["scene_id", "ord_a", "ord_b"], "left_semi")
 
+def diverse(pairs: DataFrame, least: float) -> DataFrame:
+    """Of each scene, the best pair first, those whose two centres lie `least` or more, in six dimensions, from every kept pair's.
 
-def diverse_large(pairs: DataFrame, least: float) -> DataFrame:
-    """diverse() for scenes of very many pairs: the kept places are one NumPy array per scene, and a row costs one pass over it."""
+    A scene's pairs stream through one task in order. Kept places lie in cells as wide as `least` in three of the
+    dimensions, so a pair is compared with those of the 27 cells around its own, whatever the scene's size.
+    """
     if least <= 0:
         return pairs
-    cols = ["cx_a", "cy_a", "cz_a", "cx_b", "cy_b", "cz_b"]
-
-    def scan(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["quality", "ord_a", "ord_b"], ascending=[False, True, True])
-        at = rows[cols].to_numpy(float)
-        held, n, keep = np.empty((16, 6)), 0, np.zeros(len(rows), bool)
-        for k, x in enumerate(at):
-            if n and np.sqrt(((held[:n] - x) ** 2).sum(axis=1)).min() < least:
-                continue
-            if n == len(held):
-                held = np.concatenate((held, np.empty_like(held)))
-            held[n], keep[k] = x, True
-            n += 1
-        return rows.loc[keep, ["scene_id", "ord_a", "ord_b"]]
-
-    kept = pairs.select("scene_id", "ord_a", "ord_b", "quality", *cols).groupBy("scene_id").applyInPandas(scan, "scene_id string, ord_a long, ord_b long")
-    return pairs.join(kept, ["scene_id", "ord_a", "ord_b"], "left_semi")
+    ordered = pairs.repartition("scene_id").sortWithinPartitions("scene_id", F.desc("quality"), "ord_a", "ord_b")
+    around = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+        for b in batches:
+            keep = []
+            places = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in PLACE], axis=1)
+            cells = np.floor(places[:, [0, 1, 3]] / least).astype(np.int64).tolist()
+            for scene, place, (x, y, z) in zip(b.column("scene_id").to_pylist(), places.tolist(), cells, strict=True):
+                if scene != now:
+                    now, held = scene, {}
+                near = (p for i, j, k in around for p in held.get((x + i, y + j, z + k), ()))
+                if any(math.sqrt(sum((u - v) * (u - v) for u, v in zip(p, place, strict=True))) < least for p in near):
+                    keep.append(False)
+                    continue
+                keep.append(True)
+                held.setdefault((x, y, z), []).append(place)
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return ordered.mapInArrow(scan, pairs.schema)
 
 
 def median_depths(frames: DataFrame, depths: DataFrame) -> DataFrame:
@@ -243,9 +238,14 @@ def tagged(pairs: DataFrame, config: PairConfig) -> DataFrame:
     return pairs.withColumn("tasks", F.array_compact(F.array(*tags)))
 
 
-def select_pairs(frames: DataFrame, depth: DepthAt, medians: DataFrame, k: tuple[float, ...], image: tuple[int, int], cells: tuple[int, int], config: PairConfig, carry: tuple[str, ...]) -> DataFrame:
-    """The whole selection: pose gate, probe, floors, diversity, tags. medians: scene_id, ord, median_depth."""
+def select_pairs(frames: DataFrame, depth: DepthAt, medians: Callable[[DataFrame], DataFrame], k: tuple[float, ...], image: tuple[int, int], cells: tuple[int, int], config: PairConfig, carry: tuple[str, ...]) -> DataFrame:
+    """The whole selection: pose gate, probe, floors, diversity, tags.
+
+    medians gives (scene_id, ord, median_depth) for frames (scene_id, ord): only frames of selected pairs are asked for.
+    """
     good = diverse(scored(probed(candidates(frames, config, ("pose", *carry)), depth, k, image, cells), config), config.diversity)
+    used = good.select("scene_id", F.explode(F.array("ord_a", "ord_b")).alias("ord")).distinct()
+    found = medians(used)
     for s in "ab":
-        good = good.join(medians.select("scene_id", F.col("ord").alias(f"ord_{s}"), F.col("median_depth").alias(f"median_depth_{s}")), ["scene_id", f"ord_{s}"])
+        good = good.join(found.select("scene_id", F.col("ord").alias(f"ord_{s}"), F.col("median_depth").alias(f"median_depth_{s}")), ["scene_id", f"ord_{s}"])
     return tagged(good, config)

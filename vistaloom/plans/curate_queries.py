@@ -21,10 +21,10 @@ def count() -> Column:
 
 VOXEL = "floor(x / 0.05), floor(y / 0.05), floor(z / 0.05)"
 CLIP = "case when {c} >= -2 and {c} <= {n} + 1 then greatest(0, least({n} - 1, round_even({c}, 0)))::int end"
-EMIT = f"""firsts as (select *, row_number() over (partition by scene_id, visible, {VOXEL} order by pair_id, match_idx) = 1 f, {CLIP.format(c='u', n=W)} pu, {CLIP.format(c='v', n=H)} pv from l_matches),
-judged as (select *, case when not f then 'duplicate_voxel' when pu is null or pv is null then 'out_of_bounds' end r0 from firsts),
-placed as (select *, sum(case when r0 is null then 1 else 0 end) over (partition by scene_id order by pair_id, match_idx rows unbounded preceding) p from judged),
-emitted as (select *, case when r0 is null and p > {CAP} then 'scene_cap' else r0 end reason from placed)"""
+EMIT = f"""firsts as (select *, row_number() over (partition by scene_id, visible, {VOXEL} order by pair_id, match_idx) = 1 f, {CLIP.format(c='u', n=W)} pu, {CLIP.format(c='v', n=H)} pv, {CLIP.format(c='su', n=W)} psu, {CLIP.format(c='sv', n=H)} psv from l_matches),
+judged as (select *, case when not f then 'voxel_dup' when pu is null or pv is null or psu is null or psv is null then 'out_of_bounds' end reason from firsts),
+placed as (select *, sum(case when reason is null then 1 else 0 end) over (partition by scene_id order by pair_id, match_idx rows unbounded preceding) - case when reason is null then 1 else 0 end before from judged),
+emitted as (select * from placed where before < {CAP})"""
 
 
 def rows(t: Tables) -> DataFrame:
@@ -148,25 +148,24 @@ def quota_rows(t: Tables) -> DataFrame:
     return t.lift("l_manifests").select("skill", "id", "scene_id", F.col("priority").alias("bucket"), usable.alias("usable"))
 
 
-@query(
-    "w9_balance_quotas",
-    f"""with recursive {QUOTA}, ranked as (select *, coalesce(usable, false) ok, row_number() over (partition by skill order by md5('7:' || id), id) n from rows), step as (
+QUOTAS = f"""with recursive {QUOTA}, ranked as (select *, coalesce(usable, false) ok, row_number() over (partition by skill order by md5('7:' || id), id) n from rows), step as (
   select skill, n, id, case when ok then null else 'verifier' end reason, case when ok then [scene_id] else [] end ss, case when ok then [bucket] else [] end bs from ranked where n = 1
   union all
   select skill, n, id, why, case when why is null then list_append(ss, scene_id) else ss end, case when why is null then list_append(bs, bucket) else bs end from (
     select r.*, ss, bs, case when len(list_filter(ss, lambda x: x = r.scene_id)) >= 2 then 'per_scene_cap' when len(list_filter(bs, lambda x: x = r.bucket)) >= 12 then 'per_bucket_cap' when not ok then 'verifier' end why
     from step s join ranked r on r.skill = s.skill and r.n = s.n + 1)
-) select skill, id, reason from step""",
-)
+)"""
+
+
+@query("w9_balance_quotas", QUOTAS + " select skill, id, reason from step")
 def w9(t: Tables) -> DataFrame:
     return curate.balanced(quota_rows(t), 2, 12, 7)
 
 
-@query("k12_balanced_split", f"with {QUOTA} select skill, count(*) n from rows group by skill")
+@query("k12_balanced_split", QUOTAS + " select skill, coalesce(reason, 'kept') reason, count(*) n from step group by all")
 def k12(t: Tables) -> DataFrame:
     done = curate.balanced(quota_rows(t), 2, 12, 7)
-    kept, gone = done.where("reason is null").select("skill"), done.where("reason is not null").select("skill")
-    return kept.unionByName(gone).groupBy("skill").agg(count().alias("n"))
+    return done.groupBy("skill", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(count().alias("n"))
 
 
 @query("k10_verified_by_skill", f"with {QUOTA} select skill, id from rows where usable")
@@ -175,11 +174,11 @@ def k10(t: Tables) -> DataFrame:
     return curate.verified(r.select("skill", "id"), r.select("skill", "id", "usable"), ["skill", "id"])
 
 
-@query("k11_verified_in_order", f"with {QUOTA} select id, row_number() over (order by id) place from rows where skill = 'anchor' and usable")
+@query("k11_verified_in_order", f"with {QUOTA} select skill, id, row_number() over (partition by skill order by id) place from rows where usable")
 def k11(t: Tables) -> DataFrame:
-    r = quota_rows(t).where("skill = 'anchor'")
+    r = quota_rows(t)
     kept = curate.verified(r.select("skill", "id"), r.select("skill", "id", "usable"), ["skill", "id"])
-    return kept.select("id", F.row_number().over(Window.orderBy("id")).cast("long").alias("place"))
+    return kept.select("skill", "id", F.row_number().over(Window.partitionBy("skill").orderBy("id")).cast("long").alias("place"))
 
 
 @query("j14_manifest_verdict", f"with {QUOTA} select skill, id, coalesce(usable, false) keep from rows")
@@ -318,12 +317,14 @@ def f26(t: Tables) -> DataFrame:
     return m.select("id", curate.answer_bucket(F.col("skill"), evidence(F.col("status"))).alias("bucket"))
 
 
-@query("f24_evidence_signature", """select id, substr(sha1('{"category":"' || priority || '","unique_total":' || cust % 5 || '}'), 1, 10) sig from l_manifests""")
+@query("f24_evidence_signature", """select id, substr(sha1('{"category": "' || priority || '", "shared_objects": [{"label": "' || scene_id || ': \\"x, y\\"", "n": 1}], "unique_total": ' || cust % 5 || '}'), 1, 10) sig from l_manifests""")
 def f24(t: Tables) -> DataFrame:
-    return t.lift("l_manifests").select("id", tx.signature(F.struct(F.col("priority").alias("category"), (F.col("cust") % 5).alias("unique_total"))).alias("sig"))
+    one = F.struct(F.lit(1).alias("n"), F.concat("scene_id", F.lit(': "x, y"')).alias("label"))
+    m = t.lift("l_manifests").select("id", F.struct((F.col("cust") % 5).alias("unique_total"), F.col("priority").alias("category"), F.array(one).alias("shared_objects")).alias("e"))
+    return m.select("id", tx.signature(F.col("e"), m.schema["e"].dataType).alias("sig"))
 
 
-@query("f25_cache_path", """select id, skill || '/' || scene_id || '/' || src || '__' || tgt || '__' || substr(sha1('{"n":' || cust || '}'), 1, 10) path from l_manifests""")
+@query("f25_cache_path", """select id, skill || '/' || scene_id || '/' || src || '__' || tgt || '__' || substr(sha1('{"n": ' || cust || '}'), 1, 10) path from l_manifests""")
 def f25(t: Tables) -> DataFrame:
     sig = tx.signature(F.struct(F.col("cust").alias("n")))
     return t.lift("l_manifests").select("id", tx.cache_path(F.col("skill"), F.col("scene_id"), F.concat_ws("__", "src", "tgt", sig)).alias("path"))
@@ -339,13 +340,16 @@ def f31(t: Tables) -> DataFrame:
     return t.lift("l_manifests").select("scene_id", tx.slot(F.col("scene_id")).alias("slot")).distinct()
 
 
-@query("f30_caption", "select pair_id, match_idx, i || ' ' || case when lower(i) = lower(j) then '=' else '≠' end || ' ' || j || ' Δ' || printf('%.2f', d) || 'm' caption from (select pair_id, match_idx, coalesce(nullif(trim(src_label), ''), 's' || src_mask) i, coalesce(nullif(trim(tgt_label), ''), 't') j, round(depth_obs - depth_src + 0.001, 3) d from l_matches)")
+@query("f30_caption", """select pair_id, match_idx, '[' || match_idx || '] ' || q || case when i <> '' and i <> lower(src_label) then src_label || '/' || i else src_label end || q || ' ' || case when lower(i) = lower(j) then '=' else '≠' end || ' ' || q ||
+  case when j <> '' and j <> lower(tgt_label) then tgt_label || '/' || j else tgt_label end || q || ' | iou=' || printf('%.2f', n) || ' Δd=' || case when p - o >= 0 then '+' else '' end || printf('%.2f', p - o) || 'm (pred ' || printf('%.2f', p) || ' vs obs ' || printf('%.2f', o) || ') ' || case when visible then '✓' else '✗OCC' end caption
+from (select *, chr(39) q, iou + 0.001 n, depth_src + 0.1031 p, depth_obs + 0.0012 o, case when src_mask % 2 = 0 then 'seat' else trim(src_label) end i, trim(tgt_label) j from l_matches)""")
 def f30(t: Tables) -> DataFrame:
-    a = tx.identity(F.col("src_label"), F.concat(F.lit("s"), F.col("src_mask").cast("string")))
-    return t.lift("l_matches").select("pair_id", "match_idx", tx.caption(a, tx.identity(F.col("tgt_label"), F.lit("t")), F.round(F.col("depth_obs") - F.col("depth_src") + 0.001, 3)).alias("caption"))
+    canonical = F.when(F.col("src_mask") % 2 == 0, " seat ").otherwise("")
+    line = tx.caption(F.col("match_idx"), F.col("src_label"), canonical, F.col("tgt_label"), F.lit(None).cast("string"), F.col("iou") + 0.001, F.col("depth_src") + 0.1031, F.col("depth_obs") + 0.0012, F.col("visible"))
+    return t.lift("l_matches").select("pair_id", "match_idx", line.alias("caption"))
 
 
-@query("f33_skill_codes", "with c(s, k) as (values " + ", ".join(f"('{s}', '{c}')" for s, c in tx.CODES.items()) + ") select scene_id, string_agg(k, ',' order by s) codes from (select distinct scene_id, s, k from l_manifests join c on s = skill) group by scene_id")
+@query("f33_skill_codes", "with c(s, k) as (values ('anchor', 'anc'), ('counting', 'cnt'), ('cross_depth_variation', 'cdv'), ('cross_object_correspondence', 'coc'), ('cross_occlusion_visibility', 'cov'), ('cross_point_correspondence', 'cpc'), ('cross_spatial_transformation', 'cst'), ('relative_direction', 'rdr'), ('relative_distance', 'rdi')) select scene_id, string_agg(k, ',' order by s) codes from (select distinct scene_id, s, k from l_manifests join c on s = skill) group by scene_id")
 def f33(t: Tables) -> DataFrame:
     return t.lift("l_manifests").groupBy("scene_id").agg(F.collect_list("skill").alias("s")).select("scene_id", tx.codes(F.col("s")).alias("codes"))
 
@@ -357,9 +361,25 @@ def f34(t: Tables) -> DataFrame:
     return rows_.withColumn("pass", F.col("measured") >= F.col("threshold"))
 
 
-@query("f35_prompts", "with q(s, x) as (values " + ", ".join(f"('{s}', '{p.partition(chr(10))[0].replace(chr(39), chr(39) * 2)}')" for s, p in tx.PROMPTS.items()) + ") select id, x || chr(10) || '- ' || priority || chr(10) || '- ' || status prompt from l_manifests join q on s = skill")
+PROMPTS = """select id, case skill
+  when 'anchor' then 'ANCHOR. Found in both views: ' || has || ' object(s)' || chr(10) || case when has = 1 then '  - ' || priority || ', size x0.00' else '' end || chr(10) || 'Is each of them one and the same thing in both images, seen from clearly different places?'
+  when 'counting' then 'COUNTING. Category ' || priority || ': ' || cust % 5 || ' distinct in both images together, 0 in both, 0 in image 1 only, 0 in image 2 only.' || chr(10) || 'Is the number right, and can neither image alone give it?'
+  when 'relative_distance' then 'RELATIVE DISTANCE. From ? to:' || chr(10) || case when has = 1 then '  - ' || upper(priority) || ' 0.00 m' else '' end || chr(10) || 'Farthest: ?, by 0.00 m.' || chr(10) || 'Is the order clear, and is it plain which object the reference is?'
+  when 'relative_direction' then 'RELATIVE DIRECTION. Seen from image 2''s camera:' || chr(10) || case when has = 1 then '  - ? ' || status || ' (0°)' else '' end || chr(10) || 'Are the directions right, and is each object plain to see in image 1?'
+  when 'cross_point_correspondence' then 'CROSS POINT CORRESPONDENCE. Labelled objects matched in both views: 0.' || chr(10) || 'Are some of them truly the same thing in both images, from clearly different places?'
+  when 'cross_object_correspondence' then 'CROSS OBJECT CORRESPONDENCE. Shared objects to point at in image 2: ' || has || chr(10) || case when has = 1 then '  - ? at []' else '' end || chr(10) || 'Is each of them in both images, and at that place in image 2?'
+  when 'cross_spatial_transformation' then 'CROSS SPATIAL TRANSFORMATION. Objects whose outline changes: ' || has || chr(10) || case when has = 1 then '  - ' || lower(priority) || ', size x0.00' else '' end || chr(10) || 'Do they look clearly different from the two places?'
+  when 'cross_depth_variation' then 'CROSS DEPTH VARIATION. Objects whose distance changes: ' || has || chr(10) || case when has = 1 then '  - ?: 0.00 m -> 0.00 m (' || case when cust % 7 >= 3 then '+' else '' end || (cust % 7 - 3) || '.00 m)' else '' end || chr(10) || 'Is one of these changes plain to see?'
+  else 'CROSS OCCLUSION VISIBILITY. Of image 1''s objects, ' || cust % 2 || ' are seen in image 2 and ' || cust % 4 || ' are hidden behind something.' || chr(10) || 'Does the pair clearly have both?' end prompt
+from (select *, case when cust % 3 <> 0 then 1 else 0 end has from l_manifests)"""
+
+
+@query("f35_prompts", PROMPTS)
 def f35(t: Tables) -> DataFrame:
-    return t.lift("l_manifests").select("id", tx.prompt(F.col("skill"), F.array("priority", "status")).alias("prompt"))
+    from vistaloom.operators import skills
+
+    m = t.lift("l_manifests").select("id", "skill", skills.parsed(F.to_json(evidence(F.col("status")))).alias("e"))
+    return m.select("id", tx.prompt(F.col("skill"), F.col("e")).alias("prompt"))
 
 
 @query("a22_pairs_over_skills", "select scene_id, src, tgt, string_agg(skill, ',' order by id) skills, arg_min(total, id) total from l_manifests group by all")

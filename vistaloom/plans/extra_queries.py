@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vistaloom import stages
 from vistaloom.functions import text as tx
 from vistaloom.operators import match, pairs, vision, votes
-from vistaloom.plans.frame_queries import CONFIG, SELECT_SQL, gate_sql, medians, probe
+from vistaloom.plans.frame_queries import CONFIG, SELECT_SQL, gate_sql, medians
 from vistaloom.plans.lifts import CELLS, IMAGE, K, depth_of_pair, frames
 from vistaloom.plans.registry import Tables, query
 from vistaloom.plans.vision_queries import H, W, greedy_sql, iou_sql
@@ -86,7 +86,7 @@ def x9(t: Tables) -> DataFrame:
 
 @query("x21_stage_pair_gate", f"with recursive {SELECT_SQL} select scene_id, ord_a ord from tasked union select scene_id, ord_b from tasked")
 def x21(t: Tables) -> DataFrame:
-    _, used = stages.pair_gate(frames(t), depth_of_pair, medians(t), K, IMAGE, CELLS, CONFIG, ("event_id",))
+    _, used = stages.pair_gate(frames(t), depth_of_pair, lambda used: medians(t, used), K, IMAGE, CELLS, CONFIG, ("event_id",))
     return used.select("scene_id", "ord")
 
 
@@ -96,11 +96,6 @@ def j1b(t: Tables) -> DataFrame:
     return found.select("scene_id", "ord_a", "ord_b", F.round("distance", 4).alias("distance"), F.round("angle", 4).alias("angle"))
 
 
-@query("w4b_diversity_large", f"with recursive {SELECT_SQL} select scene_id, ord_a, ord_b from pruned")
-def w4b(t: Tables) -> DataFrame:
-    return pairs.diverse_large(pairs.scored(probe(t), CONFIG), CONFIG.diversity).select("scene_id", "ord_a", "ord_b")
-
-
 @query("x14_filter_votes", "select frame, count(*) runs, count(*) filter (answer = '') empty from l_runs group by frame")
 def x14(t: Tables) -> DataFrame:
     usable, reason = votes.parsed(F.col("answer"))

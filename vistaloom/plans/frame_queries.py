@@ -186,9 +186,11 @@ def a1(t: Tables) -> DataFrame:
     return medians(t).select("scene_id", "ord", R4("median_depth").alias("median_depth"))
 
 
-def medians(t: Tables) -> DataFrame:
-    """Median of each frame's positive depths."""
+def medians(t: Tables, of: DataFrame | None = None) -> DataFrame:
+    """Median of the positive depths of each frame, or of those asked for (scene_id, ord)."""
     valid = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", "event_id")
+    if of is not None:
+        valid = valid.join(of, ["scene_id", "ord"], "left_semi")
     cells = valid.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(CELLS[0] - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(CELLS[1] - 1))))
     zs = cells.select("scene_id", "ord", depth(F.col("event_id"), F.col("i").cast("long"), F.col("j").cast("long")).alias("z"))
     return pairs.median_depths(valid.select("scene_id", "ord"), zs)
@@ -311,7 +313,7 @@ SELECT_SQL = f"{probe_sql()}{PRUNE_SQL}, {MEDIANS}, tagged as ({WITH_MEDIANS.for
 
 
 def selected(t: Tables) -> DataFrame:
-    return pairs.select_pairs(frames(t), depth_of_pair, medians(t), K, IMAGE, CELLS, CONFIG, ("event_id",))
+    return pairs.select_pairs(frames(t), depth_of_pair, lambda used: medians(t, used), K, IMAGE, CELLS, CONFIG, ("event_id",))
 
 
 @query(

@@ -110,11 +110,19 @@ select concat('scene', lpad(cast(o_custkey % 40 as string), 4, '0')) scene_id, l
   l_suppkey % 4 src_cat, (l_suppkey + case when l_partkey % 5 = 0 then 1 else 0 end) % 4 tgt_cat, l_partkey % 9 src_mask, l_partkey % 9 + case when l_partkey % 7 = 0 then 0 - l_partkey % 9 - 1 else 0 end tgt_mask,
   round(0.2 + l_tax * 5 + l_discount, 4) src_score, round(0.15 + l_discount * 6, 4) tgt_score, round(0.45 + l_discount * 5, 4) coverage,
   cast(100 + l_quantity * 3 as double) src_area, cast(60 + (l_partkey % 50) * 8 as double) tgt_area,
-  l_quantity * 13 - 5.5 u, (l_partkey % 100) * 5 - 6.25 v,
+  l_quantity * 13 - 5.5 u, (l_partkey % 100) * 5 - 6.25 v, (l_suppkey * 17) % 656 - 6.5 su, (l_partkey * 7) % 496 - 6.75 sv,
   case when l_suppkey % 11 = 0 then ' ' else concat('cat', cast(l_suppkey % 4 as string)) end src_label, case when l_suppkey % 13 = 0 then '' else concat('Cat', cast(l_suppkey % 4 as string)) end tgt_label
 from l_lines join {orders} on l_orderkey = o_orderkey
 """,
 )
+lift(
+    "l_masks",
+    """
+select o_orderkey pair_id, side, cast(n_nationkey as int) mask, case when (o_orderkey + n_nationkey) % 13 = 0 then ' ' else concat('Cat', cast((o_custkey + n_nationkey) % 4 as string)) end label,
+  case when (n_nationkey + o_custkey) % 3 = 0 then concat(' cat', cast((o_custkey + n_nationkey) % 4 as string)) else '' end canonical
+from {orders} cross join (select n_nationkey from {nation} where n_nationkey < 11) n cross join (select case r_regionkey when 0 then 'src' else 'tgt' end side from {region} where r_regionkey < 2) s
+""",
+)
 lift(
     "l_pairs",
     """

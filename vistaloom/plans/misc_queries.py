@@ -109,9 +109,9 @@ def f10(t: Tables) -> DataFrame:
 
 TRIES = """tries as (select pair_id, src_mask, match_idx try, case when match_idx % 6 = 0 then 0.0 else depth_src end d0, u >= 0 and u < 640 and v >= 0 and v < 480 inb, depth_src + 0.1 pred, case when match_idx % 7 = 0 then 0.0 else depth_obs end obs,
   case when tgt_mask >= 0 then tgt_mask end m, iou from l_matches),
-judged as (select *, case when not d0 > 0 then 'bad_depth' when not inb then 'out_of_bounds' when not obs > 0 then 'no_tgt_depth' when pred - obs > 0.15 and obs < pred and iou > 0 then 'occluded'
-  when pred - obs > 0.15 then 'occluded_no_mask_support' when abs(pred - obs) > 0.15 then 'no_tgt_depth' when m is null then 'no_tgt_mask' when iou < 0.2 then 'low_iou' end reason from tries),
-best as (select *, case when reason is null then 0 when reason = 'occluded' then 1 else 2 end c from judged)"""
+judged as (select *, case when not d0 > 0 then 'bad_depth' when not inb then 'out_of_bounds' when not obs > 0 then 'no_tgt_depth' when abs(pred - obs) > 0.15 and obs < pred and not iou > 0 then 'occluded_no_mask_support'
+  when abs(pred - obs) > 0.15 then 'occluded' when m is null then 'no_tgt_mask' when iou < 0.2 then 'low_iou' end reason from tries),
+best as (select *, case when reason is null then 0 when reason = 'occluded' and obs < pred then 1 else 2 end c from judged)"""
 
 
 @query("x2_match_attempts", f"with {TRIES} select pair_id, src_mask, try, reason, ['accepted', 'occluded', 'rejected'][c + 1] outcome from best qualify row_number() over (partition by pair_id, src_mask order by c, case when c = 2 then -try else try end) = 1")
@@ -127,6 +127,100 @@ def x2(t: Tables) -> DataFrame:
     return emit.attempts_resolved(match.judged(tries), ["pair_id", "src_mask"])
 
 
+#: Frames with three square masks each, and the same ones seen from a place further along; a flat wall with holes.
+SEEN = """seen as (
+  select scene_id, ord, event_id e, frame_no::varchar src, frame_no || 't' tgt, (event_id % 7) * 0.0413 + 0.0009 dx, (event_id % 3) * 5 drift from l_frames
+), spots as (
+  select *, m, 60 + m * 190 + event_off m0, 90 + m * 70 + event_off % 40 n0, case when m = 2 and e % 5 = 0 then 0 else 26 end w, 22 h from (select *, e % 90 event_off from seen), range(3) t(m)
+)"""
+WALL = "(case when ({i} * 7 + {j} * 5 + {e}) % 11 = 0 then 0.0 else 2.0 + {more} end)"
+MORE = "case when ({i} + {j} + {e}) % 6 = 0 then 0.5 when ({i} * 3 + {j} + {e}) % 8 = 0 then -0.5 else 0.0 end"
+
+
+def wall_sql(i: str, j: str, behind: bool) -> str:
+    return WALL.format(i=i, j=j, e="e", more=MORE.format(i=i, j=j, e="e") if behind else "0.0")
+
+
+def cell_sql(x: str, size: int, n: int, clip: bool = False) -> str:
+    c = f"cast(round_even(cast({x} as double) * {n} / {size}, 0) as bigint)"
+    return f"greatest(0, least({n - 1}, {c}))" if clip else c
+
+
+def looked_sql(u: str, v: str, behind: bool, clip: bool = False) -> str:
+    i, j = cell_sql(u, 640, 64, clip), cell_sql(v, 480, 48, clip)
+    return f"(case when {i} between 0 and 63 and {j} between 0 and 47 then {wall_sql(i, j, behind)} else 0.0 end)"
+
+
+MATCHED = f"""with {SEEN}, tries as (
+  select *, k try, ('0x' || substr(md5('42:' || scene_id || ':' || src || ':' || tgt || ':' || m || ':' || k), 1, 8))::bigint % (w * h) px from spots, range(5) t(k) where w > 0
+), drawn as (select *, (m0 + px % w)::double su, (n0 + px // w)::double sv from tries
+), d1 as (select *, {looked_sql('su', 'sv', False)} ds from drawn
+), d2 as (select *, 320 + 500 * ((su - 320) / 500 * ds - dx) / 2.0 u, sv - 0.275 v, ds pred from d1
+), d3 as (select *, ds > 0 and u >= 0 and u < 640 and v >= 0 and v < 480 inb from d2
+), d4 as (select *, case when inb then {looked_sql('u', 'v', True)} else 0.0 end ob from d3
+), tgts as (select scene_id, tgt, m tm, m0 + drift - 6 a0, n0 b0, w tw, h th from spots where w > 0
+), under as (
+  select d.scene_id, d.tgt, d.m, d.try, t.tm from d4 d join tgts t on t.scene_id = d.scene_id and t.tgt = d.tgt and round_even(u, 0) >= a0 and round_even(u, 0) < a0 + tw and round_even(v, 0) >= b0 and round_even(v, 0) < b0 + th where inb
+  qualify row_number() over (partition by d.scene_id, d.tgt, d.m, d.try order by (a0 + tw / 2 - u) ^ 2 + (b0 + th / 2 - v) ^ 2, t.tm) = 1
+), px as (select s.*, m0 + c pu, n0 + r pv from spots s, range(22) t1(r), range(26) t2(c) where w > 0 and (r * 26 + c) % 4 = 0
+), pz as (select *, {looked_sql('pu', 'pv', False, True)} z from px
+), hits as (select distinct scene_id, tgt, m, round_even(320 + 500 * ((pu - 320) / 500 * z - dx) / 2.0, 0) hu, pv hv from pz where z > 0 and round_even(320 + 500 * ((pu - 320) / 500 * z - dx) / 2.0, 0) between 0 and 639
+), own as (select scene_id, tgt, m, count(*) n from hits group by all
+), ious as (select h.scene_id, h.tgt, h.m, t.tm, count(*) / (any_value(n) + any_value(tw * th) - count(*)) iou from hits h join own o using (scene_id, tgt, m) join tgts t on t.scene_id = h.scene_id and t.tgt = h.tgt and hu >= a0 and hu < a0 + tw and hv >= b0 and hv < b0 + th group by all
+), tops as (select scene_id, tgt, m, max(iou) top from ious group by all
+), full_ as (
+  select d.*, n.tm, case when n.tm is not null then coalesce(i.iou, 0) else coalesce(b.top, 0) end iou from d4 d left join under n using (scene_id, tgt, m, try)
+  left join ious i on i.scene_id = d.scene_id and i.tgt = d.tgt and i.m = d.m and i.tm = n.tm left join tops b on b.scene_id = d.scene_id and b.tgt = d.tgt and b.m = d.m
+), judged as (
+  select *, case when not ds > 0 then 'bad_depth' when not inb then 'out_of_bounds' when not ob > 0 then 'no_tgt_depth' when abs(pred - ob) > 0.15 and ob < pred and not iou > 0 then 'occluded_no_mask_support'
+    when abs(pred - ob) > 0.15 then 'occluded' when tm is null then 'no_tgt_mask' when iou < 0.2 then 'low_iou' end reason from full_
+), best as (
+  select *, case when reason is null then 0 when reason = 'occluded' and ob < pred then 1 else 2 end c from judged
+  qualify row_number() over (partition by scene_id, tgt, m order by case when reason is null then 0 when reason = 'occluded' and ob < pred then 1 else 2 end, case when reason is null or (reason = 'occluded' and ob < pred) then try else -try end) = 1
+), every as (
+  select s.scene_id, s.src, s.tgt, s.m src_mask, case coalesce(c, 2) when 0 then 'accepted' when 1 then 'occluded' else 'rejected' end outcome, case when c < 2 then null else coalesce(reason, 'empty_mask') end reason,
+    case when c < 2 then coalesce(tm, -1) end tgt_mask, case when c < 2 then try end try, case when c < 2 then su end su, case when c < 2 then sv end sv, case when c < 2 then round(u, 3) end u,
+    case when c < 2 then round(ds * (su - 320) / 500, 4) end x, case when c < 2 then ob end depth_obs, case when c < 2 then round(iou, 6) end iou
+  from spots s left join best b on b.scene_id = s.scene_id and b.tgt = s.tgt and b.m = s.m
+)"""
+
+
+def wall(frame: Column, i: Column, j: Column) -> Column:
+    """The lifted wall: the target's, whose frames end in `t`, has things before and behind it."""
+    e = F.element_at(F.split(frame, "[_t]"), 1).cast("long")
+    more = F.when((i + j + e) % 6 == 0, 0.5).when((i * 3 + j + e) % 8 == 0, -0.5).otherwise(0.0)
+    return F.when((i * 7 + j * 5 + e) % 11 == 0, 0.0).otherwise(F.lit(2.0) + F.when(frame.endswith("t"), more).otherwise(0.0))
+
+
+def walls(t: Tables) -> dict[str, DataFrame]:
+    """Pairs, frames, masks and runs of the wall. A frame's name holds its event, which the rule of its depth needs."""
+    f = t.lift("l_frames").select("scene_id", F.col("event_id").alias("e"), F.concat_ws("_", F.col("event_id").cast("string"), F.col("frame_no").cast("string")).alias("src"))
+    f = f.withColumn("tgt", F.concat("src", F.lit("t")))
+    zero, one = F.lit(0.0), F.lit(1.0)
+    pose = lambda x, y: F.array(one, zero, zero, x, zero, one, zero, F.lit(y), zero, zero, one, zero, zero, zero, zero, one)
+    frames_ = f.select("scene_id", F.col("src").alias("frame_id"), pose(zero, 0.0).alias("pose")).unionByName(f.select("scene_id", F.col("tgt").alias("frame_id"), pose((F.col("e") % 7) * 0.0413 + 0.0009, 0.0011).alias("pose")))
+    off = F.col("e") % 90
+    m = F.col("mask")
+    spots = f.withColumn("mask", F.explode(F.array(*[F.lit(k) for k in range(3)]))).withColumns({"m0": (60 + m * 190 + off).cast("int"), "n0": (90 + m * 70 + off % 40).cast("int"), "w": F.when((m == 2) & (F.col("e") % 5 == 0), 0).otherwise(26)})
+    side = lambda name, shift: spots.select("scene_id", F.col(name).alias("frame_id"), "mask", (F.col("m0") + shift).cast("int").alias("m0"), "n0", (F.col("m0") + shift + F.col("w")).cast("int").alias("m1"), (F.col("n0") + 22).alias("n1"))
+    masks = side("src", F.lit(0)).unionByName(side("tgt", (F.col("e") % 3) * 5 - 6))
+    masks = masks.withColumns({"cu": (F.col("m0") + F.col("m1")) / 2, "cv": (F.col("n0") + F.col("n1")) / 2})
+    return {"pairs": f.select("scene_id", "src", "tgt"), "frames": frames_, "masks": masks, "runs": vision.run_lengths(masks, ["scene_id", "frame_id"])}
+
+
+@query("x2_match_pair", MATCHED + " select * from every")
+def x2_pair(t: Tables) -> DataFrame:
+    w = walls(t)
+    by = ["scene_id", "src", "tgt"]
+    runs = w["pairs"].join(w["runs"].withColumnRenamed("frame_id", "src"), ["scene_id", "src"])
+    named = runs.withColumn("src", F.substring_index("src", "_", -1)).withColumn("tgt", F.substring_index("tgt", "_", -1))
+    event = w["pairs"].select("scene_id", F.col("src").alias("full_src"), F.col("tgt").alias("full_tgt"), F.substring_index("src", "_", -1).alias("src"), F.substring_index("tgt", "_", -1).alias("tgt"))
+    seeds = match.hashed_seeds(vision.mask_areas(named, by), named, by).join(event, by).select("scene_id", F.col("full_src").alias("src"), F.col("full_tgt").alias("tgt"), "mask", "try", "u", "v")
+    found = match.match_pairs(w["pairs"], w["frames"], w["masks"], w["runs"], seeds, match.rule_depth(wall, IMAGE, CELLS), K, IMAGE)
+    short = lambda c: F.substring_index(c, "_", -1).alias(c)
+    return found.select("scene_id", short("src"), short("tgt"), F.col("src_mask").cast("long").alias("src_mask"), "outcome", "reason", F.col("tgt_mask").cast("long").alias("tgt_mask"), F.col("try").cast("long").alias("try"), "su", "sv", F.round("u", 3).alias("u"), F.round("x", 4).alias("x"), "depth_obs", F.round("iou", 6).alias("iou"))
+
+
 @query("x2b_hashed_seeds", f"""with {SQUARES}, tries as (select scene_id, ord, m0, n0, k try, ('0x' || substr(md5('42:' || scene_id || ':' || ord || ':0:' || k), 1, 8))::bigint % 720 pixel from squares, range(5) t(k))
 select scene_id, ord, try::int try, (m0 + pixel % 30)::int u, (n0 + pixel // 30)::int v from tries""")
 def x2b(t: Tables) -> DataFrame:

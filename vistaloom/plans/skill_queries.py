@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vistaloom.operators import skills
+from vistaloom.operators import curate, skills
 from vistaloom.plans.registry import Tables, query
 
 
@@ -16,72 +16,101 @@ def pairs(t: Tables) -> DataFrame:
     return t.lift("l_pairs").withColumns(place)
 
 
-def text(array: str) -> Column:
+def listed(array: Column, line) -> Column:
+    """Rows as text, so that both engines compare them whole."""
+    return F.array_join(F.transform(array, lambda o: F.concat_ws("/", *[c.cast("string") for c in line(o)])), ",")
+
+
+def numbers(array: str) -> Column:
     return F.array_join(F.col(array).cast("array<string>"), ",")
 
 
-LIST = "array_to_string(list(match_idx order by match_idx) filter ({}), ',')"
+def d4(c: Column) -> Column:
+    """Four places as a whole number, told from the last digits that engines disagree on."""
+    return F.floor(c * 10000 + 0.5 + 1e-6).cast("long")
+
+
+def sql_list(line: str, where: str = "true", order: str = "match_idx") -> str:
+    return f"coalesce(string_agg({line}, ',' order by {order}) filter ({where}), '')"
+
 
+def sql_d4(x: str) -> str:
+    return f"floor(({x}) * 10000 + 0.5 + 1e-6)::bigint"
 
-def listed(where: str) -> str:
-    return f"coalesce({LIST.format(where)}, '')"
+
+SHIFTED = "overlap between 0.15 and 0.30 and rotation between 20 and 100 and translation >= 0.6"
 
 
 @query(
     "g1_cross_point",
-    f"""select p.pair_id, count(*) filter (visible) n_visible_labeled, count(*) filter (not visible) n_occluded_candidates, {listed('visible')} matches, {listed('not visible')} occluded_matches
-from l_pairs p join l_matches m on m.pair_id = p.pair_id where overlap between 0.15 and 0.30 and rotation between 20 and 100 and translation >= 0.6
-  and trim(src_label) <> '' and src_score >= 0.25 and coverage >= 0.6 group by p.pair_id having count(*) filter (visible) > 0""",
+    f"""select p.pair_id, count(*) filter (visible) n_visible_labeled, count(*) filter (not visible) n_occluded_candidates, {sql_list("match_idx || '/' || src_label || '/' || case when tgt_mask >= 0 then tgt_label else '' end || '/' || " + sql_d4('src_score'), 'visible')} matches,
+  {sql_list("match_idx || '/' || src_label || '/' || case when tgt_mask >= 0 then tgt_label else '' end || '/' || " + sql_d4('src_score'), 'not visible')} occluded_matches, {sql_list('match_idx', 'not visible')} occluded_candidates, rotation, translation
+from l_pairs p join l_matches m on m.pair_id = p.pair_id where {SHIFTED} and trim(src_label) <> '' and src_score >= 0.25 and coverage >= 0.6 group by p.pair_id, rotation, translation having count(*) filter (visible) > 0""",
 )
 def g1(t: Tables) -> DataFrame:
     found = skills.cross_point(pairs(t), t.lift("l_matches"))
-    return found.select("pair_id", F.col("n_visible_labeled").cast("long").alias("n_visible_labeled"), F.col("n_occluded_candidates").cast("long").alias("n_occluded_candidates"), text("matches").alias("matches"), text("occluded_matches").alias("occluded_matches"))
+    line = lambda o: (o["match_idx"], o["src_label"], o["tgt_label"], d4(o["score"]))
+    return found.select(
+        "pair_id", F.col("n_visible_labeled").cast("long").alias("n_visible_labeled"), F.col("n_occluded_candidates").cast("long").alias("n_occluded_candidates"), listed(F.col("matches"), line).alias("matches"),
+        listed(F.col("occluded_matches"), line).alias("occluded_matches"), numbers("occluded_candidates").alias("occluded_candidates"), F.col("pair_rotation_deg").alias("rotation"), F.col("pair_translation_m").alias("translation"),
+    )
 
 
 @query(
     "g2_cross_object",
-    f"""select p.pair_id, {listed('true')} matches, sum(round_even(u, 0)::int) su, sum(round_even(v, 0)::int) sv
-from l_pairs p join l_matches m on m.pair_id = p.pair_id where overlap between 0.15 and 0.30 and rotation between 20 and 100 and translation >= 0.6
+    f"""select p.pair_id, count(*) n, {sql_list("match_idx || '/' || trim(tgt_label) || '/' || src_label || '/' || round_even(u, 0)::int || '/' || round_even(v, 0)::int || '/' || floor(tgt_area / 307200 * 100000 + 0.5 + 1e-6)::bigint")} objects
+from l_pairs p join l_matches m on m.pair_id = p.pair_id where {SHIFTED}
   and visible and tgt_mask >= 0 and trim(tgt_label) <> '' and tgt_score >= 0.25 and tgt_area / 307200 >= 0.0005 and u >= 0 and u < 640 and v >= 0 and v < 480 group by p.pair_id""",
 )
 def g2(t: Tables) -> DataFrame:
     found = skills.cross_object(pairs(t), t.lift("l_matches"), share=0.0005)
-    total = lambda c: F.aggregate(F.transform("shared_objects", lambda o: o[c].cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    return found.select("pair_id", F.array_join(F.transform("shared_objects", lambda o: o["match_idx"].cast("string")), ",").alias("matches"), total("u").alias("su"), total("v").alias("sv"))
+    line = lambda o: (o["match_idx"], o["tgt_label"], o["src_label"], F.get(o["point_tgt"], F.lit(0)), F.get(o["point_tgt"], F.lit(1)), F.floor(o["tgt_mask_area_frac"] * 100000 + 0.5).cast("long"))
+    return found.select("pair_id", F.col("n_shared_objects").cast("long").alias("n"), listed(F.col("shared_objects"), line).alias("objects"))
 
 
 @query(
     "g3_anchor",
-    f"""select p.pair_id, count(*) n_shared, {listed('tgt_area / src_area < 0.5 or tgt_area / src_area > 2')} non_trivial from l_pairs p join l_matches m on m.pair_id = p.pair_id
+    f"""select p.pair_id, count(*) n_shared, {sql_list("match_idx || '/' || src_label || '/' || tgt_label || '/' || " + sql_d4('tgt_area / src_area') + " || '/' || (tgt_area / src_area < 0.5 or tgt_area / src_area > 2)")} objects from l_pairs p join l_matches m on m.pair_id = p.pair_id
 where overlap between 0.25 and 0.70 and not (translation < 0.6 and rotation < 35) and visible and tgt_mask >= 0 and src_area > 0 and tgt_area > 0
 group by p.pair_id having count(*) filter (tgt_area / src_area < 0.5 or tgt_area / src_area > 2) > 0""",
 )
 def g3(t: Tables) -> DataFrame:
-    return skills.anchor(pairs(t), t.lift("l_matches")).select("pair_id", F.col("n_shared").cast("long").alias("n_shared"), text("non_trivial").alias("non_trivial"))
+    line = lambda o: (o["match_idx"], o["src_label"], o["tgt_label"], d4(o["scale_ratio"]), o["non_trivial"])
+    return skills.anchor(pairs(t), t.lift("l_matches")).select("pair_id", F.col("n_shared").cast("long").alias("n_shared"), listed(F.col("shared_objects"), line).alias("objects"))
 
 
 @query(
     "g4_counting",
-    """with m as (select p.pair_id, match_idx, visible, tgt_mask >= 0 there, lower(trim(src_label)) s, lower(trim(tgt_label)) g from l_pairs p join l_matches m on m.pair_id = p.pair_id where overlap between 0.15 and 0.60),
-cats as (select distinct pair_id, s c from m where s <> '' union select distinct pair_id, g from m where there and g <> ''),
-sums as (select c.pair_id, c.c, (select count(*) from m where m.pair_id = c.pair_id and visible and there and s = c.c and g = c.c) n_shared,
-  (select count(*) from m where m.pair_id = c.pair_id and s = c.c and not visible) n_src, (select count(*) from m where m.pair_id = c.pair_id and g = c.c and there and not visible) n_tgt from cats c)
-select pair_id, c category, n_shared + n_src + n_tgt unique_total, n_shared from sums where n_shared + n_src + n_tgt between 3 and 15 and n_shared > 0 and n_src + n_tgt > 0
-qualify row_number() over (partition by pair_id order by abs(n_shared + n_src + n_tgt - 3), n_shared desc, c) = 1""",
+    """with p as (select pair_id from l_pairs where overlap between 0.15 and 0.60),
+k as (select m.pair_id, side, mask, lower(trim(case when canonical <> '' then canonical else label end)) c from l_masks m join p using (pair_id)),
+v as (select m.pair_id, match_idx, src_mask, tgt_mask from l_matches m join p using (pair_id) where visible),
+found as (
+  select v.pair_id, a.c, 'shared' kind, match_idx idx from v join k a on a.pair_id = v.pair_id and a.side = 'src' and a.mask = src_mask join k b on b.pair_id = v.pair_id and b.side = 'tgt' and b.mask = tgt_mask where a.c = b.c and a.c <> ''
+  union all select pair_id, c, side, mask from k where c <> '' and side = 'src' and not exists (select 1 from v where v.pair_id = k.pair_id and v.src_mask = k.mask)
+  union all select pair_id, c, side, mask from k where c <> '' and side = 'tgt' and not exists (select 1 from v where v.pair_id = k.pair_id and v.tgt_mask = k.mask)
+), sums as (select pair_id, c, count(*) unique_total, count(*) filter (kind = 'shared') n, """
+    + ", ".join(f"coalesce(string_agg(idx, ',' order by idx) filter (kind = '{k}'), '') {n}" for k, n in (("shared", "shared_idx"), ("src", "private_src"), ("tgt", "private_tgt")))
+    + """ from found group by pair_id, c)
+select pair_id, c category, unique_total, shared_idx, private_src, private_tgt from sums where unique_total between 3 and 15 and n > 0 and unique_total > n
+qualify row_number() over (partition by pair_id order by abs(unique_total - 3), n desc, c) = 1""",
 )
 def g4(t: Tables) -> DataFrame:
-    return skills.counting(pairs(t), t.lift("l_matches")).select("pair_id", "category", "unique_total", "n_shared")
+    found = skills.counting(pairs(t), t.lift("l_matches"), t.lift("l_masks"))
+    return found.select("pair_id", "category", F.col("unique_total").cast("long").alias("unique_total"), numbers("shared_match_idx").alias("shared_idx"), numbers("private_src_idx").alias("private_src"), numbers("private_tgt_idx").alias("private_tgt"))
 
 
 @query(
     "g5_relative_distance",
-    """with m as (select p.pair_id, match_idx, x, y, z from l_pairs p join l_matches m on m.pair_id = p.pair_id where overlap between 0.20 and 0.70 and visible and coverage >= 0.6 qualify count(*) over (partition by p.pair_id) >= 3),
-d as (select a.pair_id, a.match_idx r, b.match_idx c, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) d from m a join m b on a.pair_id = b.pair_id and a.match_idx <> b.match_idx),
-k as (select *, row_number() over w k, lead(d) over w nxt from d window w as (partition by pair_id, r order by d desc, c))
-select pair_id, r reference, c farthest, round(d - nxt, 4) margin, round(d, 4) distance from k where k = 1 and d - nxt >= 0.5 qualify row_number() over (partition by pair_id order by r) = 1""",
+    f"""with m as (select p.pair_id, match_idx, src_label, x, y, z from l_pairs p join l_matches m on m.pair_id = p.pair_id where overlap between 0.20 and 0.70 and visible and coverage >= 0.6 qualify count(*) over (partition by p.pair_id) >= 3),
+d as (select a.pair_id, a.match_idx r, a.src_label rl, b.match_idx c, b.src_label l, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) d from m a join m b on a.pair_id = b.pair_id and a.match_idx <> b.match_idx),
+k as (select *, row_number() over w k, lead(d) over w nxt from d window w as (partition by pair_id, r order by d desc, c)),
+best as (select pair_id, r, rl, c far, d - nxt gap from k where k = 1 and d - nxt >= 0.5 qualify row_number() over (partition by pair_id order by r) = 1)
+select b.pair_id, b.r reference, b.rl reference_label, far farthest, {sql_d4('any_value(gap)')} margin, string_agg(c || '/' || l || '/' || {sql_d4('d')}, ',' order by d desc, c) candidates from best b join d on d.pair_id = b.pair_id and d.r = b.r group by all""",
 )
 def g5(t: Tables) -> DataFrame:
-    return skills.relative_distance(pairs(t), t.lift("l_matches")).select("pair_id", "reference", "farthest", F.round("margin", 4).alias("margin"), F.round("distance", 4).alias("distance"))
+    found = skills.relative_distance(pairs(t), t.lift("l_matches"))
+    line = lambda o: (o["match_idx"], o["label"], d4(o["distance_m"]))
+    return found.select("pair_id", F.col("reference_match_idx").alias("reference"), "reference_label", F.col("farthest_match_idx").alias("farthest"), d4(F.col("margin_m")).alias("margin"), listed(F.col("candidates"), line).alias("candidates"))
 
 
 @query(
@@ -100,13 +129,13 @@ def j17(t: Tables) -> DataFrame:
 
 
 DIRECTIONS = """m as (
-  select p.pair_id, match_idx, x - 2 dx, y - 2 dy, z - 0.5 dz, cos(radians(pitch)) * cos(radians(yaw)) ax, cos(radians(pitch)) * sin(radians(yaw)) ay, overlap, translation, rotation
+  select p.pair_id, match_idx, src_label, x - 2 dx, y - 2 dy, z - 0.5 dz, cos(radians(pitch)) * cos(radians(yaw)) ax, cos(radians(pitch)) * sin(radians(yaw)) ay, overlap, translation, rotation
   from l_pairs p join l_matches m on m.pair_id = p.pair_id where visible
 ), a as (
   select *, degrees(atan2(ax * dy - ay * dx, ax * dx + ay * dy)) az, degrees(asin(greatest(cast(-1 as double), least(cast(1 as double), dz / sqrt(dx * dx + dy * dy + dz * dz))))) el, sqrt(dx * dx + dy * dy + dz * dz) far from m
 ), b as (
   select *, case when 180 - abs(az) <= 22.5 then case when 22.5 - (180 - abs(az)) >= 10 then 'back' end
-    else (select name from (values ('right-back', 112.5), ('right', 67.5), ('right-front', 22.5), ('front', -22.5), ('left-front', -67.5), ('left', -112.5), ('left-back', -157.5)) v(name, low)
+    else (select name from (values ('back-right', 112.5), ('right', 67.5), ('front-right', 22.5), ('front', -22.5), ('front-left', -67.5), ('left', -112.5), ('back-left', -157.5)) v(name, low)
       where az >= low and az < low + 45 and az - low >= 10 and low + 45 - az >= 10) end bucket from a
 )"""
 
@@ -131,11 +160,11 @@ def f18(t: Tables) -> DataFrame:
     "g6_relative_direction",
     f"""with {DIRECTIONS}, c as (select *, round(az, 2) raz from b where overlap between 0.05 and 0.40 and translation >= 1 and rotation >= 20 and abs(el) <= 60 and bucket is not null and far >= 1e-6),
 d as (select *, lead(raz) over (partition by pair_id order by raz, match_idx) - raz gap from c)
-select pair_id, round(max(gap), 2) widest, array_to_string(list(match_idx || ':' || bucket order by match_idx), ',') targets from d group by pair_id having max(gap) >= 30""",
+select pair_id, string_agg(match_idx || ':' || src_label || ':' || bucket, ',' order by match_idx) targets, string_agg({sql_d4('far')}, ',' order by match_idx) distances from d group by pair_id having max(gap) >= 30""",
 )
 def g6(t: Tables) -> DataFrame:
     found = skills.relative_direction(pairs(t), t.lift("l_matches"))
-    return found.select("pair_id", F.round("widest", 2).alias("widest"), F.array_join(F.transform("targets", lambda x: F.concat(x["match_idx"].cast("string"), F.lit(":"), x["bucket"])), ",").alias("targets"))
+    return found.select("pair_id", F.array_join(F.transform("targets", lambda x: F.concat_ws(":", x["match_idx"].cast("string"), x["label"], x["bucket"])), ",").alias("targets"), listed(F.col("targets"), lambda x: (d4(x["distance_m"]),)).alias("distances"))
 
 
 @query(
@@ -153,21 +182,23 @@ def w13(t: Tables) -> DataFrame:
 
 @query(
     "g7_spatial_transformation",
-    f"""select p.pair_id, {listed('true')} matches from l_pairs p join l_matches m on m.pair_id = p.pair_id
-where rotation >= 30 and visible and src_area > 0 and tgt_area > 0 and (tgt_area / src_area < 0.6 or tgt_area / src_area > 1.67) group by p.pair_id""",
+    f"""select p.pair_id, {sql_list("match_idx || '/' || src_label || '/' || " + sql_d4('tgt_area / src_area'))} objects from l_pairs p join l_matches m on m.pair_id = p.pair_id
+where rotation >= 30 and visible and tgt_mask >= 0 and src_area > 0 and tgt_area > 0 and (tgt_area / src_area < 0.6 or tgt_area / src_area > 1.67) group by p.pair_id""",
 )
 def g7(t: Tables) -> DataFrame:
     found = skills.spatial_transformation(pairs(t), t.lift("l_matches"))
-    return found.select("pair_id", F.array_join(F.transform("transformed", lambda x: x["match_idx"].cast("string")), ",").alias("matches"))
+    return found.select("pair_id", listed(F.col("transformed_objects"), lambda o: (o["match_idx"], o["label"], d4(o["scale_ratio"]))).alias("objects"))
 
 
 @query(
     "g8_depth_variation",
-    f"""select p.pair_id, round(median(abs(depth_src - depth_obs)), 4) delta, {listed('abs(depth_src - depth_obs) >= 0.5')} varying_idx from l_pairs p join l_matches m on m.pair_id = p.pair_id
-where ratio >= 1.3 and visible group by p.pair_id having count(*) filter (abs(depth_src - depth_obs) >= 0.5) > 0""",
+    f"""select p.pair_id, {sql_d4('median(abs(depth_src - depth_obs))')} delta, {sql_list("match_idx || '/' || src_label || '/' || " + sql_d4('depth_src') + " || '/' || " + sql_d4('depth_obs'), 'abs(depth_src - depth_obs) >= 0.5')} objects, count(*) filter (abs(depth_src - depth_obs) >= 0.5 and depth_src > depth_obs) closer
+from l_pairs p join l_matches m on m.pair_id = p.pair_id where ratio >= 1.3 and visible group by p.pair_id having count(*) filter (abs(depth_src - depth_obs) >= 0.5) > 0""",
 )
 def g8(t: Tables) -> DataFrame:
-    return skills.depth_variation(pairs(t), t.lift("l_matches")).select("pair_id", F.round("pair_median_delta", 4).alias("delta"), text("varying").alias("varying_idx"))
+    found = skills.depth_variation(pairs(t), t.lift("l_matches"))
+    closer = F.size(F.filter("varying_objects", lambda o: o["delta_m"] > 0)).cast("long")
+    return found.select("pair_id", d4(F.col("pair_median_delta_m")).alias("delta"), listed(F.col("varying_objects"), lambda o: (o["match_idx"], o["label"], d4(o["depth_src"]), d4(o["depth_tgt"]))).alias("objects"), closer.alias("closer"))
 
 
 @query("a12_evidence_median", "select pair_id, round(median(abs(depth_src - depth_obs)), 4) delta from l_matches where visible group by pair_id")
@@ -177,11 +208,28 @@ def a12(t: Tables) -> DataFrame:
 
 @query(
     "g9_occlusion_visibility",
-    f"""select p.pair_id, {listed('visible')} seen, {listed('not visible')} hidden from l_pairs p join l_matches m on m.pair_id = p.pair_id
+    f"""select p.pair_id, {sql_list('match_idx', 'visible')} seen, {sql_list('match_idx', 'not visible')} hidden, count(*) filter (visible) n_visible, count(*) filter (not visible) n_occluded from l_pairs p join l_matches m on m.pair_id = p.pair_id
 where overlap >= 0.40 and occluded >= 0.15 and gap >= 100 group by p.pair_id having bool_or(visible) and bool_or(not visible)""",
 )
 def g9(t: Tables) -> DataFrame:
-    return skills.occlusion_visibility(pairs(t), t.lift("l_matches")).select("pair_id", text("seen").alias("seen"), text("hidden").alias("hidden"))
+    found = skills.occlusion_visibility(pairs(t), t.lift("l_matches"))
+    return found.select("pair_id", numbers("visible_match_idx").alias("seen"), numbers("occluded_match_idx").alias("hidden"), F.col("n_visible").cast("long").alias("n_visible"), F.col("n_occluded").cast("long").alias("n_occluded"))
+
+
+BUCKETED = """with s as (select p.pair_id, match_idx, src_label, scale, dz, visible, spatial, depth, hidden from (
+  select m.*, tgt_area / src_area scale, depth_src - depth_obs dz, rotation >= 30 and visible and tgt_mask >= 0 and src_area > 0 and tgt_area > 0 and (tgt_area / src_area < 0.6 or tgt_area / src_area > 1.67) spatial,
+    ratio >= 1.3 and visible and abs(depth_src - depth_obs) >= 0.5 depth, overlap >= 0.40 and occluded >= 0.15 and gap >= 100 hidden from l_pairs p join l_matches m on m.pair_id = p.pair_id) p)
+select pair_id, 'cross_spatial_transformation' skill, arg_min(src_label, match_idx) bucket from s where spatial group by pair_id
+union all select pair_id, 'cross_depth_variation', case when arg_min(dz, match_idx) > 0 then 'closer' else 'farther' end from s where depth group by pair_id
+union all select pair_id, 'cross_occlusion_visibility', 'vis=True/occ=True' from s where hidden group by pair_id having bool_or(visible) and bool_or(not visible)"""
+
+
+@query("x21b_evidence_to_bucket", BUCKETED)
+def x21b(t: Tables) -> DataFrame:
+    """What the pose skills give, through JSON, is what balancing reads."""
+    only = ("cross_depth_variation", "cross_occlusion_visibility", "cross_spatial_transformation")
+    found = skills.evidence(pairs(t), t.lift("l_matches"), t.lift("l_masks"), only)
+    return found.select("pair_id", "skill", curate.answer_bucket(F.col("skill"), skills.parsed(F.col("evidence"))).alias("bucket"))
 
 
 @query("p14_overlap_window", "select pair_id from l_pairs where overlap between 0.15 and 0.30")
