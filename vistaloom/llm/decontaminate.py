@@ -29,23 +29,19 @@ def shingle_texts(words: Column) -> Column:
     return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0))), lambda w, i: F.array_join(F.slice(words, i + 1, SHINGLE), " "))
 
 
-def halves(shingles: Column) -> Column:
-    """The first 64 bits of each shingle's MD5, as two numbers of 32 bits."""
+def with_fingerprint(rows: DataFrame, name: str) -> DataFrame:
+    """The distinct rows (with an array of shingles, one at least) with the 64-bit SimHash of their shingles, each counted as often as it occurs: a bit is 1 if set in over half.
 
-    def half(m: Column, a: int) -> Column:
-        return F.conv(F.substring(m, a, 8), 16, 10).cast("long")
-
-    return F.transform(shingles, lambda s: F.struct(half(F.md5(s), 1).alias("hi"), half(F.md5(s), 9).alias("lo")))
-
-
-def simhash(parts: Column) -> Column:
-    """64-bit fingerprint of shingles, each counted as often as it occurs: a bit is 1 if set in over half of them."""
-
-    def of(name: str) -> Column:
-        bit = lambda b: F.aggregate(parts, F.lit(0), lambda n, h: n + F.call_function("shiftright", h[name], b).bitwiseAND(F.lit(1)).cast("int"))
-        return F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"), lambda x, b: x + F.when(bit(b) * 2 > F.size(parts), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-
-    return F.coalesce(F.call_function("shiftleft", of("hi"), F.lit(32)).bitwiseOR(of("lo")), F.lit(0).cast("long"))  # never null, so that no filter repeats it
+    The bits of a shingle are the first 64 of its MD5. Bits are counted as sums over the shingles' rows, so that they are
+    compiled and partly added up before one row per fingerprint is shuffled.
+    """
+    keys = rows.columns
+    each = rows.select("*", F.explode_outer("shingles").alias("__s")).withColumn("__m", F.md5("__s"))
+    half = {n: F.conv(F.substring("__m", at, 8), 16, 10).cast("long") for n, at in (("__hi", 1), ("__lo", 9))}
+    sums = [F.sum(F.call_function("shiftright", n, F.lit(b)).bitwiseAND(F.lit(1))).alias(f"{n}{b}") for n in half for b in range(32)]
+    counted = each.withColumns(half).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *sums)
+    word = lambda n: sum((F.when(F.col(f"{n}{b}") * 2 > F.col("__n"), F.lit(1 << b).cast("long")).otherwise(F.lit(0).cast("long")) for b in range(32)), F.lit(0).cast("long"))
+    return counted.select(*keys, F.call_function("shiftleft", word("__hi"), F.lit(32)).bitwiseOR(word("__lo")).alias(name))
 
 
 def hamming_blocks(fingerprint: Column, radius: int) -> Column:
@@ -108,18 +104,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least:
         .select("doc_id", "n_words", "words", F.explode("starts").alias("start"))
         .where(F.col("start") <= F.greatest(F.lit(0), F.size("words") - F.col("n_words")))
         .select("doc_id", "n_words", "start", shingle_texts(F.slice("words", F.col("start") + 1, F.col("n_words"))).alias("shingles"))
-        .withColumn("parts", halves(F.col("shingles")))
-        .withColumn("fingerprint", simhash(F.col("parts")))
-        .drop("parts")
-        .withColumn("blocks", hamming_blocks(F.col("fingerprint"), radius))
     )
-    marked = items.select("item_id", F.col("n_words").alias("item_n"), "item_shingles", halves(F.col("item_shingles")).alias("parts")).withColumn("item_fingerprint", simhash(F.col("parts"))).drop("parts")
-    marked = marked.withColumn("item_blocks", hamming_blocks(F.col("item_fingerprint"), radius))
-    left = cut.select("*", F.explode("blocks").alias("block"))
-    right = marked.select("*", F.explode("item_blocks").alias("item_block"))
+    cut = with_fingerprint(cut, "fingerprint")
+    marked = with_fingerprint(items.select("item_id", F.col("n_words").alias("item_n"), F.col("item_shingles").alias("shingles")), "item_fingerprint").withColumnRenamed("shingles", "item_shingles")
+    blocks = {n: hamming_blocks(F.col(n), radius) for n in ("fingerprint", "item_fingerprint")}
+    left = cut.withColumn("block", F.explode(blocks["fingerprint"]))
+    right = marked.withColumn("item_block", F.explode(blocks["item_fingerprint"]))
     distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint")))
-    first = F.array_min(F.array_intersect("blocks", "item_blocks"))  # of the blocks that agree, one gives the pair
-    near = left.join(F.broadcast(right) if few else right, (F.col("n_words") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).where(F.col("block") == first).withColumn("hamming", distance).where(F.col("hamming") <= radius)
+    first = F.array_min(F.array_intersect(*blocks.values()))  # of the blocks that agree, one gives the pair
+    near = left.join(F.broadcast(right) if few else right, (F.col("n_words") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).withColumn("hamming", distance).where((F.col("hamming") <= radius) & (F.col("block") == first))
+    # Written, so that the similarity is worked out for pairs within the radius and no others.
+    near = saved(near.select("doc_id", "item_id", "n_words", "start", "hamming", "shingles", "item_shingles"), "decontamination-near")
     exact = near.withColumn("similarity", similarity(F.col("item_shingles"), F.col("shingles"))).where(F.col("similarity") >= least)
     best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("hamming")).alias("near"), "n_words")).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.n_words").alias("n_words"), F.col("best.similarity").alias("similarity"), (-F.col("best.near")).alias("hamming"))
