@@ -83,7 +83,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least:
     keys = items.select("item_id", "n_words", F.explode("hashes").alias("key")).distinct()
     few = keys.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES
     read = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    placed = read.select("doc_id", F.size("words").alias("size"), F.posexplode(shingle_hashes(F.col("words"))).alias("p", "key"))
+    placed = read.select("doc_id", F.size("words").alias("size"), F.posexplode_outer(shingle_hashes(F.col("words"))).alias("p", "key"))  # outer: no filter works the hashes out twice
     hits = placed.join(F.broadcast(keys) if few else keys, "key")
     m = F.col("n_words") - (SHINGLE - 1)
     # weighted Jaccard of `least` between a and b shingles needs (a + b) * least / (1 + least) in common
