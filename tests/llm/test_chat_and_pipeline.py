@@ -55,6 +55,35 @@ def test_stages(spark, corpus):
     assert {r.doc_id for r in corpus_pipeline.run(spark, corpus).collect()} == ids[4]
 
 
+WIDE = "doc_id long, text string, lang string, source string, n_chars long, row string, key long, doc long, component_id long, words string, start int, __kept_id long"
+
+
+def test_stages_with_odd_rows(spark, tmp_path):
+    """Repeated and missing ids, ties, nulls in every column, columns whose names operators use themselves, and an empty table."""
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, "one two three four five six seven"), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    prose = [" ".join(f"{w}{k}" for w in "every document here has words of its own so that nothing links it".split()) for k in range(30)]
+    rows = [(k, t, "en") for k, t in enumerate(prose)] + [(3, prose[9] + " more", None), (3, prose[3], "en"), (None, prose[5], "en"), (None, None, None), (40, "", "en"), (41, "x " * 5000, "en"), (42, "ONE two Three four five six seven", "en")]
+    docs = spark.createDataFrame([(d, t, x, None, None, "r", 1, 2, 3, "w", 4, 5) for d, t, x in rows], WIDE)
+    empty = docs.limit(0)
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES:
+        last = name == corpus_pipeline.STAGES[-1][0]
+        assert stage(spark, empty, folder).count() == 0, name
+        out = stage(spark, docs, folder)
+        assert last or out.columns == docs.columns
+        path = f"{folder}/{name}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        sizes.append(docs.count())
+        if not last:
+            assert all((r.row, r.key, r.doc, r.component_id, r.words, r.start, r["__kept_id"]) == ("r", 1, 2, 3, "w", 4, 5) for r in docs.collect()), name
+            empty = docs.limit(0)
+    assert sizes[0] >= 30 and sizes[0] >= sizes[1] == sizes[2] >= sizes[3] == sizes[4]
+    ids = [r.doc_id for r in docs.collect()]
+    assert ids.count(3) == 2 and None in ids and 42 not in ids and 40 not in ids
+
+
 def test_one_query_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
 

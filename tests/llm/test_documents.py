@@ -97,8 +97,8 @@ def test_vantage_tree_finds_every_link():
     assert (simhash.roots(len(x), a, b) == simhash.roots(len(x), p, q)).all()
 
 
-@pytest.mark.parametrize("radius", [0, 3, 4])
-def test_leaves_keep_close_fingerprints_together(spark, radius):
+@pytest.mark.parametrize(("radius", "agree"), [(0, 1), (3, 1), (4, 1), (4, 2), (4, 3)])
+def test_leaves_keep_close_fingerprints_together(spark, radius, agree):
     r = random.Random(1)
     pairs = []
     for k in range(60):
@@ -110,7 +110,7 @@ def test_leaves_keep_close_fingerprints_together(spark, radius):
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(signed(v), k) for k, v in pairs], "fp long, rep long")
     leaves = {}
-    for row in simhash.leaves(df, radius).collect():
+    for row in simhash.leaves(df, radius, agree).collect():
         leaves.setdefault((row.rep, row.fp), set()).add(row.leaf)
     for k in range(60):
         a, b = [v for (rep, _), v in leaves.items() if rep == k] * 2 if radius == 0 else [v for (rep, _), v in leaves.items() if rep == k]
@@ -222,6 +222,29 @@ def test_wavelet_round_trip(spark, docs, texts):
     assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
 
 
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    e = wavelet.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    texts = ["one two three", "", "two one the", "a much longerpieceofabovesixteenbytes here"]
+    want = [x.tolist() for x in e.ids(texts)]
+    monkeypatch.setattr(wavelet, "hashed_spans", lambda buf, at, size: np.zeros(len(at), np.uint64))
+    assert [x.tolist() for x in e.ids(texts)] == want
+
+
+def test_wavelet_tasks_write_bounded_files(texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(wavelet.TaskContext, "get", lambda: type("", (), {"partitionId": lambda self: 3})())
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/shards"
+    batches = [pa.record_batch([pa.array(range(k, min(k + 5, len(texts)))), pa.array(texts[k : k + 5], pa.string())], names=["doc_id", "text"]) for k in range(0, len(texts), 5)]
+    files = pa.Table.from_batches(list(wavelet.write_shards(folder, path, 2, 400)(iter(batches)))).to_pylist()
+    assert len(files) > 5 and sum(f["n_docs"] for f in files) == len(texts) and [f["part"] for f in files] == list(range(len(files)))
+    starts = np.cumsum([0, *[f["n_tokens"] for f in files]])[:-1]
+    read = wavelet.read_shards(folder)(iter([pa.record_batch([pa.array([f["file"] for f in files]), pa.array(starts)], names=["file", "start"])]))
+    rows = pa.Table.from_batches(list(read)).to_pylist()
+    t = Tokenizer.from_file(path)
+    want = [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+    assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows] == [(k, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, i in enumerate(want)]
+    assert [r["start"] for r in rows] == np.cumsum([0, *map(len, want)])[:-1].tolist()
+
+
 def test_wavelet_queries():
     r = np.random.default_rng(1)
     a = (r.zipf(1.5, 200_000) % 3000).astype(np.uint16)
@@ -288,10 +311,20 @@ def test_bit_sliced_filter_never_misses():
     sets = [r.integers(0, 2**40, 500, dtype=np.uint64) for _ in range(11)]
     f = language_id.BitSlicedFilter.built([f"l{k:02}" for k in range(11)], sets, 0)
     for k, s in enumerate(sets):
-        assert (f.masks(s) >> f.slots.dtype.type(k) & f.slots.dtype.type(1)).all()
+        assert (f.counts(f.masks(s))[k]) == len(s)
     other = r.integers(0, 2**40, 20_000, dtype=np.uint64)
-    seen = np.array([(f.masks(other) >> f.slots.dtype.type(k) & f.slots.dtype.type(1)).mean() for k in range(11)])
-    assert np.abs(seen - f.false_rates()).max() < 0.01
+    assert np.abs(f.counts(f.masks(other)) / len(other) - f.false_rates).max() < 0.01
+
+
+@pytest.mark.parametrize("n", [3, 12, 70, 150])
+def test_shares_brute_force(n):
+    """Any number of languages: shares of n-grams are those of plain sets, but for false positives."""
+    r = np.random.default_rng(n)
+    sets = [r.integers(0, 2**40, 300, dtype=np.uint64) for _ in range(n)]
+    f = language_id.BitSlicedFilter.built([f"l{k:03}" for k in range(n)], sets, 0)
+    some = np.concatenate([sets[0][:60], sets[n - 1][:120], sets[n // 2][:20], r.integers(2**41, 2**42, 100, dtype=np.uint64)])
+    plain = np.array([np.isin(some, s).mean() for s in sets])
+    assert np.abs(f.shares(some) - plain).max() < 0.03 and int(np.argmax(f.shares(some))) == n - 1
 
 
 def weighted_jaccard(a, b):
@@ -396,6 +429,17 @@ def test_quality_learns_from_labellers(spark, texts):
     assert quality.scored(df.limit(0)).count() == 0
 
 
+def test_label_model_brute_force():
+    """Posteriors by Bayes' rule, written out, and a step of estimation by hand."""
+    table = np.array([[[0.7, 0.3], [0.01, 0.99]], [[0.4, 0.6], [0.002, 0.998]]])
+    model = quality.LabelModel(np.array([0.2, 0.8]), table)
+    patterns = np.array([[a, b] for a in range(3) for b in range(3)])
+    got = model.posteriors(patterns)
+    for (a, b), p in zip(patterns.tolist(), got, strict=True):
+        w = [model.prior[c] * (table[0, c, a] if a < 2 else 1) * (table[1, c, b] if b < 2 else 1) for c in range(2)]
+        assert np.allclose(p, np.array(w) / sum(w))
+
+
 def test_label_model_recovers_classes():
     r = np.random.default_rng(7)
     truth = (r.random(20_000) < 0.85).astype(int)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistaloom.llm.common import document_bytes, partitions, saved, scratch, small_batches
+from vistaloom.llm.common import document_bytes, partitions, passing, saved, scratch, small_batches
 
 UNIT = 576
 RATE, FEATURE_RATE = 16_000, 10_000
@@ -223,6 +223,7 @@ def described(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     folder = scratch(spark, "audio")
     written = stored(files, folder).repartitionByRange(partitions(spark), "file")
+    passing(spark, folder)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)

@@ -4,6 +4,10 @@ A state is the token emitted last. A merge (u, v) -> w puts a gadget in: whereve
 arc w takes the place of both. Tokens that end with u or begin with v inherit it, as long as the merge comes before the
 one that took u or v into the larger token. What is left are the arcs of proper tokenizations only, of which each word has
 exactly one: a pass over the word's symbols keeps, for each prefix, the one token that can end it.
+
+The tokens that proper tokenizations hold are compiled into one table of transitions over symbols, a row of them for
+each state, which deterministically spells all tokens from a place; arcs between tokens are worked out from the gadgets when a
+word first needs them, since there are thousands of millions.
 """
 
 from __future__ import annotations
@@ -44,11 +48,28 @@ class Automaton:
         made: set[int] = set()
         for rank, (u, v) in enumerate(merges):
             self.insert(rank, self.ids[u], self.ids[v], self.ids[u + v], made)
-        self.own = {t: i for t, i in self.ids.items() if i not in self.improper}
-        plain = {t.removesuffix(suffix) for t in self.own}
-        self.prefixes = {t[:k] for t in plain for k in range(1, len(t) + 1)}
+        self.table: list[dict[str, int]] = [{}]
+        self.inner, self.final = [-1], [-1]
+        for t, i in self.ids.items():
+            if i not in self.improper:
+                self.spell(t, i)
         self.arcs: dict[int, bool] = {}
 
+    def spell(self, token: str, i: int) -> None:
+        """Transitions over a token's symbols; the state they end in knows the token, as one within a word or as a word's last."""
+        ends = bool(self.suffix) and token.endswith(self.suffix) and len(token) > len(self.suffix)
+        state = 0
+        for c in token.removesuffix(self.suffix) if ends else token:
+            state = self.table[state].setdefault(c, len(self.table))
+            if state == len(self.table):
+                self.table.append({})
+                self.inner.append(-1)
+                self.final.append(-1)
+        if not ends:
+            self.inner[state] = i
+        if ends or not self.suffix:
+            self.final[state] = i
+
     def insert(self, rank: int, u: int, v: int, w: int, made: set[int]) -> None:
         """The gadget of one merge. A token that several merges make keeps the first one's parts."""
         self.gadget[u << 32 | v] = rank
@@ -80,29 +101,27 @@ class Automaton:
 
     def encode(self, symbols: str) -> list[int]:
         """Token ids of one word, given as byte symbols."""
-        whole = self.own.get(symbols + self.suffix)
-        if whole is not None:
-            return [whole]
-        n, own, prefixes, arcs, suffix = len(symbols), self.own, self.prefixes, self.arcs, self.suffix
+        n, inner, final, table, arcs = len(symbols), self.inner, self.final, self.table, self.arcs
         token_at: list[int] = [-1] * (n + 1)
         from_at = [0] * (n + 1)
         todo = [0]
         while token_at[n] < 0:  # the longest token first; a place is reached by one proper path only, so once is enough
             start = todo.pop()
-            state = token_at[start] << 32
-            for end in range(start + 1, n + 1):
-                piece = symbols[start:end]
-                if piece not in prefixes:
+            last = token_at[start] << 32
+            state = 0
+            for end in range(start, n):
+                state = table[state].get(symbols[end])
+                if state is None:
                     break
-                token = own.get(piece if end < n else piece + suffix)
-                if token is None or token_at[end] >= 0:
+                token = inner[state] if end + 1 < n else final[state]
+                if token < 0 or token_at[end + 1] >= 0:
                     continue
                 if start:
-                    open_ = arcs.get(state | token)
-                    if not (self.arc(state >> 32, token) if open_ is None else open_):
+                    open_ = arcs.get(last | token)
+                    if not (self.arc(last >> 32, token) if open_ is None else open_):
                         continue
-                token_at[end], from_at[end] = token, start
-                todo.append(end)
+                token_at[end + 1], from_at[end + 1] = token, start
+                todo.append(end + 1)
         out, at = [], n
         while at:
             out.append(token_at[at])

@@ -122,5 +122,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = 20, least: float = 0.8) -> DataFrame:
     """docs without those that hold a benchmark item; rows with a null id stay."""
-    found = contaminated(docs, benchmark, radius, least).select(F.col("doc_id").alias("__leaked_id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__leaked_id"), "left_anti")
+    found = contaminated(docs, benchmark, radius, least).select(F.col("doc_id").alias("leaked_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"))  # docs may have columns of any names
+    return rows.join(found, F.col("id") == F.col("leaked_id"), "left_anti").select("row.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ def grams(plain: bytes) -> np.ndarray:
 
 @dataclass
 class BitSlicedFilter:
-    """A Bloom filter whose slots hold one bit per language: the AND of an n-gram's slots names all languages that contain it."""
+    """A Bloom filter whose slots hold one bit per language, in words as wide as they need: the AND of an n-gram's slots names all languages that contain it."""
 
     languages: list[str]
     slots: np.ndarray
@@ -45,14 +46,14 @@ class BitSlicedFilter:
 
     @classmethod
     def built(cls, languages: list[str], sets: list[np.ndarray], usual: int, hashes: int = 3, bits_each: int = 16) -> BitSlicedFilter:
-        if len(languages) > 64:
-            raise ValueError("one bit of 64 per language")
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= len(languages))
+        kind = next((k for k in (np.uint8, np.uint16, np.uint32) if np.iinfo(k).bits >= len(languages)), np.uint64)
+        words = -(-max(1, len(languages)) // np.iinfo(kind).bits)
         size = 1 << max(10, int(bits_each * max([1, *map(len, sets)]) - 1).bit_length())
-        made = cls(languages, np.zeros(size, kind), hashes, usual)
+        made = cls(languages, np.zeros((size, words), kind), hashes, usual)
         for k, g in enumerate(sets):
+            word, bit = divmod(k, np.iinfo(kind).bits)
             for at in made.places(g.astype(np.uint64)):
-                made.slots[at] |= kind(1 << k)  # equal places get equal values
+                made.slots[at, word] |= kind(1 << bit)  # equal places get equal values
         return made
 
     def places(self, g: np.ndarray) -> Iterator[np.ndarray]:
@@ -61,28 +62,29 @@ class BitSlicedFilter:
             yield ((g ^ (g >> np.uint64(17 + k))) * np.uint64(MULTIPLIERS[k])) >> shift
 
     def masks(self, g: np.ndarray) -> np.ndarray:
+        """Of each n-gram the languages that contain it, a row of as many words as they need."""
         found = None
         for at in self.places(g):
             found = self.slots[at] if found is None else found & self.slots[at]
         return found
 
+    def counts(self, masks: np.ndarray) -> np.ndarray:
+        """How many masks have each language's bit."""
+        width = 8 * masks.dtype.itemsize
+        if width == 8:
+            by, values = np.bincount(masks[:, 0], minlength=256), np.arange(256)
+            return np.array([by[(values >> k & 1) == 1].sum() for k in range(len(self.languages))])
+        return np.array([np.count_nonzero(masks[:, k // width] & masks.dtype.type(1 << k % width)) for k in range(len(self.languages))])
+
+    @cached_property
     def false_rates(self) -> np.ndarray:
         """How often each language's bit is found set for an n-gram that it doesn't contain."""
-        fill = np.array([np.count_nonzero(self.slots & self.slots.dtype.type(1 << k)) for k in range(len(self.languages))]) / len(self.slots)
-        return fill**self.hashes
+        return (self.counts(self.slots) / len(self.slots)) ** self.hashes
 
     def shares(self, g: np.ndarray) -> np.ndarray:
         """For each language, the share of n-grams that it contains, corrected for false positives."""
-        m = self.masks(g)
-        if m.dtype == np.uint8:
-            by = np.bincount(m, minlength=256)
-            values = np.arange(256)
-            seen = np.array([by[(values >> k & 1) == 1].sum() for k in range(len(self.languages))])
-        else:
-            seen = np.array([np.count_nonzero(m & m.dtype.type(1 << k)) for k in range(len(self.languages))])
-        f = self.false_rates() if not hasattr(self, "_rates") else self._rates
-        self._rates = f
-        return np.clip((seen / len(g) - f) / np.maximum(1 - f, 1e-9), 0, 1)
+        f = self.false_rates
+        return np.clip((self.counts(self.masks(g)) / len(g) - f) / np.maximum(1 - f, 1e-9), 0, 1)
 
     def decide(self, text: str | None) -> tuple[str, float]:
         """(language, score): the largest share, the first name among equals; `und` and 0 without a letter."""

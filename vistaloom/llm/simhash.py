@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +49,11 @@ def fingerprints(docs: DataFrame, words: int = 4, key: Column | None = None) ->
     return given.mapInArrow(rows, "doc_id long, fp long" + ", key long" * len(keys))
 
 
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """radius + 1 runs of the 64 bits (shift, width): within the radius, two fingerprints agree on one run at least."""
-    cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+def blocks(radius: int, agree: int = 1) -> list[list[tuple[int, int]]]:
+    """Sets of `agree` runs of the 64 bits, each (shift, width): of radius + agree runs, two fingerprints within the radius agree on one of the sets at least."""
+    n = radius + agree
+    cuts = [64 * k // n for k in range(n + 1)]
+    return [list(each) for each in combinations([(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)], agree)]
 
 
 def vantage_points(shift: int, width: int) -> list[int]:
@@ -59,23 +61,33 @@ def vantage_points(shift: int, width: int) -> list[int]:
     return [((1 << width) - 1) // ((1 << (1 << j)) + 1) << shift if (1 << j) < width else 0 for j in range(4)] + [1 << (shift + j) for j in range(width)]
 
 
-def leaves(classes: DataFrame, radius: int) -> DataFrame:
+def agreeing(classes: int, radius: int, leaf: int = 512) -> int:
+    """How many runs linked fingerprints should agree on, so that a leaf has some `leaf` of so many classes, whatever their number."""
+    return next((k for k in (1, 2, 3, 4) if classes >> sum(w for _, w in blocks(radius, k)[0]) <= leaf), 4)
+
+
+def leaves(classes: DataFrame, radius: int, agree: int = 1) -> DataFrame:
     """Each fingerprint with its leaf in every tree.
 
-    The distance on a run of bits is a metric, and by the triangle bound two fingerprints whose runs agree are at the same
-    distance from each vantage point, so no boundary between leaves has to be widened: with radius 0 on the run, the
+    The distance on a set of runs of bits is a metric, and by the triangle bound two fingerprints whose runs agree are at the
+    same distance from each vantage point, so no boundary between leaves has to be widened: with radius 0 on the runs, the
     overlap is empty. A tree over all 64 bits would not do: two unrelated fingerprints lie 32 bits apart with a deviation
     of 4, and a radius of 4 puts two thirds of them on both sides of each boundary.
     """
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
     trees = []
-    for k, (shift, width) in enumerate(blocks(radius)):
-        mask = ((1 << width) - 1) << shift
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
-        path = F.xxhash64(F.lit(k), *[F.bit_count((F.col("fp").bitwiseXOR(F.lit(signed(v)))).bitwiseAND(F.lit(signed(mask)))) for v in vantage_points(shift, width)])
-        trees.append(path)
+    for k, runs in enumerate(blocks(radius, agree)):
+        away = [F.bit_count((F.col("fp").bitwiseXOR(F.lit(signed(v)))).bitwiseAND(F.lit(signed(((1 << width) - 1) << shift)))) for shift, width in runs for v in vantage_points(shift, width)]
+        trees.append(F.xxhash64(F.lit(k), *away))
     return classes.select("fp", "rep", F.explode(F.array(*trees)).alias("leaf"))
 
 
+def links(classes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links that join all classes (fp, rep) within the radius, directly or through others."""
+    dealt = leaves(classes, radius, agreeing(classes.count(), radius)).repartition(partitions(classes.sparkSession), "leaf")
+    return dealt.mapInArrow(leaf_links(radius), "a long, b long")
+
+
 def close_pairs(x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of positions that join all fingerprints of x within radius, directly or through others, by a vantage-point tree.
 
@@ -177,13 +189,10 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFra
     and are linked like any other. Repeated rows share a component. A row with a null doc_id takes the component of the
     documents with ids that have its fingerprint, or null. Other columns are ignored. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     prints = saved(fingerprints(docs, words), "simhash-prints")
     # Written, so that the last join has plain exchanges on both sides, which AQE splits where one text has very many copies.
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
-    dealt = leaves(classes.where("rep is not null"), radius).repartition(partitions(spark), "leaf")
-    links = dealt.mapInArrow(leaf_links(radius), "a long, b long")
-    found = components(links, "simhash-links")
+    found = components(links(classes.where("rep is not null"), radius), "simhash-links")
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id"))
     return prints.join(named, F.col("fp") == F.col("class_fp"), "left").select("doc_id", "fp", "component_id")
 
@@ -193,13 +202,12 @@ def keep_one(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
 
     Groups are of texts: texts that are not linked stay, also under one doc_id.
     """
-    spark = docs.sparkSession
     key = F.xxhash64(F.col("text").cast("string"))
     prints = saved(fingerprints(docs.where("doc_id is not null"), words, key), "simhash-keys")
     classes = saved(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("first")), "simhash-texts")
-    dealt = leaves(classes.withColumn("rep", F.col("fp")), radius).repartition(partitions(spark), "leaf")
-    found = components(dealt.mapInArrow(leaf_links(radius), "a long, b long"), "simhash-links")
+    found = components(links(classes.withColumn("rep", F.col("fp")), radius), "simhash-links")
     named = classes.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
-    kept = named.select(F.col("first.doc_id").alias("__kept_id"), F.col("first.key").alias("__kept_key"))
-    rows = docs.withColumn("__key", key).join(kept, (F.col("doc_id") == F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "__key"]).drop("__key").unionByName(docs.where("doc_id is null"))
+    kept = named.select(F.col("first.doc_id").alias("kept_id"), F.col("first.key").alias("kept_key"))
+    # Rows as structs: docs may have columns of any names.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), key.alias("key")).join(kept, (F.col("id") == F.col("kept_id")) & (F.col("key") == F.col("kept_key")), "left_semi")
+    return rows.dropDuplicates(["id", "key"]).select("row.*").unionByName(docs.where("doc_id is null"))

@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vistaloom.llm.common import partitions, saved, scratch, small_batches
+from vistaloom.llm.common import partitions, passing, saved, scratch, small_batches
 
 MAGIC = b"WVLM0001"
 BLOCK = 1 << 16
 CACHE = 1_600_000
 #: Bytes of text that are cut and looked up together.
 TOGETHER = 6_000_000
+#: Tokens of a file, beyond which a task begins another one.
+SHARD = 8_000_000
 
 
 def packed_planes(tokens: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -274,6 +276,8 @@ class Encoder:
         size = stop - at
         mark = hashed_spans(buf, at, size)
         mark, first, which = np.unique(mark, return_index=True, return_inverse=True)
+        if not same_spans(buf, at, at[first[which]], size, size[first[which]]).all():  # two pieces of one hash
+            return [np.concatenate((self.whole(t), self.end)) if t else self.end for t in texts]
         distinct = [joined[a:b] for a, b in zip(at[first].tolist(), stop[first].tolist(), strict=True)]
         if len(self.known) >= CACHE:
             self.known = {}
@@ -310,6 +314,21 @@ def hashed_spans(buf: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarra
     return h
 
 
+def same_spans(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether the spans at a and at b have the same bytes; 8 readable bytes follow the last span."""
+    x = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+    low = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    same = size_a == size_b
+    live, step = np.flatnonzero(same & (a != b)), 0
+    while len(live):
+        left = size_a[live] - step
+        differ = (x[a[live] + step] ^ x[b[live] + step]) & low[np.minimum(left, 8)]
+        same[live] = differ == 0
+        live = live[(differ == 0) & (left > 8)]
+        step += 8
+    return same
+
+
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
@@ -320,39 +339,49 @@ def encoder(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def write_shards(folder: str, tokenizer: str, end_id: int):
-    """For mapInArrow over (doc_id, text) in ranges of doc_id: writes each partition as one file; its place and size."""
+def write_shards(folder: str, tokenizer: str, end_id: int, tokens: int = SHARD):
+    """For mapInArrow over (doc_id, text) in order of doc_id: writes files of some `tokens` tokens each; their places and sizes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(tokenizer, end_id)
-        docs: list[tuple[bool, int, np.ndarray]] = []
+        fs, base = pafs.FileSystem.from_uri(folder)
         names: list[int | None] = []
         texts: list[str] = []
-
-        def encode() -> None:
-            docs.extend((d is not None, d or 0, x) for d, x in zip(names, use.ids(texts), strict=True))
+        docs: list[int | None] = []
+        ids: list[np.ndarray] = []
+        held, part = 0, 0
+
+        def encode() -> int:
+            got = use.ids(texts)
+            docs.extend(names)
+            ids.extend(got)
             names.clear()
             texts.clear()
+            return sum(map(len, got))
+
+        def shard() -> pa.RecordBatch:
+            offsets = np.cumsum([0, *map(len, ids)])
+            path, own = f"{base}/shard-{TaskContext.get().partitionId():07d}-{part:05d}.wvlm", f"{base}/{uuid.uuid4().hex}.part"
+            with fs.open_output_stream(own) as out:  # attempts don't meet; each moves a whole file into place
+                out.write(written(np.concatenate(ids), docs, offsets))
+            fs.move(own, path)
+            made = pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([part], pa.int32()), pa.array([path.rpartition("/")[2]]), pa.array([len(docs)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())], names=["shard", "part", "file", "n_docs", "n_tokens"])
+            docs.clear()
+            ids.clear()
+            return made
 
+        fs.create_dir(base, recursive=True)
         for b in batches:
             names += b.column(0).to_pylist()
             texts += [t or "" for t in b.column(1).to_pylist()]
-            if sum(map(len, texts)) >= TOGETHER:
-                encode()
+            if sum(map(len, texts)) >= min(TOGETHER, tokens):
+                held += encode()
+            if held >= tokens:
+                yield shard()
+                held, part = 0, part + 1
         encode()
-        if not docs:
-            return
-        docs.sort(key=lambda x: x[:2])
-        offsets = np.cumsum([0] + [len(x) for *_, x in docs])
-        tokens = np.concatenate([x for *_, x in docs])
-        shard = TaskContext.get().partitionId()
-        fs, base = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
-        path, own = f"{base}/shard-{shard:07d}.wvlm", f"{base}/{uuid.uuid4().hex}.part"
-        with fs.open_output_stream(own) as out:  # attempts don't meet; each moves a whole file into place
-            out.write(written(tokens, [d if known else None for known, d, _ in docs], offsets))
-        fs.move(own, path)
-        yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([path.rpartition("/")[2]]), pa.array([len(docs)], pa.int64()), pa.array([len(tokens)], pa.int64())], names=["shard", "file", "n_docs", "n_tokens"])
+        if docs:
+            yield shard()
 
     return rows
 
@@ -376,16 +405,18 @@ def read_shards(folder: str):
 
 
 def sharded(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> DataFrame:
-    """Writes the token ids of docs below folder; (shard, file, n_docs, n_tokens, start), files in order of doc_id.
+    """Writes the token ids of docs below folder; (shard, part, file, n_docs, n_tokens, start), files in order of doc_id.
 
-    Each text ends with end_id. Null texts are empty, null ids come first, rows with one id stay in one file. Documents are
-    dealt by ranges of doc_id, so a source or a group of copies of any size spreads by its ids. An empty table writes no file.
+    Each text ends with end_id. Null texts are empty, null ids come first, rows with one id follow one another. Documents are
+    dealt by ranges of doc_id, so a source or a group of copies of any size spreads by its ids, and a range becomes as many
+    files as its tokens need. An empty table writes no file.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(partitions(spark), "doc_id")
-    files = saved(dealt.mapInArrow(write_shards(folder, tokenizer, end_id), "shard int, file string, n_docs long, n_tokens long"), "wavelet-files")
-    return files.withColumn("start", F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    files = saved(dealt.mapInArrow(write_shards(folder, tokenizer, end_id), "shard int, part int, file string, n_docs long, n_tokens long"), "wavelet-files")
+    passing(spark, folder)
+    return files.withColumn("start", F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row per file
 
 
 def contents(files: DataFrame, folder: str) -> DataFrame:
