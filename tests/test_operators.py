@@ -271,7 +271,8 @@ def test_mask_pixels_take_every_fourth(spark):
 def test_config():
     assert config.merged({"a": {"b": 1, "c": 2}, "d": [1]}, {"a": {"b": 99}, "d": [99]}) == {"a": {"b": 99, "c": 2}, "d": [99]}
     assert config.load('{"_x": 1, "a": {"_y": 2, "b": [{"_z": 1}]}}') == {"a": {"b": [{}]}}
-    assert config.stage("label", "three_votes")["n_votes"] == 3 and config.stage("label", "three_votes", {"n_votes": 5, "temperature": None})["n_votes"] == 5
+    assert config.stage("label", "qwen3vl_vote3")["n_votes"] == 3 and config.stage("label", "qwen3vl_vote3", {"n_votes": 5, "vote_temperature": None})["n_votes"] == 5
+    assert config.stage("match")["emit_occlusion_negatives"] is True and config.stage("sample", "default")["sampling"] == "adaptive"
     with pytest.raises(KeyError):
         config.stage("sample", overrides={"nope": 1})
     assert config.pair_config("scannet", {"quality": 0.3, "tasks": {"t": {"angle": 5.0}}}).tasks["t"].angle == 5.0

@@ -158,13 +158,13 @@ def probed_points(pairs: DataFrame, depth: DepthAt, k: tuple[float, ...], image:
     return rows.select(*keys, "way", u.alias("u"), v.alias("v"), "tu", "tv", "tz", "in_bounds", hidden.alias("occluded"))
 
 
-def probed(pairs: DataFrame, depth: DepthAt, k: tuple[float, ...], image: tuple[int, int], cells: tuple[int, int]) -> DataFrame:
-    """pairs, without their poses, with overlap and occluded_frac: shares of all lattice points, both ways averaged.
+def probed(pairs: DataFrame, depth: DepthAt, k: tuple[float, ...], image: tuple[int, int], cells: tuple[int, int], used: tuple[str, ...] = ("pose", "depth", "k")) -> DataFrame:
+    """pairs, without the columns that only the probe needs (used, of either frame), with overlap and occluded_frac: shares of all lattice points, both ways averaged.
 
     The points of a pair stay within its row's task: the sum over them is a partial aggregate by the pair's columns, so only
     one row per pair is shuffled and the pairs are worked out once.
     """
-    keys = [c for c in pairs.columns if c not in ("pose_a", "pose_b")]
+    keys = [c for c in pairs.columns if c not in {f"{n}_{s}" for n in used for s in "ab"}]
     points = probed_points(pairs, depth, k, image, cells, keys)
     share = lambda c: F.sum(F.col(c).cast("int")) / F.lit(2.0 * GRID * GRID)
     return points.groupBy(*keys).agg(share("in_bounds").alias("overlap"), share("occluded").alias("occluded_frac"))

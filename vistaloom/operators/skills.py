@@ -74,7 +74,7 @@ def cross_point(pairs: DataFrame, matches: DataFrame, masks: DataFrame | None =
 def cross_object(pairs: DataFrame, matches: DataFrame, masks: DataFrame | None = None, overlap=(0.15, 0.30), score: float = 0.25, share: float = 0.005, size=(640, 480), least: int = 1) -> DataFrame:
     """Matches whose target is labelled, well scored, large enough and inside the image."""
     u, v = F.col("u"), F.col("v")
-    fraction = F.col("tgt_area") / (size[0] * size[1])
+    fraction = F.col("tgt_mask_area" if "tgt_mask_area" in matches.columns else "tgt_area") / (size[0] * size[1])
     good = matches.where("visible and tgt_mask >= 0").where((name_of(F.col("tgt_label")) != "") & (F.col("tgt_score") >= score) & (fraction >= share) & (u >= 0) & (u < size[0]) & (v >= 0) & (v < size[1]))
     rows = pairs.where(within(*overlap) & shifted()).join(good, "pair_id")
     shared = F.struct(

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from vistaloom.functions import geometry as g
 from vistaloom.functions import text as tx
 from vistaloom.operators import curate, emit
-from vistaloom.plans.lifts import SKILLS
+from vistaloom.operators.pairs import candidates
+from vistaloom.plans.frame_queries import CONFIG, GATED
+from vistaloom.plans.lifts import SKILLS, frames
 from vistaloom.plans.registry import Tables, query
 
 W, H, CAP = 640, 480, 40
@@ -115,12 +117,11 @@ def k6(t: Tables) -> DataFrame:
     return emit.rounded(scaled, ["price", "quantity"], 2)
 
 
-@query("k8_view_to_scored", "with p as (select a.scene_id, a.frame_no s, b.frame_no t from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord = a.ord + 4) select 'lifted' adapter, scene_id, s::varchar src_id, t::varchar tgt_id, scene_id || '/color/' || s || '.jpg' image_src, scene_id || '/color/' || t || '.jpg' image_tgt from p")
+@query("k8_view_to_scored", f"with {GATED}, p as (select scene_id, 10 * ord_a s, 10 * ord_b t from gated) select 'lifted' adapter, scene_id, s::varchar src_id, t::varchar tgt_id, scene_id || '/color/' || s || '.jpg' image_src, scene_id || '/color/' || t || '.jpg' image_tgt from p")
 def k8(t: Tables) -> DataFrame:
     f = t.lift("l_frames").select("scene_id", "ord", F.col("frame_no").cast("string").alias("id"))
     images = f.select("scene_id", "id", F.concat("scene_id", F.lit("/color/"), "id", F.lit(".jpg")).alias("image"))
-    a, b = f.alias("a"), f.alias("b")
-    pairs = a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") == F.col("a.ord") + 4)).select(F.lit("lifted").alias("adapter"), "a.scene_id", F.col("a.id").alias("src_id"), F.col("b.id").alias("tgt_id"))
+    pairs = candidates(frames(t), CONFIG).select(F.lit("lifted").alias("adapter"), "scene_id", F.col("frame_id_a").alias("src_id"), F.col("frame_id_b").alias("tgt_id"))
     for s in ("src", "tgt"):
         pairs = pairs.join(images.select("scene_id", F.col("id").alias(f"{s}_id"), F.col("image").alias(f"image_{s}")), ["scene_id", f"{s}_id"], "left")
     return pairs.select("adapter", "scene_id", "src_id", "tgt_id", "image_src", "image_tgt")

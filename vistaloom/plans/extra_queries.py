@@ -18,20 +18,11 @@ from vistaloom.plans.vision_queries import H, W, greedy_sql, iou_sql
 
 @query(
     "f15_seed_erosion",
-    """with r as (select o_orderkey frame, 3 + o_orderkey % 28 w, 4 + o_custkey % 25 h from orders where o_orderkey % 10 = 0)
+    """with r as (select o_orderkey frame, 3 + o_orderkey % 28 w, 4 + o_custkey % 25 h from orders)
 select frame, case when w > 10 and h > 10 then (w - 10) * (h - 10) else w * h end area from r""",
 )
 def f15(t: Tables) -> DataFrame:
-    return eroded(t.orders.where("o_orderkey % 10 = 0"))
-
-
-@query("f15b_seed_erosion_all")
-def f15b(t: Tables) -> DataFrame:
-    return eroded(t.orders)
-
-
-def eroded(orders: DataFrame) -> DataFrame:
-    o = orders.select(F.col("o_orderkey").alias("frame"), F.lit(0).alias("mask"), F.lit(7).alias("m0"), F.lit(9).alias("n0"), (10 + F.col("o_orderkey") % 28).cast("int").alias("m1"), (13 + F.col("o_custkey") % 25).cast("int").alias("n1"))
+    o = t.orders.select(F.col("o_orderkey").alias("frame"), F.lit(0).alias("mask"), F.lit(7).alias("m0"), F.lit(9).alias("n0"), (10 + F.col("o_orderkey") % 28).cast("int").alias("m1"), (13 + F.col("o_custkey") % 25).cast("int").alias("n1"))
     return match.eroded_areas(vision.run_lengths(o, ["frame"]), ["frame"]).drop("mask")
 
 
@@ -52,13 +43,8 @@ def f37(t: Tables) -> DataFrame:
     return p.select("l_orderkey", "line", F.explode(views).alias("view", "x")).where("x is not null")
 
 
-@query("s21_scenes", "select scene_id, count(*) n from l_all group by scene_id order by scene_id limit 12")
+@query("s21_scenes", "select scene_id, count(*) n from l_all group by scene_id")
 def s21(t: Tables) -> DataFrame:
-    return t.lift("l_all").groupBy("scene_id").agg(F.count(F.lit(1)).alias("n")).orderBy("scene_id").limit(12)
-
-
-@query("s21b_scenes_all")
-def s21b(t: Tables) -> DataFrame:
     return t.lift("l_all").groupBy("scene_id").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vistaloom.functions import geometry as g
@@ -43,23 +43,14 @@ def p1(t: Tables) -> DataFrame:
     """
 with ids as (select scene_id, ord, case when event_id % 13 = 0 then 'f' || frame_no else frame_no::varchar end id from l_frames)
 select a.scene_id, a.ord ord_a, b.ord ord_b, abs(try_cast(a.id as int) - try_cast(b.id as int)) gap
-from ids a join ids b on a.scene_id = b.scene_id and b.ord between a.ord + 1 and a.ord + 5
+from ids a join ids b on a.scene_id = b.scene_id and b.ord > a.ord
 where coalesce(abs(try_cast(a.id as int) - try_cast(b.id as int)) >= 40, true)
 """,
 )
 def p2(t: Tables) -> DataFrame:
-    return gaps(t, F.col("b.ord").between(F.col("a.ord") + 1, F.col("a.ord") + 5))
-
-
-@query("p2b_frame_gap_all")
-def p2b(t: Tables) -> DataFrame:
-    return gaps(t, F.col("b.ord") > F.col("a.ord"))
-
-
-def gaps(t: Tables, which: Column) -> DataFrame:
     ids = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("f"), "frame_id")).otherwise(F.col("frame_id")).alias("id"))
     a, b = ids.alias("a"), ids.alias("b")
-    met = a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & which)
+    met = a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") > F.col("a.ord")))
     return met.where(g.gap_passes(F.col("a.id"), F.col("b.id"), 40)).select("a.scene_id", F.col("a.ord").alias("ord_a"), F.col("b.ord").alias("ord_b"), g.frame_gap(F.col("a.id"), F.col("b.id")).alias("gap"))
 
 
@@ -236,32 +227,16 @@ def j2(t: Tables) -> DataFrame:
     return probe(t).select("scene_id", "ord_a", "ord_b", "overlap", "occluded_frac")
 
 
-@query("x25_lattice_dump", f"with {probe_sql()} select scene_id, ord_a, ord_b, round(u, 2) u, round(v, 2) v, inside hit from probed where way = 'ab' and ord_b = ord_a + 4")
+@query("x25_lattice_dump", f"with {probe_sql()} select scene_id, ord_a, ord_b, round(u, 2) u, round(v, 2) v, inside hit from probed where way = 'ab'")
 def x25(t: Tables) -> DataFrame:
-    return lattice_points(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")).where("ord_b = ord_a + 4"))
-
-
-@query("x25b_lattice_dump_all")
-def x25b(t: Tables) -> DataFrame:
-    return lattice_points(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")))
-
-
-def lattice_points(some: DataFrame) -> DataFrame:
+    some = pairs.candidates(frames(t), CONFIG, ("pose", "event_id"))
     points = pairs.probed_points(some, depth_of_pair, K, IMAGE, CELLS, ["scene_id", "ord_a", "ord_b"]).where("way = 'ab'")
     return points.select("scene_id", "ord_a", "ord_b", F.round("u", 2).alias("u"), F.round("v", 2).alias("v"), F.col("in_bounds").alias("hit"))
 
 
-@query("f8_reproject", f"with {probe_sql()} select scene_id, ord_a, ord_b, round(u, 2) u, round(v, 2) v, round(tu, 3) tu, round(tv, 3) tv, round(tz, 4) tz, inside from probed where way = 'ab' and ord_b = ord_a + 5 and z > 0")
+@query("f8_reproject", f"with {probe_sql()} select scene_id, ord_a, ord_b, round(u, 2) u, round(v, 2) v, round(tu, 3) tu, round(tv, 3) tv, round(tz, 4) tz, inside from probed where way = 'ab' and z > 0")
 def f8(t: Tables) -> DataFrame:
-    return landed(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")).where("ord_b = ord_a + 5"))
-
-
-@query("f8b_reproject_all")
-def f8b(t: Tables) -> DataFrame:
-    return landed(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")))
-
-
-def landed(some: DataFrame) -> DataFrame:
+    some = pairs.candidates(frames(t), CONFIG, ("pose", "event_id"))
     points = pairs.probed_points(some, depth_of_pair, K, IMAGE, CELLS, ["scene_id", "ord_a", "ord_b"]).where("way = 'ab' and tz is not null")
     return points.select("scene_id", "ord_a", "ord_b", F.round("u", 2).alias("u"), F.round("v", 2).alias("v"), F.round("tu", 3).alias("tu"), F.round("tv", 3).alias("tv"), R4("tz").alias("tz"), F.col("in_bounds").alias("inside"))
 

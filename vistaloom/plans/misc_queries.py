@@ -341,17 +341,9 @@ def x15(t: Tables) -> DataFrame:
     return t.lift("l_frames").select("scene_id", "ord").join(t.lift("l_verdicts").select("scene_id", "ord", "usable"), ["scene_id", "ord"], "left").select("scene_id", "ord", F.coalesce("usable", F.lit(False)).alias("keep"))
 
 
-@query("a2_probe_ratios", f"with {probe_sql()} select scene_id, ord_a, ord_b, way, count(*) filter (inside) / 25 in_bounds, count(*) filter (hidden) / 25 occluded from probed where ord_b <= ord_a + 6 group by all")
+@query("a2_probe_ratios", f"with {probe_sql()} select scene_id, ord_a, ord_b, way, count(*) filter (inside) / 25 in_bounds, count(*) filter (hidden) / 25 occluded from probed group by all")
 def a2(t: Tables) -> DataFrame:
-    return ratios(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")).where("ord_b <= ord_a + 6"))
-
-
-@query("a2b_probe_ratios_all")
-def a2b(t: Tables) -> DataFrame:
-    return ratios(pairs.candidates(frames(t), CONFIG, ("pose", "event_id")))
-
-
-def ratios(some: DataFrame) -> DataFrame:
+    some = pairs.candidates(frames(t), CONFIG, ("pose", "event_id"))
     points = pairs.probed_points(some, lambda w, i, j: depth(F.col(f"event_id_{w}"), i, j), K, IMAGE, CELLS, ["scene_id", "ord_a", "ord_b"])
     share = lambda c: F.avg(F.col(c).cast("int"))
     return points.groupBy("scene_id", "ord_a", "ord_b", "way").agg(share("in_bounds").alias("in_bounds"), share("occluded").alias("occluded"))

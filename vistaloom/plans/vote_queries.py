@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,19 +56,14 @@ def every(t: Tables) -> DataFrame:
     return a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") > F.col("a.ord"))).select("a.scene_id", F.col("a.ord").alias("ord_a"), F.col("b.ord").alias("ord_b"))
 
 
-def near(t: Tables) -> DataFrame:
-    """Those up to eight positions apart."""
-    return every(t).where("ord_b - ord_a <= 8")
-
-
-def gated(t: Tables, which: Callable[[Tables], DataFrame] = near) -> DataFrame:
+def gated(t: Tables) -> DataFrame:
     f = frames(t).where(g.finite_pose(F.col("pose"))).select("scene_id", "ord", g.floor_yaw(g.optical_axis(F.col("pose"))).alias("yaw"))
     sets = visibility.frame_sets(shown(t))
-    return visibility.cosmic(which(t), f, sets, visibility.scene_sets(sets))
+    return visibility.cosmic(every(t), f, sets, visibility.scene_sets(sets))
 
 
 COSMIC = f"""with {SETS}, near as (
-  select a.scene_id, a.ord ord_a, b.ord ord_b, abs(degrees(atan2(a.ay, a.ax)) - degrees(atan2(b.ay, b.ax))) y from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord between a.ord + 1 and a.ord + 8
+  select a.scene_id, a.ord ord_a, b.ord ord_b, abs(degrees(atan2(a.ay, a.ax)) - degrees(atan2(b.ay, b.ax))) y from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord > a.ord
 ), seen as (
   select n.*, s.ids ia, u.ids ib, n_scene, list_intersect(s.ids, u.ids) both_ids, list_distinct(list_concat(s.ids, u.ids)) any_ids
   from near n left join sets s on s.scene_id = n.scene_id and s.ord = ord_a left join sets u on u.scene_id = n.scene_id and u.ord = ord_b left join scenes c on c.scene_id = n.scene_id
@@ -85,11 +78,6 @@ def p11(t: Tables) -> DataFrame:
     return gated(t).select("scene_id", "ord_a", "ord_b", "reason")
 
 
-@query("p11b_cosmic_gate_all")
-def p11b(t: Tables) -> DataFrame:
-    return gated(t, every).select("scene_id", "ord_a", "ord_b", "reason")
-
-
 @query("u2_set_algebra", f"{COSMIC} select scene_id, ord_a, ord_b, array_to_string(list_sort(both_ids), ',') both_ids, array_to_string(list_sort(any_ids), ',') any_ids, round(len(any_ids) / n_scene, 6) coverage from judged where reason is null")
 def u2(t: Tables) -> DataFrame:
     text = lambda c: F.array_join(F.array_sort(c).cast("array<string>"), ",")
@@ -164,16 +152,8 @@ def a8(t: Tables) -> DataFrame:
     return votes.vocabulary(t.lift("l_items").withColumn("scene", F.col("frame") % 20), ["scene"], ["frame", "run", "item"])
 
 
-@query("j12_canonical_lookup", f"with {ITEMS}, voc as (select lower(obj) o, arg_max(lower(canon), (frame, run, item)) c from items where frame % 20 = 3 group by all) select i.frame, i.run, i.item, coalesce(c, i.obj) canonical from items i left join voc on lower(i.obj) = o where i.frame % 20 = 4")
+@query("j12_canonical_lookup", f"with {ITEMS}, voc as (select frame % 20 s, lower(obj) o, arg_max(lower(canon), (frame, run, item)) c from items group by all) select i.frame, i.run, i.item, coalesce(c, i.obj) canonical from items i left join voc on lower(i.obj) = o and i.frame % 20 = s")
 def j12(t: Tables) -> DataFrame:
-    items = t.lift("l_items")
-    voc = votes.vocabulary(items.where("frame % 20 = 3").withColumn("one", F.lit(1)), ["one"], ["frame", "run", "item"]).select(F.col("object").alias("of"), F.col("canonical").alias("name"))
-    rows = votes.clean_items(items.where("frame % 20 = 4"))
-    return rows.join(voc, F.lower("obj") == F.col("of"), "left").select("frame", "run", "item", F.coalesce("name", "obj").alias("canonical"))
-
-
-@query("j12b_canonical_lookup_by_scene")
-def j12b(t: Tables) -> DataFrame:
     items = t.lift("l_items").withColumn("scene", F.col("frame") % 20)
     voc = votes.vocabulary(items, ["scene"], ["frame", "run", "item"]).select("scene", F.col("object").alias("of"), F.col("canonical").alias("name"))
     rows = votes.clean_items(items).withColumn("of", F.lower("obj"))
@@ -201,32 +181,18 @@ def f22(t: Tables) -> DataFrame:
 
 @query(
     "f23_label_parse",
-    """with good as (select frame, case frame % 7 when 0 then answer when 1 then '[{"object": " lamp ", "canonical": ""}, {"name": "x"}]' when 2 then '[{"object": "a[1]", "canonical": "b"}]' end::json j from l_json where frame % 7 < 3)
+    """with good as (select frame, case frame % 7 when 0 then answer when 1 then '[{"object": " lamp ", "canonical": ""}, {"name": "x"}]' when 2 then '[{"object": "a[1]", "canonical": "b"}]' when 5 then concat('[{"object": "q', chr(92), '"]"}]') end::json j from l_json)
 select frame, n, "object", canonical from (select frame, k n, json_extract_string(j, '$[' || k || '].object') "object", json_extract_string(j, '$[' || k || '].canonical') canonical from good, range(2) t(k)) where "object" is not null""",
 )
 def f23(t: Tables) -> DataFrame:
-    return label_rows(t.lift("l_json").where("frame % 7 < 3"))
-
-
-@query("f23b_label_parse_all")
-def f23b(t: Tables) -> DataFrame:
-    return label_rows(t.lift("l_json"))
-
-
-def label_rows(answers: DataFrame) -> DataFrame:
-    rows = answers.select("frame", salvage.label_items(F.col("answer")).alias("items"))
+    rows = t.lift("l_json").select("frame", salvage.label_items(F.col("answer")).alias("items"))
     return rows.select("frame", F.posexplode("items").alias("n", "item")).select("frame", F.col("n").cast("long").alias("n"), "item.object", "item.canonical")
 
 
-@query("p12_filter_pairs", """with near as (select a.scene_id, a.ord ord_a, b.ord ord_b from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord between a.ord + 1 and a.ord + 8)
+@query("p12_filter_pairs", """with near as (select a.scene_id, a.ord ord_a, b.ord ord_b from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord > a.ord)
 select n.scene_id, ord_a, ord_b, case when a.usable = false then 'qwen_filter:src:' || a.reason when b.usable = false then 'qwen_filter:tgt:' || b.reason end reason
 from near n left join l_verdicts a on a.scene_id = n.scene_id and a.ord = ord_a left join l_verdicts b on b.scene_id = n.scene_id and b.ord = ord_b""")
 def p12(t: Tables) -> DataFrame:
-    return votes.apply_filter(near(t), t.lift("l_verdicts")).select("scene_id", "ord_a", "ord_b", "reason")
-
-
-@query("p12b_filter_pairs_all")
-def p12b(t: Tables) -> DataFrame:
     return votes.apply_filter(every(t), t.lift("l_verdicts")).select("scene_id", "ord_a", "ord_b", "reason")
 
 
@@ -251,13 +217,8 @@ def x18(t: Tables) -> DataFrame:
     return rows.groupBy("scene_id").agg(F.count_if(F.col("held").isNull()).alias("missing")).withColumn("complete", F.col("missing") == 0)
 
 
-@query("u1_frames_of_pairs", "with near as (select a.scene_id, a.ord ord_a, b.ord ord_b from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord between a.ord + 1 and a.ord + 8) select scene_id, ord_a ord from near union select scene_id, ord_b from near")
+@query("u1_frames_of_pairs", "with near as (select a.scene_id, a.ord ord_a, b.ord ord_b from l_frames a join l_frames b on a.scene_id = b.scene_id and b.ord > a.ord) select scene_id, ord_a ord from near union select scene_id, ord_b from near")
 def u1(t: Tables) -> DataFrame:
-    return near(t).select("scene_id", F.explode(F.array("ord_a", "ord_b")).alias("ord")).distinct()
-
-
-@query("u1b_frames_of_pairs_all")
-def u1b(t: Tables) -> DataFrame:
     return every(t).select("scene_id", F.explode(F.array("ord_a", "ord_b")).alias("ord")).distinct()
 
 
@@ -266,18 +227,9 @@ def p19(t: Tables) -> DataFrame:
     return shown(t).groupBy("scene_id", "ord").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
 
 
-@query("p18_instance_extraction", f"with {SHOWN} select scene_id, ord, inst_id, row_number() over (partition by scene_id, ord order by n_px desc, inst_id) place from shown where inst_id <> 0 qualify place <= 5")
+@query("p18_instance_extraction", f"with {SHOWN} select scene_id, ord, inst_id, row_number() over (partition by scene_id, ord order by n_px desc, inst_id) place from shown where inst_id <> 0 qualify place <= 50")
 def p18(t: Tables) -> DataFrame:
-    return largest(t, 5)
-
-
-@query("p18b_instance_extraction_50")
-def p18b(t: Tables) -> DataFrame:
-    return largest(t, 50)
-
-
-def largest(t: Tables, most: int) -> DataFrame:
     from pyspark.sql import Window
 
     w = Window.partitionBy("scene_id", "ord").orderBy(F.desc("n_px"), "inst_id")
-    return shown(t).where("inst_id <> 0").withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= most).select("scene_id", "ord", "inst_id", "place")
+    return shown(t).where("inst_id <> 0").withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= 50).select("scene_id", "ord", "inst_id", "place")

@@ -36,31 +36,36 @@ def read_png(data: bytes) -> np.ndarray:
         raise ValueError("this kind of PNG is not read")
     step, line = channels * bits // 8, width * channels * bits // 8
     raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, line + 1)
-    out = np.zeros((height + 1, line + step), np.int32)  # a row and a pixel of zeros before the first
-    for y in range(height):
-        kind, x, above = raw[y, 0], raw[y, 1:].astype(np.int32), out[y, step:]
-        row = out[y + 1]
-        if kind == 0:
-            row[step:] = x
-        elif kind == 1:
-            row[step:] = (np.cumsum(x.reshape(-1, step), axis=0) & 255).ravel()
-        elif kind == 2:
-            row[step:] = (x + above) & 255
-        else:
-            for k in range(line):
-                a, b, c = row[k], above[k], out[y, k]
-                if kind == 3:
-                    guess = (a + b) // 2
-                else:
-                    p = a + b - c
-                    pa, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-                    guess = a if pa <= pb and pa <= pc else b if pb <= pc else c
-                row[k + step] = (x[k] + guess) & 255
-    flat = out[1:, step:].astype(np.uint8)
+    flat = unfiltered(raw[:, 0], raw[:, 1:].reshape(height, width, step)).reshape(height, line)
     values = flat.reshape(height, -1) if bits == 8 else flat.reshape(height, -1, 2).astype(np.uint16) @ np.array([256, 1], np.uint16)
     return values if channels == 1 else values.reshape(height, width, channels)
 
 
+def unfiltered(kinds: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A PNG's bytes (row, pixel, byte of pixel) without its rows' filters.
+
+    Rows that look at no other byte, to the left only or up only are done whole; where there are others, all pixels of one
+    diagonal are done together, as each needs only its left, upper and upper left neighbours.
+    """
+    height, width, step = x.shape
+    out = np.zeros((height + 1, width + 1, step), np.int32)  # a row and a pixel of zeros before the first
+    if (kinds < 3).all():
+        for y in range(height):
+            out[y + 1, 1:] = x[y] if kinds[y] == 0 else np.cumsum(x[y].astype(np.int32), axis=0) & 255 if kinds[y] == 1 else (x[y] + out[y, 1:]) & 255
+        return out[1:, 1:].astype(np.uint8)
+    for d in range(height + width - 1):
+        y = np.arange(max(0, d - width + 1), min(height, d + 1))
+        c = d - y
+        left, above, corner = out[y + 1, c], out[y, c + 1], out[y, c]
+        p = left + above - corner
+        pa, pb, pc = np.abs(p - left), np.abs(p - above), np.abs(p - corner)
+        paeth = np.where((pa <= pb) & (pa <= pc), left, np.where(pb <= pc, above, corner))
+        kind = kinds[y][:, None]
+        guess = np.select([kind == 1, kind == 2, kind == 3, kind == 4], [left, above, (left + above) // 2, paeth], 0)
+        out[y + 1, c + 1] = (x[y, c] + guess) & 255
+    return out[1:, 1:].astype(np.uint8)
+
+
 def write_png(values: np.ndarray) -> bytes:
     """A grey PNG of 8 or 16 bits."""
     bits = 16 if values.dtype == np.uint16 else 8
@@ -87,7 +92,13 @@ def depth_rasters(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 
 def instance_pixels(spark: SparkSession, path: str, frame_ids: list[str] | None = None) -> DataFrame:
-    """(member, inst_id, n_px) of label rasters: PNG files of a folder, or members of zip files there; a broken file gives nothing."""
+    """(member, inst_id, n_px) of label rasters, as instance_rasters() has them."""
+    ids = instance_rasters(spark, path, frame_ids).select("member", F.explode("ids").alias("inst_id"))
+    return ids.groupBy("member", F.col("inst_id").cast("long").alias("inst_id")).agg(F.count(F.lit(1)).alias("n_px"))
+
+
+def instance_rasters(spark: SparkSession, path: str, frame_ids: list[str] | None = None) -> DataFrame:
+    """(member, width, height, ids) of label rasters in row-major order: PNG files of a folder, or members of zip files there; a broken file gives nothing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.col("path").rlike(r"\.(png|zip)$")).select("path", "content")
 
     def members(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
@@ -107,7 +118,10 @@ def instance_pixels(spark: SparkSession, path: str, frame_ids: list[str] | None
             for name, content in zip(b["path"], b["content"], strict=True):
                 for member, png in members(name, content):
                     if frame_ids is None or member.removesuffix(".png") in frame_ids:
-                        ids, n = np.unique(read_png(png), return_counts=True)
-                        yield pd.DataFrame({"member": member, "inst_id": ids.astype(np.int64), "n_px": n})
+                        try:
+                            found = read_png(png)
+                        except (ValueError, zlib.error, struct.error):
+                            continue
+                        yield pd.DataFrame({"member": [member], "width": [found.shape[1]], "height": [found.shape[0]], "ids": [found.astype(np.int32).ravel()]})
 
-    return files.mapInPandas(counted, "member string, inst_id long, n_px long")
+    return files.mapInPandas(counted, "member string, width int, height int, ids array<int>")

@@ -43,8 +43,8 @@ def strict_json(spark: SparkSession, path: str, schema: str = SCORED) -> DataFra
 
 
 def frames_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of frame references, in order; a name with a slash is an error."""
-    rows = spark.read.schema(FRAME).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    """A JSON array of frame references, or a folder of them as JSON lines; a name with a slash is an error."""
+    rows = spark.read.schema(FRAME).option("multiLine", _entries(spark, path) == [""]).option("mode", "FAILFAST").json(path)
     bad = F.concat_ws(" ", "adapter", "scene_id", "frame_id").rlike(r"[/\\]")
     return rows.where(F.when(bad, F.raise_error(F.lit("a frame key holds a slash"))).otherwise(F.lit(True)))
 
@@ -72,17 +72,20 @@ def manifest_tree(spark: SparkSession, root: str, skills: list[str] | None = Non
 def load(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     """(kind, rows) of a stage's artifact, told by its name and first row: frames, pairs, manifests or unknown.
 
-    A folder is searched for frames.json, pairs.scored.jsonl and pairs.jsonl, in this order.
+    An artifact is a file, or a folder that Spark wrote. A folder whose name has no such ending is searched for frames.json,
+    pairs.scored.jsonl and pairs.jsonl, in this order; one with Spark's part files is an artifact, told by its first row.
     """
     names = _entries(spark, path)
-    if names != [""]:
+    parts = any(n.startswith("part-") for n in names)
+    ending = path.rstrip("/").rpartition("/")[2].rpartition(".")[2]
+    if names != [""] and not parts and ending not in ("json", "jsonl"):
         for n in ("frames.json", "pairs.scored.jsonl", "pairs.jsonl"):
             if n in names:
                 return load(spark, f"{path}/{n}")
         raise ValueError(f"no artifact of a stage in {path}")
-    if path.endswith(".json"):
+    if ending == "json":
         return "frames", frames_json(spark, path)
-    if not path.endswith(".jsonl"):
+    if ending != "jsonl" and not parts:
         raise ValueError(f"unknown kind of file: {path}")
     first = spark.read.text(path).where(F.trim("value") != "").select(F.json_object_keys("value").alias("k")).take(1)
     if not first:
@@ -92,6 +95,8 @@ def load(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
         return "manifests", tolerant_json(spark, path, MANIFEST)
     if {"src_id", "tgt_id", "overlap"} <= keys:
         return "pairs", strict_json(spark, path)
+    if {"adapter", "scene_id", "frame_id", "image_path"} <= keys:
+        return "frames", frames_json(spark, path)
     raise ValueError(f"rows of an unknown kind in {path}")
 
 
@@ -151,3 +156,39 @@ def aggregation(spark: SparkSession, path: str) -> DataFrame:
 
 def scannetpp(spark: SparkSession, root: str) -> DataFrame:
     raise NotImplementedError("the layout of this source is not read yet")
+
+
+IMAGE_KINDS = {"scannet": ("jpg",), "matterport": ("jpg", "jpeg", "png")}
+
+
+def full_frames(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """Frames of scene folders with all that they have: image_path, pose, k, and the depth raster in metres with its size.
+
+    A pose with a value that isn't finite is all NaN; a frame without a pose file has none. k is the frame's own camera
+    matrix where the source has such, else the scene's. Listing, poses and rasters are scans of their own, so that a plan
+    that needs poses only reads poses only.
+    """
+    if source not in IMAGE_KINDS:
+        return scannetpp(spark, root)
+    from vistaloom.sources import rasters
+
+    keys = ["scene_id", "frame_id"]
+    poses = scene_poses(spark, root)
+    sound = F.forall("pose", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    poses = poses.withColumn("pose", F.when(sound, F.col("pose")).otherwise(F.transform("pose", lambda x: F.lit(float("nan")))))
+    found = scene_images(spark, root, IMAGE_KINDS[source]).join(poses, keys, "left")
+    return with_intrinsics(found, *intrinsics(spark, root)).join(rasters.depth_rasters(spark, root, source), keys, "left")
+
+
+#: Sources by name: a function of (spark, root) that gives frames. A new source is an entry.
+ADAPTERS = {
+    "scannet": lambda spark, root: full_frames(spark, root, "scannet"),
+    "matterport": lambda spark, root: full_frames(spark, root, "matterport"),
+    "scannet++": scannetpp,
+}
+
+
+def frames_of_source(spark: SparkSession, name: str, root: str) -> DataFrame:
+    if name not in ADAPTERS:
+        raise KeyError(f"no source {name!r}; there are {sorted(ADAPTERS)}")
+    return ADAPTERS[name](spark, root)

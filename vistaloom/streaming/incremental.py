@@ -7,11 +7,14 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vistaloom.functions import geometry as g
 
+#: Folders of a cache that streams fill.
+BUCKETS = 64
+
 
 def first_in_voxel(matches: DataFrame, size: float = 0.05, lateness: str | None = None) -> DataFrame:
     """First arrivals per scene, polarity and voxel. With lateness, state is dropped once `ts` is that much behind."""
@@ -57,20 +60,46 @@ def keyframes(frames: DataFrame, least_translation: float = 0.2, least_rotation:
 def top_up(source: DataFrame, cache: str, keys: list[str], compute: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
     """Fills a Parquet cache with what compute gives for keys that it doesn't hold yet, batch by batch.
 
-    A batch that is run again after a failure finds its keys in the cache and adds nothing.
+    A batch that is run again after a failure finds its keys in the cache and adds nothing. The cache lies in buckets by a
+    hash of the keys, and a batch reads the keys of its own buckets only.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
     def fill(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
+        new = batch.dropDuplicates(keys).withColumn("bucket", bucket)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache)
         if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            new = new.join(spark.read.parquet(cache).select(*keys), keys, "left_anti")
-        compute(new).write.mode("append").parquet(cache)
+            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+            held = spark.read.parquet(cache).where(F.col("bucket").isin(*touched)).select("bucket", *keys)
+            new = new.join(held, ["bucket", *keys], "left_anti")
+        compute(new.drop("bucket")).withColumn("bucket", bucket).write.mode("append").partitionBy("bucket").parquet(cache)
 
     return source.writeStream.foreachBatch(fill).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class Progress(StreamingQueryListener):
+    """Passes on how many items of each stream are done, as batches come through: (name, batch, items so far)."""
+
+    def __init__(self, tell: Callable[[str, int, int], None]):
+        self.tell, self.done = tell, {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802  the listener's names
+        self.done[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        run = str(p.runId)
+        self.done[run] = self.done.get(run, 0) + int(p.numInputRows)
+        self.tell(p.name or str(p.id), p.batchId, self.done[run])
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.done.pop(str(event.runId), None)
+
+
 def windowed_counts(events: DataFrame, width: str = "1 hour", lateness: str = "2 hours") -> DataFrame:
     """Records per window and kind; windows close when the watermark passes them."""
     return events.withWatermark("ts", lateness).groupBy(F.window("ts", width), "event_type").agg(F.count(F.lit(1)).alias("n"))
