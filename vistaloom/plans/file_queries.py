@@ -413,7 +413,7 @@ def x12(t: Tables) -> DataFrame:
     rows = masks_with_boxes(t)
     mask = [F.col(c).cast("double") for c in ("m0", "n0", "m1", "n1")]
     kept = rows.where((F.col("area") >= int(0.05 * W * H)) & (g.box_iou(mask, vision.box()) >= 0.5))
-    found = vision.suppressed_masks(kept.select("frame", "mask", "score"), vision.run_lengths(kept, ["frame"]), ["frame"], 0.4)
+    found = vision.suppressed_masks(vision.bands(kept, ["frame"], ("score",), empty=True), ["frame"], 0.4)
     return found.withColumn("place", F.col("place").cast("long"))
 
 

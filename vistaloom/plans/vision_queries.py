@@ -69,30 +69,27 @@ MASK_IOU = f"{RECT}, ious as (select a.frame, a.det mask_a, b.det mask_b, {iou_s
 
 @query("f11_mask_iou", f"with {MASK_IOU} select frame, mask_a, mask_b, round(iou + 1e-9, 4) iou from ious where iou > 0")
 def f11(t: Tables) -> DataFrame:
-    runs = vision.run_lengths(rects(t), ["frame"])
-    return vision.mask_overlaps(runs, runs, ["frame"], same=True).select("frame", "mask_a", "mask_b", R4("iou").alias("iou"))
+    masks = vision.bands(rects(t), ["frame"])
+    return vision.mask_overlaps(masks, masks, ["frame"], same=True).select("frame", "mask_a", "mask_b", R4("iou").alias("iou"))
 
 
 @query("w6_mask_nms", f"with recursive {RECT}, ranked as (select *, row_number() over (partition by frame order by score desc, det) n from rects), {greedy_sql('frame', 'm0 n0 m1 n1', iou_sql('k', 'r', 'm0 n0 m1 n1', 'm0 n0 m1 n1') + ' >= 0.4')} select r.frame, r.det mask, row_number() over (partition by r.frame order by n) place from ranked r join step using (frame, n) where keep")
 def w6(t: Tables) -> DataFrame:
-    masks = rects(t)
-    found = vision.suppressed_masks(masks.select("frame", "mask", "score"), vision.run_lengths(masks, ["frame"]), ["frame"])
+    found = vision.suppressed_masks(vision.bands(rects(t), ["frame"], ("score",), empty=True), ["frame"])
     return found.withColumn("place", F.col("place").cast("long"))
 
 
 @query("j5_cross_mask_iou", f"with {RECT} select a.frame + 1 frame, a.det mask_a, b.det mask_b, round({iou_sql('a', 'b', 'm0 n0 m1 n1', 'm0 n0 m1 n1')} + 1e-9, 4) iou from rects a join rects b on b.frame = a.frame + 1 where {iou_sql('a', 'b', 'm0 n0 m1 n1', 'm0 n0 m1 n1')} > 0")
 def j5(t: Tables) -> DataFrame:
-    runs = vision.run_lengths(rects(t), ["frame"])
-    moved = runs.withColumn("frame", F.col("frame") + 1)  # the masks of a frame, reprojected in place into the next
-    return vision.mask_overlaps(moved, runs, ["frame"]).select("frame", "mask_a", "mask_b", R4("iou").alias("iou"))
+    masks = vision.bands(rects(t), ["frame"])
+    moved = masks.withColumn("frame", F.col("frame") + 1)  # the masks of a frame, reprojected in place into the next
+    return vision.mask_overlaps(moved, masks, ["frame"]).select("frame", "mask_a", "mask_b", R4("iou").alias("iou"))
 
 
 @query("j6_best_mask_iou", f"with {RECT}, best as (select a.frame + 1 frame, a.det mask, max({iou_sql('a', 'b', 'm0 n0 m1 n1', 'm0 n0 m1 n1')}) iou from rects a join rects b on b.frame = a.frame + 1 group by all) select r.frame + 1 frame, r.det mask, round(coalesce(iou, 0) + 1e-9, 4) iou from rects r left join best b on b.frame = r.frame + 1 and b.mask = r.det")
 def j6(t: Tables) -> DataFrame:
-    masks = rects(t)
-    runs = vision.run_lengths(masks, ["frame"])
-    best = vision.mask_overlaps(runs.withColumn("frame", F.col("frame") + 1), runs, ["frame"]).groupBy("frame", F.col("mask_a").alias("mask")).agg(F.max("iou").alias("iou"))
-    return masks.select((F.col("frame") + 1).alias("frame"), "mask").join(best, ["frame", "mask"], "left").select("frame", "mask", R4(F.coalesce("iou", F.lit(0.0))).alias("iou"))
+    masks = vision.bands(rects(t), ["frame"], empty=True)
+    return vision.best_overlaps(masks.withColumn("frame", F.col("frame") + 1), masks, ["frame"]).select("frame", "mask", R4("iou").alias("iou"))
 
 
 @query(
@@ -103,8 +100,7 @@ select frame, point, mask, round(d2 + 1e-9, 4) d2 from hits qualify row_number()
 )
 def j4(t: Tables) -> DataFrame:
     points = t.lift("l_gt").select("frame", F.col("inst").alias("point"), (F.col("x0") + 30).cast("int").alias("u"), (F.col("y0") + 25).cast("int").alias("v"))
-    masks = rects(t)
-    return vision.nearest_mask(points, vision.run_lengths(masks, ["frame"]), masks.select("frame", "mask", "cu", "cv"), ["frame"], "point").select("frame", "point", "mask", R4("d2").alias("d2"))
+    return vision.nearest_mask(points, vision.bands(rects(t), ["frame"], ("cu", "cv")), ["frame"], "point").select("frame", "point", "mask", R4("d2").alias("d2"))
 
 
 @query("p17_mask_floors", f"with {RECT} select frame, det from rects r where (m1 - m0) * (n1 - n0) >= floor(0.05 * {W * H}) and {iou_sql('r', 'r', 'm0 n0 m1 n1')} >= 0.5")
