@@ -371,7 +371,7 @@ def x3(t: Tables) -> DataFrame:
 
 @query("x4_segmenter_hook", "select scene_id, ord, k::int mask, 160::bigint area, (ord % 50 + 10)::double cu from l_frames, range(2) t(k)")
 def x4(t: Tables) -> DataFrame:
-    frames = t.lift("l_frames").select("scene_id", "ord")
+    frames = t.lift("l_frames").select("scene_id", "ord", F.col("event_id").cast("string").alias("frame_id"))  # tells frames apart where users share a scene
     found = models.segment(frames, models.detect(frames, two_boxes), boxes_as_masks)
     area = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["u1"] - r["u0"])
     return found.select("scene_id", "ord", "mask", area.alias("area"), "cu")
@@ -435,10 +435,10 @@ def t4(t: Tables) -> DataFrame:
 
 @query("t2_cache_top_up", "select scene_id, ord, 10 * ord took from l_frames")
 def t2(t: Tables) -> DataFrame:
-    """Frames come twice; the cache has each once."""
-    f = t.lift("l_frames").select("scene_id", F.col("ord").cast("long").alias("ord"))
+    """Frames come twice; the cache has each once. The event tells frames apart where users share a scene."""
+    f = t.lift("l_frames").select("scene_id", F.col("ord").cast("long").alias("ord"), "event_id")
     stream, root = streamed(t, f.unionByName(f.where("ord % 2 = 0")), "top-up")
-    incremental.top_up(stream, f"{root}/cache", ["scene_id", "ord"], lambda d: d.withColumn("took", F.col("ord") * 10), f"{root}/checkpoint").awaitTermination()
+    incremental.top_up(stream, f"{root}/cache", ["scene_id", "ord", "event_id"], lambda d: d.withColumn("took", F.col("ord") * 10), f"{root}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{root}/cache").select("scene_id", "ord", "took")
 
 
