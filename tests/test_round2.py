@@ -7,9 +7,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vistaloom.operators import match, vision
+from vistaloom.operators import match, pairs, vision
 from vistaloom.plans import queries
-from vistaloom.plans.registry import TABLES
+from vistaloom.plans.lifts import CELLS, IMAGE, K, depth_of_pair, depths_of_pair, frames
+from vistaloom.plans.registry import TABLES, Tables
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -69,3 +70,33 @@ def test_bands_and_runs_give_the_same(spark):
     points = spark.createDataFrame([("f", 7, 6, 3), ("f", 8, 12, 8), ("f", 9, 6, 9)], "frame string, point int, u int, v int")
     a, b = (rows(vision.nearest_mask(points, m, ["frame"], "point").select("point", "mask")) for m in (bands, runs))
     assert a == b == [(7, 2), (8, 2)]
+
+
+@pytest.fixture(scope="module")
+def shared(spark, tmp_path_factory):
+    """The smallest tables with more users than four digits tell apart, so that users share scenes and places in them."""
+    folder = tmp_path_factory.mktemp("tables")
+    for t in TABLES:
+        (folder / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    (folder / "events.parquet").unlink()
+    duckdb.sql(f"select * replace (event_id + k * 1000000 as event_id, case k when 0 then user_id + 1000 else 10 * (user_id + 1000) + k end as user_id) from '{SF}/events.parquet', range(3) r(k)").write_parquet(str(folder / "events.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["x2b_hashed_seeds", "x4_segmenter_hook", "t2_cache_top_up"])
+def test_users_that_share_a_scene(spark, shared, name):
+    got, want = against_sql(spark, name, shared)
+    assert len(want) > len({r[:2] for r in want}) and got == want
+
+
+@pytest.mark.parametrize("name", ["a2_probe_ratios", "j2_lattice_probe", "p6_overlap_quality", "a17_funnel", "a18_task_histogram", "x21_stage_pair_gate"])
+def test_probes_by_batches(spark, name):
+    got, want = against_sql(spark, name)
+    assert got == want and "Generate explode" not in plan(spark, name).split("MapInArrow")[-1]  # no row for each point
+
+
+def test_probes_by_points_and_by_batches_agree(spark):
+    f = frames(Tables(spark, SF))
+    some = pairs.candidates(f, pairs.PairConfig(), ("pose", "event_id"))
+    a, b = (sorted(map(tuple, pairs.probed(some, d, K, IMAGE, CELLS).select("scene_id", "ord_a", "ord_b", "overlap", "occluded_frac").collect())) for d in (depth_of_pair, depths_of_pair))
+    assert a and a == b

@@ -11,7 +11,7 @@ from vistaloom import stages
 from vistaloom.functions import text as tx
 from vistaloom.operators import match, pairs, vision, votes
 from vistaloom.plans.frame_queries import CONFIG, SELECT_SQL, gate_sql, medians
-from vistaloom.plans.lifts import CELLS, IMAGE, K, depth_of_pair, frames
+from vistaloom.plans.lifts import CELLS, IMAGE, K, depths_of_pair, frames
 from vistaloom.plans.registry import Tables, query
 from vistaloom.plans.vision_queries import H, W, greedy_sql, iou_sql
 
@@ -72,7 +72,7 @@ def x9(t: Tables) -> DataFrame:
 
 @query("x21_stage_pair_gate", f"with recursive {SELECT_SQL} select scene_id, ord_a ord from tasked union select scene_id, ord_b from tasked")
 def x21(t: Tables) -> DataFrame:
-    _, used = stages.pair_gate(frames(t), depth_of_pair, lambda used: medians(t, used), K, IMAGE, CELLS, CONFIG, ("event_id",))
+    _, used = stages.pair_gate(frames(t), depths_of_pair, lambda used: medians(t, used), K, IMAGE, CELLS, CONFIG, ("event_id",))
     return used.select("scene_id", "ord")
 
 
