@@ -107,3 +107,9 @@ def test_medians_without_rows_of_cells(spark):
     assert got == want and "Generate" not in plan(spark, "a1_median_depth")
     p7, want = against_sql(spark, "p7_task_gates")
     assert p7 == want and "sequence(" not in plan(spark, "p7_task_gates")
+
+
+@pytest.mark.parametrize("name", ["p11_cosmic_gate", "u2_set_algebra", "p12_filter_pairs", "k8_view_to_scored"])
+def test_pairs_of_shared_scenes(spark, shared, name):
+    got, want = against_sql(spark, name, shared)
+    assert got == want

@@ -39,15 +39,16 @@ def scene_sets(sets: DataFrame) -> DataFrame:
     return ids.groupBy("scene_id").agg(F.array_sort(F.collect_list("id")).alias("all_ids"))
 
 
-def cosmic(pairs: DataFrame, frames: DataFrame, sets: DataFrame, scenes: DataFrame, least_coverage: float = 0.3, least_yaw: float = 30.0) -> DataFrame:
-    """pairs with what their frames show and `reason`, null where the pair passes, else the first test that it fails.
+def cosmic(frames: DataFrame, sets: DataFrame, scenes: DataFrame, least_coverage: float = 0.3, least_yaw: float = 30.0) -> DataFrame:
+    """All pairs of a scene's frames, the earlier one first, with what they show and `reason`, null where the pair passes, else the first test that it fails.
 
-    pairs: scene_id, ord_a, ord_b. frames: scene_id, ord, yaw. A pair without visibility on a side fails as such.
+    frames: scene_id, ord, yaw; pairs hold ord_a, ord_b. A pair without visibility on a side fails as such. What frames show
+    is joined to frames before they meet, so that only frames are shuffled, by their scene, and never pairs.
     """
-    for s in "ab":
-        pairs = pairs.join(sets.select("scene_id", F.col("ord").alias(f"ord_{s}"), F.col("ids").alias(f"ids_{s}")), ["scene_id", f"ord_{s}"], "left")
-        pairs = pairs.join(frames.select("scene_id", F.col("ord").alias(f"ord_{s}"), F.col("yaw").alias(f"yaw_{s}")), ["scene_id", f"ord_{s}"])
-    rows = pairs.join(scenes, "scene_id", "left")
+    seen = frames.select("scene_id", "ord", "yaw").join(sets.select("scene_id", "ord", "ids"), ["scene_id", "ord"], "left")
+    a, b = seen.join(scenes, "scene_id", "left").alias("a"), seen.alias("b")
+    met = a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") > F.col("a.ord")))
+    rows = met.select("a.scene_id", "all_ids", *[F.col(f"{s}.{n}").alias(f"{n}_{s}") for s in "ab" for n in ("ord", "ids", "yaw")])
     both, either = F.array_intersect("ids_a", "ids_b"), F.array_union("ids_a", "ids_b")
     rows = rows.withColumns({
         "n_src": F.size("ids_a"), "n_tgt": F.size("ids_b"), "n_intersection": F.size(both), "n_union": F.size(either), "n_scene": F.size("all_ids"),
