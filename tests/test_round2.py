@@ -7,8 +7,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vistaloom.operators import match, pairs, vision
-from vistaloom.plans import queries
+from vistaloom.operators import match, pairs, skills, vision
+from vistaloom.plans import queries, skill_queries
 from vistaloom.plans.lifts import CELLS, IMAGE, K, depth_of_pair, depths_of_pair, frames
 from vistaloom.plans.registry import TABLES, Tables
 
@@ -113,3 +113,12 @@ def test_medians_without_rows_of_cells(spark):
 def test_pairs_of_shared_scenes(spark, shared, name):
     got, want = against_sql(spark, name, shared)
     assert got == want
+
+
+def test_distances_are_rounded_once(spark):
+    rows = [(1, k, True, 1.0, "a", x, 0.0, 0.0) for k, x in enumerate((0.0, 0.1, 0.86784999995))]
+    matches = spark.createDataFrame(rows, "pair_id long, match_idx int, visible boolean, coverage double, src_label string, x double, y double, z double")
+    some = spark.createDataFrame([(1, 0.5)], "pair_id long, overlap double")
+    found = skills.relative_distance(some, matches, places=None).select(F.transform("candidates", lambda c: skill_queries.d4(c["distance_m"])).alias("d")).first()
+    assert list(found.d) == [8679, 1000]  # 8678 where a rounded distance is rounded again
+    assert skills.relative_distance(some, matches).first().candidates[0].distance_m == 0.8678

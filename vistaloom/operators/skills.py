@@ -119,8 +119,12 @@ def counting(pairs: DataFrame, matches: DataFrame, masks: DataFrame, overlap=(0.
     return best.select("pair_id", F.col("shared_match_idx").alias("qualifying_matches"), "category", "unique_total", "shared_match_idx", "private_src_idx", "private_tgt_idx")
 
 
-def relative_distance(pairs: DataFrame, matches: DataFrame, masks: DataFrame | None = None, overlap=(0.20, 0.70), objects: int = 3, margin: float = 0.5, coverage: float = 0.6) -> DataFrame:
-    """Of each pair the first reference whose farthest candidate is `margin` farther than the next, with all candidates, the farthest first."""
+def relative_distance(pairs: DataFrame, matches: DataFrame, masks: DataFrame | None = None, overlap=(0.20, 0.70), objects: int = 3, margin: float = 0.5, coverage: float = 0.6, places: int | None = 4) -> DataFrame:
+    """Of each pair the first reference whose farthest candidate is `margin` farther than the next, with all candidates, the farthest first.
+
+    Distances are rounded to `places`, or left as they are for a caller that rounds by another rule.
+    """
+    rounded = lambda c: c if places is None else F.bround(c, places)
     good = pairs.where(within(*overlap)).select("pair_id").join(matches.where(F.col("visible") & (F.col("coverage") >= coverage)), "pair_id").select("pair_id", as_int("match_idx"), "src_label", "x", "y", "z")
     n = F.count(F.lit(1)).over(Window.partitionBy("pair_id"))
     good = good.withColumn("n", n).where(F.col("n") >= objects)
@@ -133,11 +137,11 @@ def relative_distance(pairs: DataFrame, matches: DataFrame, masks: DataFrame | N
     found = rows.groupBy("pair_id", "reference", "reference_label").agg(F.array_sort(F.collect_list("candidate")).alias("c"))
     gap = F.get("c", F.lit(1))["back"] - F.get("c", F.lit(0))["back"]
     first = found.withColumn("margin", gap).where(F.col("margin") >= margin).groupBy("pair_id").agg(F.min(F.struct("reference", "reference_label", "c", "margin")).alias("r"))
-    candidates = F.transform("r.c", lambda x: F.struct(x["match_idx"].alias("match_idx"), x["label"].alias("label"), F.bround(-x["back"], 4).alias("distance_m")))
+    candidates = F.transform("r.c", lambda x: F.struct(x["match_idx"].alias("match_idx"), x["label"].alias("label"), rounded(-x["back"]).alias("distance_m")))
     rest = first.select("pair_id", "r.reference", "r.reference_label", "r.margin", candidates.alias("candidates"))
     return rest.select(
         "pair_id", F.concat(F.array("reference"), indices(F.col("candidates"))).alias("qualifying_matches"), F.col("reference").alias("reference_match_idx"), "reference_label", "candidates",
-        F.get("candidates", F.lit(0))["match_idx"].alias("farthest_match_idx"), F.bround("margin", 4).alias("margin_m"),
+        F.get("candidates", F.lit(0))["match_idx"].alias("farthest_match_idx"), rounded(F.col("margin")).alias("margin_m"),
     )
 
 

@@ -108,7 +108,7 @@ best as (select pair_id, r, rl, c far, d - nxt gap from k where k = 1 and d - nx
 select b.pair_id, b.r reference, b.rl reference_label, far farthest, {sql_d4('any_value(gap)')} margin, string_agg(c || '/' || l || '/' || {sql_d4('d')}, ',' order by d desc, c) candidates from best b join d on d.pair_id = b.pair_id and d.r = b.r group by all""",
 )
 def g5(t: Tables) -> DataFrame:
-    found = skills.relative_distance(pairs(t), t.lift("l_matches"))
+    found = skills.relative_distance(pairs(t), t.lift("l_matches"), places=None)  # d4 rounds once
     line = lambda o: (o["match_idx"], o["label"], d4(o["distance_m"]))
     return found.select("pair_id", F.col("reference_match_idx").alias("reference"), "reference_label", F.col("farthest_match_idx").alias("farthest"), d4(F.col("margin_m")).alias("margin"), listed(F.col("candidates"), line).alias("candidates"))
 
