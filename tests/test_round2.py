@@ -122,3 +122,8 @@ def test_distances_are_rounded_once(spark):
     found = skills.relative_distance(some, matches, places=None).select(F.transform("candidates", lambda c: skill_queries.d4(c["distance_m"])).alias("d")).first()
     assert list(found.d) == [8679, 1000]  # 8678 where a rounded distance is rounded again
     assert skills.relative_distance(some, matches).first().candidates[0].distance_m == 0.8678
+
+
+def test_reprojected_points_are_no_rows_of_the_plan(spark):
+    got, want = against_sql(spark, "f8_reproject")
+    assert got == want and "Generate" not in plan(spark, "f8_reproject") and "Join" not in plan(spark, "f8_reproject")
