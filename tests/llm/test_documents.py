@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -272,6 +273,26 @@ def test_bpe_equals_library(docs, texts, spark):
         assert (got[k].ids, got[k].n_tokens, got[k].decoded) == (" ".join(map(str, ids)), len(ids), t.decode(ids, skip_special_tokens=False))
 
 
+def test_bpe_tables_bounded_in_bytes():
+    """Full tables of words take under 80 MB of a worker, and words of any length are coded but only short ones kept."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    use, t, r = bpe_automaton.Bpe(path), Tokenizer.from_file(path), random.Random(7)
+    words = sorted({"".join(r.choices("abcdefghijklmnoprstu", k=9)) for _ in range(10_000)})
+    tracemalloc.start()
+    try:
+        use.coded(", ".join(words))
+        use.automaton.arcs.clear()
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held / (len(use) + len(use.words)) * (bpe_automaton.CHUNKS + bpe_automaton.PIECES) < 80e6
+    before = len(use), len(use.words)
+    for text in ("x" * 50_000, "th" * 500 + "," + "q" * 70):
+        ids = t.encode(text, add_special_tokens=False).ids
+        assert use.coded(text) == (" ".join(map(str, ids)), len(ids), t.decode(ids, skip_special_tokens=False))
+    assert len(use) == before[0] and max(map(len, use.words)) <= 64
+
+
 def test_bpe_small_automaton_against_merging():
     merges = [("a", "b"), ("b", "a"), ("ab", "a"), ("a", "a"), ("ab", "ab"), ("b", "b"), ("aa", "b")]
     vocabulary = {t: k for k, t in enumerate(["a", "b", *dict.fromkeys(u + v for u, v in merges)])}

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from vistaloom.llm.common import small_batches
 
-#: Entries of a worker's tables. Frequent ones come early, so a full table takes no more; workers outlive their stage, so it is bounded.
-CHUNKS, PIECES, ARCS = 300_000, 500_000, 500_000
+#: Entries of a worker's tables, and characters of a word that is kept. Frequent ones come early, so a full table takes no more;
+#: workers outlive their stage and share an executor's memory with the stages after, so tables are bounded in bytes as well. What isn't kept is worked out again.
+CHUNKS, PIECES, ARCS, LONGEST = 150_000, 250_000, 200_000, 64
 LATE = 1 << 60
 
 
@@ -134,7 +136,7 @@ class Automaton:
 
 
 class Bpe(dict):
-    """White-space separated chunks with their (ids as text, number, labels); each is worked out once as long as it is kept."""
+    """White-space separated chunks with their ids; each is worked out once as long as it is kept. Ids are the vocabulary's own numbers, so that an entry is a tuple and no text."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -151,45 +153,38 @@ class Bpe(dict):
         self.odd = regex.compile(r"[\x1c-\x1f]|" + self.marks.pattern).search
         self.space = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").split
         self.symbols = byte_symbols()
-        self.words: dict[str, tuple[str, int, str]] = {}
+        self.numbers = {i: str(i) for i in self.automaton.labels}
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def __missing__(self, chunk: str) -> tuple[str, int, str]:
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
         text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         parts = [self.words.get(piece) or self.word(piece) for piece in self.pieces(text.lower())]
-        if len(parts) == 1:
-            made = parts[0]
-        else:
-            ids, n, labels = zip(*parts, strict=True)
-            made = (" ".join(ids), sum(n), " ".join(labels))
-        if len(self) < CHUNKS:
+        made = parts[0] if len(parts) == 1 else tuple(chain.from_iterable(parts))
+        if len(self) < CHUNKS and len(chunk) <= LONGEST:
             self[chunk] = made
         return made
 
-    def word(self, piece: str) -> tuple[str, int, str]:
+    def word(self, piece: str) -> tuple[int, ...]:
         """One pre-split word; kept apart, as words recur with other punctuation."""
         symbols = piece if piece.isascii() and piece.isprintable() else "".join([self.symbols[b] for b in piece.encode()])
-        ids = self.automaton.encode(symbols)
-        made = (" ".join(map(str, ids)), len(ids), self.automaton.decode(ids))
-        if len(self.words) < PIECES:
+        made = tuple(self.automaton.encode(symbols))
+        if len(self.words) < PIECES and len(piece) <= LONGEST:
             self.words[piece] = made
         return made
 
-    def chunks(self, text: str) -> Iterator[tuple[str, int, str]]:
+    def chunks(self, text: str) -> Iterator[tuple[int, ...]]:
         """Of whole texts; names of special tokens stand for themselves, before anything else."""
         at = 0
         for m in self.marks.finditer(text):
             yield from (self[c] for c in self.space(text[at : m.start()]) if c)
-            yield str(self.special[m[0]]), 1, m[0]
+            yield (self.special[m[0]],)
             at = m.end()
         yield from (self[c] for c in self.space(text[at:]) if c)
 
     def coded(self, text: str) -> tuple[str, int, str]:
         """(ids as text, number of ids, decoded text)."""
-        parts = list(self.chunks(text)) if self.odd(text) else list(map(self.__getitem__, text.split()))
-        if not parts:
-            return "", 0, ""
-        ids, n, labels = zip(*parts, strict=True)
-        return " ".join(ids), sum(n), " ".join(labels)
+        ids = list(chain.from_iterable(self.chunks(text) if self.odd(text) else map(self.__getitem__, text.split())))
+        return " ".join(map(self.numbers.__getitem__, ids)), len(ids), self.automaton.decode(ids)
 
 
 _coders: dict[str, Bpe] = {}
