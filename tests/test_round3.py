@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from test_round2 import SF, against_sql, plan, shared  # noqa: F401
 
-from vistaloom.operators import pairs
+from vistaloom.operators import pairs, visibility
+from vistaloom.plans.lifts import pixels_of_residue
+from vistaloom.plans.registry import Tables
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 
@@ -35,3 +37,17 @@ def test_spread_out_places():
     got = pairs.spread_out(places, 1.2)
     assert 1 < len(kept) < len(places) and places[got].tolist() == kept
     assert pairs.spread_out(places[:0], 1.2).tolist() == []
+
+
+def test_sets_meet_once_for_all_frames_of_two_places(spark, shared):  # noqa: F811
+    got, want = against_sql(spark, "u2_set_algebra", shared)
+    assert want and got == want
+    told = plan(spark, "u2_set_algebra")
+    assert "explode(yaws_b" in told.split("array_intersect", 1)[0]  # worked out below what makes pairs of frames
+
+
+def test_footprints_follow_from_the_rule_of_pixels(spark, shared):  # noqa: F811
+    t = Tables(spark, shared)
+    f = t.lift("l_frames").selectExpr("scene_id", "ord", "event_id % 15 residue")
+    a, b = (sorted(map(tuple, df.select("scene_id", "ord", "inst_id", "n_px", "n_valid").collect())) for df in (visibility.footprints(t.lift("l_px")), visibility.footprints_by_rule(f, pixels_of_residue(t), ["residue"])))
+    assert a and a == b

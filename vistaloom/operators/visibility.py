@@ -22,6 +22,16 @@ def footprints(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("scene_id", "ord", "inst_id").agg(F.count(F.lit(1)).alias("n_px"), F.count_if("valid").alias("n_valid"))
 
 
+def footprints_by_rule(frames: DataFrame, rule: DataFrame, by: list[str]) -> DataFrame:
+    """footprints() where a frame's pixels follow from its columns `by`: rule (by, inst_id, n_px, n_valid) is small, and frames
+    (scene_id, ord, by) meet it instead of their pixels. Frames are dealt by scene, so what follows by scene needs no more shuffle.
+    """
+    shows = rule.groupBy(*by).agg(F.collect_list(F.struct("inst_id", "n_px", "n_valid")).alias("shows"))
+    rows = frames.repartition(int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")), "scene_id").join(F.broadcast(shows), by)
+    each = rows.select("scene_id", "ord", F.inline("shows"))
+    return each.groupBy("scene_id", "ord", "inst_id").agg(F.sum("n_px").alias("n_px"), F.sum("n_valid").alias("n_valid"))
+
+
 def visible(prints: DataFrame, labels: DataFrame, image: int, least_share: float = 0.005, least_depth: int = 50) -> DataFrame:
     """Footprints large enough, with enough depth, of instances that are objects; labels: inst_id, label, small per scene."""
     shown = prints.where((F.col("n_px") >= least_share * image) & (F.col("n_valid") >= least_depth))
@@ -62,3 +72,30 @@ def cosmic(frames: DataFrame, sets: DataFrame, scenes: DataFrame, least_coverage
         .when(F.col("yaw_diff") < least_yaw, "cosmic_low_yaw_diff")
     )
     return rows.withColumn("reason", reason)
+
+
+def places(frames: DataFrame, sets: DataFrame) -> DataFrame:
+    """(scene_id, ord, ids, yaws): the sets with the yaws of their frames."""
+    return frames.groupBy("scene_id", "ord").agg(F.collect_list("yaw").alias("yaws")).join(sets.select("scene_id", "ord", "ids"), ["scene_id", "ord"]).select("scene_id", "ord", "ids", "yaws")
+
+
+def anchored(places: DataFrame, scenes: DataFrame, least_coverage: float = 0.3) -> DataFrame:
+    """(scene_id, ord_a, ord_b, both_ids, any_ids, coverage, yaws_a, yaws_b): pairs of a scene's places() whose frames pass cosmic() but for its test of yaws.
+
+    Sets belong to a place, however many frames it has, so they meet once for all pairs of its frames; turned() gives those.
+    They stand behind a generator, so that the tests don't work them out again.
+    """
+    dealt = places.repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), "scene_id")  # small rows, much work
+    a, b = dealt.join(scenes.select("scene_id", F.size("all_ids").alias("n_scene")).where("n_scene > 0"), "scene_id").alias("a"), dealt.alias("b")
+    met = a.join(b, (F.col("a.scene_id") == F.col("b.scene_id")) & (F.col("b.ord") > F.col("a.ord")))
+    rows = met.select("a.scene_id", "n_scene", *[F.col(f"{s}.{n}").alias(f"{n}_{s}") for s in "ab" for n in ("ord", "ids", "yaws")])
+    rows = rows.select("*", F.inline(F.array(F.struct(F.array_intersect("ids_a", "ids_b").alias("both_ids")))))
+    rows = rows.withColumn("coverage", (F.size("ids_a") + F.size("ids_b") - F.size("both_ids")) / F.col("n_scene"))
+    rows = rows.where((F.size("both_ids") > 0) & (F.col("coverage") >= least_coverage))
+    return rows.select("scene_id", "ord_a", "ord_b", "both_ids", F.array_union("ids_a", "ids_b").alias("any_ids"), "coverage", "yaws_a", "yaws_b")
+
+
+def turned(pairs: DataFrame, least_yaw: float = 30.0) -> DataFrame:
+    """anchored() pairs of places as pairs of frames, those whose yaws differ enough, without the yaws: all else stays as it is per pair of places."""
+    each = pairs.withColumn("yaw_a", F.explode("yaws_a")).drop("yaws_a").withColumn("yaw_b", F.explode("yaws_b")).drop("yaws_b")
+    return each.where(g.circular_difference(F.col("yaw_a"), F.col("yaw_b")) >= least_yaw).drop("yaw_a", "yaw_b")
