@@ -51,3 +51,10 @@ def test_footprints_follow_from_the_rule_of_pixels(spark, shared):  # noqa: F811
     f = t.lift("l_frames").selectExpr("scene_id", "ord", "event_id % 15 residue")
     a, b = (sorted(map(tuple, df.select("scene_id", "ord", "inst_id", "n_px", "n_valid").collect())) for df in (visibility.footprints(t.lift("l_px")), visibility.footprints_by_rule(f, pixels_of_residue(t), ["residue"])))
     assert a and a == b
+
+
+def test_frames_with_one_verdict_meet_once(spark, shared):  # noqa: F811
+    got, want = against_sql(spark, "p12_filter_pairs", shared)
+    assert want and got == want
+    told = plan(spark, "p12_filter_pairs")
+    assert "explode(each_" in told.split("Join Inner", 1)[0] and "Aggregate" in told.split("Join Inner", 1)[1]
